@@ -15,5 +15,24 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir), 3, 90)
 
 
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .urls import filter_urls, listed_by_host
+
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return filter_urls(pages, listed_by_host(pages))
+
+
+def op9_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import find_pii
+
+    return find_pii(documents(spark, sf_dir))
+
+
+def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .hilbert import hilbert_shards
+
+    return hilbert_shards(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
