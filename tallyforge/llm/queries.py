@@ -22,6 +22,12 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages, listed_by_host(pages))
 
 
+def op6_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import packed
+
+    return packed(documents(spark, sf_dir))
+
+
 def op9_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import find_pii
 
