@@ -9,6 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from .store import documents
 
 
+def op2_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import identified
+
+    return identified(documents(spark, sf_dir))
+
+
+def op3_toxicity_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import scored
+
+    return scored(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard import jaccard_components
 
