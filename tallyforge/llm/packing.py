@@ -42,17 +42,17 @@ class Index:
     def __init__(self, docs: list[np.ndarray], size: int) -> None:
         n = len(docs)
         lengths = np.array([len(x) for x in docs], np.int64)
-        every, of = np.concatenate(docs).astype(np.int64), np.repeat(np.arange(n), lengths)
-        key, tf = np.unique(every * n + of, return_counts=True)
-        term, self.doc = key // n, (key % n).astype(np.int32)
-        self.start = np.searchsorted(term, np.arange(size + 1))
-        df = np.diff(self.start)
-        self.idf = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32)
         norm = K1 * (1 - B + B * lengths / max(1.0, lengths.mean()))
-        self.weight = (self.idf[term] * tf * (K1 + 1) / (tf + norm[self.doc])).astype(np.float32)
-        order = np.lexsort((-self.weight, self.doc))  # a document's most telling terms first
-        own = np.searchsorted(self.doc[order], np.arange(n + 1))
-        self.query = [term[order[own[i] : min(own[i] + QUERY_TERMS, own[i + 1])]] for i in range(n)]
+        own = [np.unique(x, return_counts=True) for x in docs]
+        term, doc = np.concatenate([t for t, _ in own]), np.repeat(np.arange(n, dtype=np.int32), [len(t) for t, _ in own])
+        df = np.bincount(term, minlength=size)
+        idf = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32)
+        weights = [(idf[t] * (c * (K1 + 1) / (c + norm[i]))).astype(np.float32) for i, (t, c) in enumerate(own)]
+        # a document asks by its most telling terms
+        self.query = [t[np.argpartition(-w, QUERY_TERMS)[:QUERY_TERMS]] if len(t) > QUERY_TERMS else t for (t, _), w in zip(own, weights, strict=True)]
+        order = np.argsort(term, kind="stable")
+        self.doc, self.weight = doc[order], np.concatenate(weights)[order]
+        self.start = np.concatenate([[0], np.cumsum(df)])
         self.used = np.zeros(n, bool)
 
     def neighbours(self, seed: int) -> list[int]:

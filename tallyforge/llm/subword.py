@@ -7,14 +7,24 @@ text are those of its words in turn. Words end at ASCII white space; the tokeniz
 from __future__ import annotations
 
 import os
+import unicodedata
+from array import array
 
 import numpy as np
 import pyarrow as pa
 
 #: Entries of a worker's caches at most; beyond, a cache is emptied, which costs time only.
-WORDS, STEMS = 300_000, 600_000
+WORDS, STEMS = 600_000, 900_000
+#: Words on which the short way to a word's ids is tried before it is used.
+PROBES = ["a", "the", "word", "heitung", "straße", "été", "año", "naïve", "слово", "日本", "x" * 40]
 VOCABULARY = "word_bpe_49k.json"
 
+#: Byte-level vocabularies write a byte that doesn't print as the next letter from 256 on.
+_BYTE_LETTERS: dict[int, int] = {}
+for _byte in range(256):
+    if not (33 <= _byte <= 126 or 161 <= _byte <= 172 or _byte >= 174):
+        _BYTE_LETTERS[_byte] = 256 + len(_BYTE_LETTERS)
+
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
@@ -34,6 +44,9 @@ class Subwords:
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.short = all(self._short(p) == self.tokenizer.encode(p, add_special_tokens=False).ids for p in PROBES)
+        self.marks = dict(zip(b".,;:!?", self._full([bytes([c]) for c in b".,;:!?"]), strict=True)) if self.short else {}
         self.words: dict[bytes, bytes] = {}
         self.stems: dict[bytes, bytes] = {}
 
@@ -44,48 +57,55 @@ class Subwords:
             cls._by_path[path] = cls(path)
         return cls._by_path[path]
 
-    @staticmethod
-    def _pieces(word: bytes) -> tuple[bytes, ...]:
-        """The word without ASCII capitals, and a last punctuation mark apart, where that can't change its ids."""
-        if b"<|" in word:
-            return (word,)
-        word = word.lower()
-        if len(word) > 1 and word[-1] in b".,;:!?" and 97 <= word[-2] <= 122:
-            return word[:-1], word[-1:]
-        return (word,)
-
-    def _learn(self, words: set[bytes]) -> None:
-        pieces = {w: self._pieces(w) for w in words}
-        unknown = list({p for own in pieces.values() for p in own if p not in self.stems})
-        if len(self.stems) + len(unknown) > STEMS:
+    def _short(self, word: str) -> list[int] | None:
+        """Ids of lower-case letters in normal form straight from the merges; None where other steps may matter."""
+        if not word.isalpha() or word != word.lower() or not unicodedata.is_normalized("NFC", word):
+            return None
+        return [t.id for t in self.tokenizer.model.tokenize(word if word.isascii() else word.encode().decode("latin1").translate(_BYTE_LETTERS))]
+
+    def _full(self, words: list[bytes]) -> list[bytes]:
+        return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
+
+    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of words. Capitals A-Z and a last punctuation mark are set apart where that can't change the ids."""
+        if len(self.stems) + len(words) > STEMS:
             self.stems.clear()
-            unknown = list({p for own in pieces.values() for p in own})
-        for low in range(0, len(unknown), 50_000):
-            some = unknown[low : low + 50_000]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in some], add_special_tokens=False), strict=True):
-                self.stems[p] = np.array(e.ids, self.dtype).tobytes()
         if len(self.words) + len(words) > WORDS:
             self.words.clear()
-        for w, own in pieces.items():
-            self.words[w] = b"".join([self.stems[p] for p in own])
+        out, rest, stems = {}, [], self.stems
+        for word in words:
+            stem, tail = word.lower(), b""
+            if len(stem) > 1 and (tail := self.marks.get(stem[-1], b"")):
+                if 97 <= stem[-2] <= 122 and b"<|" not in word:
+                    stem = stem[:-1]
+                else:
+                    tail = b""
+            ids = stems.get(stem)
+            if ids is None:
+                short = self._short(stem.decode("utf-8", "replace")) if self.short else None
+                if short is None:
+                    rest.append(word)
+                    continue
+                ids = stems[stem] = array(self.code, short).tobytes()
+            out[word] = ids + tail
+        for low in range(0, len(rest), 50_000):
+            some = rest[low : low + 50_000]
+            out.update(zip(some, self._full(some), strict=True))
+        self.words.update(out)
+        return out
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text, as bytes."""
         out = []
         for text in texts:
             own = text.split()
-            try:
-                out.append(b"".join(map(self.words.__getitem__, own)))
-            except KeyError:
-                self._learn({w for w in own if w not in self.words})
-                out.append(b"".join([self.words[w] if w in self.words else self._alone(w) for w in own]))
+            ids = list(map(self.words.get, own))
+            if None in ids:
+                new = self._learn({w for w, x in zip(own, ids, strict=True) if x is None})
+                ids = [new[w] if x is None else x for w, x in zip(own, ids, strict=True)]
+            out.append(b"".join(ids))
         return out
 
-    def _alone(self, word: bytes) -> bytes:
-        if any(p not in self.stems for p in self._pieces(word)):
-            self._learn({word})
-        return b"".join([self.stems[p] for p in self._pieces(word)])
-
 
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 of a text column; nulls count as empty."""
