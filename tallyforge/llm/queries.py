@@ -40,6 +40,12 @@ def op6_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(documents(spark, sf_dir))
 
 
+def op8_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contaminated
+
+    return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op9_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import find_pii
 

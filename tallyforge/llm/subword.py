@@ -101,8 +101,10 @@ class Subwords:
             own = text.split()
             ids = list(map(self.words.get, own))
             if None in ids:
-                new = self._learn({w for w, x in zip(own, ids, strict=True) if x is None})
-                ids = [new[w] if x is None else x for w, x in zip(own, ids, strict=True)]
+                gaps = [i for i, x in enumerate(ids) if x is None]
+                new = self._learn({own[i] for i in gaps})
+                for i in gaps:
+                    ids[i] = new[own[i]]
             out.append(b"".join(ids))
         return out
 
