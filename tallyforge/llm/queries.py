@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from .store import documents
 
 
+def op1_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm import scored
+
+    return scored(documents(spark, sf_dir))
+
+
 def op2_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import identified
 
