@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .store import documents
 
@@ -46,6 +47,14 @@ def op6_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(documents(spark, sf_dir))
 
 
+def op7_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk import top_k
+
+    docs = documents(spark, sf_dir)
+    asked = docs.where(F.col("doc_id") % 100 == 0).select(F.col("doc_id").alias("query_id"), "text")
+    return top_k(docs, asked)
+
+
 def op8_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import contaminated
 
