@@ -4,8 +4,8 @@ Symbols are words without case, marks or white space. A document is contaminated
 is within edit distance L // 5 of the whole item, counted in words. Items are grouped by length; a window has the length of
 its group's shortest item and starts at any word.
 
-1. A window within reach of an item has all but that many of its words from the benchmark's vocabulary. Running sums leave
-   out the windows that don't, at no risk.
+1. Each edit touches two pairs of neighbouring words at most, so a window within reach of an item has all but twice that many
+   of its pairs from the benchmark. Running sums leave out the windows that don't, at no risk.
 2. The CGK random walk maps a window and an item's head to strings of three times the length, copying a symbol at each step
    and going on to the next one by a random bit of the symbol: strings near in edit distance get near in Hamming distance.
    Keys of a few sampled positions, over several walks and samples of each, are looked up among the items' keys.
@@ -48,6 +48,32 @@ def symbols(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return hashes(plain, starts, ends), doc
 
 
+def pairs_of(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Hash of each word and the next one; the last word of a document has 0."""
+    out = np.zeros(len(h), np.uint64)
+    with np.errstate(over="ignore"):
+        out[:-1] = mix(h[:-1] * np.uint64(3) ^ h[1:], 5)
+    out[:-1][doc[1:] != doc[:-1]] = 0
+    return out
+
+
+class Members:
+    """A set of hashes; a table of bits answers most lookups."""
+
+    def __init__(self, values: np.ndarray) -> None:
+        self.values = np.unique(values)
+        self.bits = np.uint64((1 << max(16, min(24, 6 + int(len(self.values)).bit_length()))) - 1)
+        self.table = np.zeros(int(self.bits) + 1, bool)
+        self.table[(self.values & self.bits).astype(np.int64)] = True
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        out = self.table[(h & self.bits).view(np.int64)]
+        hit = np.flatnonzero(out)
+        if len(hit):
+            out[hit] = self.values[np.minimum(np.searchsorted(self.values, h[hit]), len(self.values) - 1)] == h[hit]
+        return out
+
+
 def edits(length: np.ndarray | int):
     return length // ONE_IN
 
@@ -106,17 +132,20 @@ def distances(items: np.ndarray, lengths: np.ndarray, texts: np.ndarray, spare:
 
 
 class Benchmark:
-    """The items of one block, by group of length: padded symbols, keys, and the vocabulary."""
+    """The items of one block: symbols, keys by group of length, and pairs of neighbouring words."""
 
     def __init__(self, ids: list[int], texts: list[str]) -> None:
         self.ids = np.array(ids, np.int64)
         own: list[np.ndarray] = []
+        pairs = [np.zeros(0, np.uint64)]
         for part in slices(pa.array(texts, pa.string())):
             h, doc = symbols(part.data, part.at)
             edge = np.searchsorted(doc, np.arange(part.last - part.first + 1))
+            pairs.append(pairs_of(h, doc))
             own += [h[edge[i] : edge[i + 1]] for i in range(part.last - part.first)]
         self.items = own
-        self.vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *[x for x in own if len(x) >= LEAST]]))
+        pairs = np.concatenate(pairs)
+        self.pairs = Members(pairs[pairs > 0])
         lengths = np.array([len(x) for x in own])
         self.groups = []
         rest = np.unique(lengths[lengths >= LEAST])
@@ -134,16 +163,14 @@ class Benchmark:
     def found(self, h: np.ndarray, doc: np.ndarray) -> dict[tuple[int, int], tuple[int, int, int]]:
         """(document, item) to (distance, first word, words) of its best passage."""
         out: dict[tuple[int, int], tuple[int, int, int]] = {}
-        if not len(h) or not len(self.vocabulary):
+        if not len(h) or not self.groups:
             return out
-        at = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
-        sums = np.concatenate([[0], np.cumsum(self.vocabulary[at] == h)])
+        sums = np.concatenate([[0], np.cumsum(self.pairs.has(pairs_of(h, doc)), dtype=np.int32)])
         first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
         ends = np.repeat(np.append(first[1:], len(doc)), np.diff(np.append(first, len(doc))))
         for n, most, walks, key, which in self.groups:
-            end = np.minimum(np.arange(len(h)) + n, ends)
-            # a passage may be shorter than the window by as many words as edits
-            starts = np.flatnonzero(sums[end] - sums[:-1] >= n - most)
+            last = np.minimum(np.arange(len(h)) + n, ends) - 1
+            starts = np.flatnonzero(sums[last] - sums[:-1] >= n - 1 - 2 * most)
             for low in range(0, len(starts), WINDOWS):
                 self._group(h, doc, ends, starts[low : low + WINDOWS], n, most, walks, key, which, out)
         return out
