@@ -88,7 +88,7 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str]
     salted = listed.select(F.col("canonical").alias("key"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.lit(True).alias("hit"))
     out = lambda rows, hit: rows.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.when(hit, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"))
     sure = out(passed.where("key is null"), F.lit(False))
-    checked = out(passed.where("key is not null").join(salted, ["key", "salt"], "left"), F.coalesce("hit", F.lit(False)))
+    checked = out(passed.where("key is not null").join(salted.hint("merge"), ["key", "salt"], "left"), F.coalesce("hit", F.lit(False)))
     return sure.unionByName(checked)
 
 
