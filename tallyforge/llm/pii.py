@@ -112,9 +112,11 @@ def _labelled(kind: str, base: bool) -> str:
     return f"named_struct('kind', {KINDS.index(kind)}, 'start', m.start, 'end', m.end, 'base', {given}, 'votes', {votes}, 'shape', array({length}, {digits}))"
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id and the array `found` of candidates of each document, in the order of KINDS, base ones first."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+def candidates(docs: DataFrame, keep: bool = False) -> DataFrame:
+    """doc_id and the array `found` of candidates of each document, in the order of KINDS, base ones first; with keep, the
+    struct `row` of all columns of docs too."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(*[row] * keep, F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("digits", F.col("text").rlike("[0-9]"))
     guard = {"email": F.contains("text", F.lit("@")), "ip": F.col("digits"), "card": F.col("digits"), "phone": F.col("digits") & F.contains("text", F.lit("+"))}
     loose = {"email": F.contains("text", F.lit("dot")) | F.contains("text", F.lit("DOT")), "ip": F.col("digits"), "card": F.col("digits"), "phone": F.col("digits")}
@@ -128,7 +130,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("given", F.filter(F.concat(*KINDS), lambda c: c["base"]))
     free = lambda c: ~F.exists("given", lambda g: (g["start"] < c["end"]) & (c["start"] < g["end"]))
     others = F.filter(F.concat(*KINDS, *[f"{k}_loose" for k in KINDS]), lambda c: ~c["base"] & free(c))
-    return rows.select("doc_id", F.concat("given", others).alias("found"))
+    return rows.select(*["row"] * keep, "doc_id", F.concat("given", others).alias("found"))
 
 
 def em(patterns: dict[tuple, float]) -> tuple[dict[int, float], dict[tuple, float]]:
@@ -170,32 +172,37 @@ def fitted(cells: list[tuple[tuple, float, float]]) -> dict[str, float]:
     return weights
 
 
-def classified(found: DataFrame) -> DataFrame:
-    """found (doc_id, candidates) with `kept`, the accepted candidates sorted by kind and start."""
+def _features(kind, votes, shape) -> tuple:
+    return (kind, *(3 * kind + v for v in votes), *(10 * kind + s for s in shape))
+
+
+def learned(found: DataFrame) -> dict[str, float]:
+    """The classifier's weights, from the candidates of all documents."""
     cell = found.select(F.explode("found").alias("c")).groupBy("c.kind", "c.votes", "c.shape").agg(F.count(F.lit(1)).alias("n"))
-    rows = cell.collect()  # at most 4 * 3**5 * 5 * 5 cells
+    rows = sorted(cell.collect())  # at most 4 * 3**5 * 5 * 5 cells
     patterns: dict[tuple, float] = {}
     for r in rows:
         key = (r["kind"], *r["votes"])
         patterns[key] = patterns.get(key, 0.0) + r["n"]
     _, p = em(patterns)
-    features = lambda kind, votes, shape: (kind, *(3 * kind + v for v in votes), *(10 * kind + s for s in shape))
-    weights = fitted([(features(r["kind"], r["votes"], r["shape"]), p[(r["kind"], *r["votes"])], float(r["n"])) for r in rows])
+    return fitted([(_features(r["kind"], r["votes"], r["shape"]), p[(r["kind"], *r["votes"])], float(r["n"])) for r in rows])
+
+
+def classified(found: DataFrame, weights: dict[str, float]) -> DataFrame:
+    """found with `kept`, the accepted candidates sorted by kind and start, in place of the candidates."""
     table = F.create_map(*[F.lit(x) for f, w in sorted(weights.items()) for x in (f, w)])
     weight = lambda i, v: F.coalesce(F.element_at("weights", F.concat(F.lit(f"{i}="), v.cast("string"))), F.lit(0.0))
 
     def logit(c: Column) -> Column:
-        out = F.lit(weights[""]) + weight(0, c["kind"])
-        for i in range(LABELERS):
-            out = out + weight(1 + i, c["kind"] * 3 + c["votes"][i])
-        for i in range(2):
-            out = out + weight(1 + LABELERS + i, c["kind"] * 10 + c["shape"][i])
+        named = _features(c["kind"], [c["votes"][i] for i in range(LABELERS)], [c["shape"][i] for i in range(2)])
+        out = F.lit(weights[""])
+        for i, value in enumerate(named):
+            out = out + weight(i, value)
         return out
 
-    scored = found.withColumn("weights", table)
     kept = F.filter("found", lambda c: c["base"] | ((logit(c) > 0) & (c["votes"][1] >= 0)))
     bare = F.transform(kept, lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"), c["base"].alias("base")))
-    return scored.select("doc_id", F.array_sort(F.array_distinct(bare)).alias("kept"))
+    return found.withColumn("weights", table).withColumn("kept", F.array_sort(F.array_distinct(bare))).drop("weights", "found")
 
 
 def _joined(spans: Column) -> Column:
@@ -209,7 +216,29 @@ def find_pii(docs: DataFrame) -> DataFrame:
     A null or empty text has no spans. Spans are kind:start:end in code points, end exclusive, by kind as listed and start.
     Rows that repeat an id or a text each get a row; extra columns are ignored.
     """
-    rows = classified(saved(candidates(docs), "candidates"))
+    found = saved(candidates(docs), "candidates")
+    rows = classified(found, learned(found))
     base = F.filter("kept", lambda c: c["base"])
     count = lambda k: F.size(F.filter("kept", lambda c: c["base"] & (c["kind"] == KINDS.index(k)))).cast("long").alias(f"n_{k}")
     return rows.select("doc_id", *[count(k) for k in KINDS], F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("kept")).alias("spans"), (F.size("kept") - F.size(base)).cast("long").alias("n_added"))
+
+
+def redacted(docs: DataFrame) -> DataFrame:
+    """docs with every span found replaced by its kind in brackets; n_chars, where docs has it, follows. Overlapping spans are
+    replaced together by the first one's kind. Null texts stay null. Nothing is joined: candidates are saved beside the row that
+    they are in."""
+    found = saved(candidates(docs, keep=True), "candidates")
+    rows = classified(found, learned(found))
+    names = ", ".join(f"'[{k.upper()}]'" for k in KINDS)
+    order = "array_sort(transform(kept, c -> struct(c.start, c.end, c.kind)))"
+    cut = (
+        f"aggregate({order}, named_struct('at', 0, 'out', cast(array() as array<string>)), (s, c) -> named_struct("
+        f"'at', greatest(s.at, c.end), 'out', if(c.start >= s.at, concat(s.out, array(substring(row.text, s.at + 1, c.start - s.at), array({names})[c.kind])), s.out)), "
+        f"s -> concat(array_join(s.out, ''), substring(row.text, s.at + 1)))"
+    )
+    text = F.when(F.size("kept") > 0, F.expr(cut)).otherwise(F.col("row.text"))
+    rows = rows.withColumn("clean_text", text)
+    changed = {"text": F.col("clean_text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.size("kept") > 0, F.length("clean_text")).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
