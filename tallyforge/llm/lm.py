@@ -33,6 +33,7 @@ SMOOTH = 3.0
 #: Ids that a window scores, ids before them that it also sees, width of the head.
 STRIDE, CONTEXT, WIDTH = 24, 8, 16
 #: One window in so many trains; rounds of averaging; windows in a step; step size.
+BATCH = 128
 TRAIN_ONE_IN, ROUNDS, STEP_WINDOWS, RATE = 16, 2, 64, 0.02
 #: Distinct words of documents that are sent at a time and counted in a task.
 TOKENS_A_TASK = 2_000_000
@@ -147,24 +148,25 @@ def _encoded(path: str):
     return run
 
 
-def _counted(column: str, size: int, count):
-    """A partition's counts of size cells, as rows of those that occur."""
+def _counted(column: str, size: int, path: str, cells):
+    """A partition's counts of size cells, as rows of those that occur. cells: the cells that texts' ids add one to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
+        Subwords.of(path).forget()
+        total = np.zeros(size, np.int32)
         for batch in batches:
-            for low in range(0, batch.num_rows, 1000):
-                total += count(batch.column(column).slice(low, 1000).to_pylist())
+            for low in range(0, batch.num_rows, 500):
+                np.add.at(total, cells(batch.column(column).slice(low, 500).to_pylist()), 1)
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], ["cell", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["cell", "n"])
 
     return run
 
 
-def _total(rows: DataFrame, column: str, size: int, count) -> np.ndarray:
+def _total(rows: DataFrame, column: str, size: int, path: str, cells) -> np.ndarray:
     """Counts over all rows; at most `size` cells reach the driver."""
     out = np.zeros(size, np.float32)
-    found = rows.select(column).mapInArrow(_counted(column, size, count), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    found = rows.select(column).mapInArrow(_counted(column, size, path, cells), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     out[found.column("cell").to_numpy()] = found.column("n").to_numpy()
     return out
 
@@ -266,34 +268,50 @@ def start() -> np.ndarray:
     return np.concatenate([(rng.normal(0, 0.3, s) if name in "qkv" else rng.normal(0, 0.02, s) if name == "w" else np.zeros(s)).ravel() for name, s in SHAPES_OF.items()])
 
 
-def forward(m: dict[str, np.ndarray], two: np.ndarray, x: np.ndarray, seen: np.ndarray, g: np.ndarray):
-    """Log odds (not normalised) of the next classes and what the backward pass needs."""
+def forward(m: dict[str, np.ndarray], two: np.ndarray, x: np.ndarray, seen: np.ndarray, g: np.ndarray, room: dict[str, np.ndarray] | None = None):
+    """Log odds (not normalised) of the next classes and what the backward pass needs. room: arrays to work in, for reuse."""
+    n = len(x)
+    room = room or roomy(n)
     q, k, v = m["q"][x[:, CONTEXT:]], m["k"][x], m["v"][x]
-    s = q @ k.transpose(0, 2, 1)
-    s *= np.float32(WIDTH**-0.5)
+    q *= np.float32(WIDTH**-0.5)
+    s, h, z = room["s"][:n], room["h"][:n], room["z"][:n]
+    np.matmul(q, k.transpose(0, 2, 1), out=s)
     s += m["r"][_BACK] + _CAUSAL
-    s += np.where(seen, np.float32(0), np.float32(-30))[:, None, :]
-    np.clip(s, -60, 20, out=s)
+    edge = np.flatnonzero(~seen.all(axis=1))
+    s[edge] += np.where(seen[edge], np.float32(0), np.float32(-30))[:, None, :]
+    np.minimum(s, np.float32(20), out=s)
     np.exp(s, out=s)
-    s /= s.sum(axis=2, keepdims=True)
-    h = s @ v
-    return h @ m["w"] + two[g], (q, k, v, s, h)
+    total = s.sum(axis=2, keepdims=True)
+    np.matmul(s, v, out=h)
+    h /= total
+    np.matmul(h.reshape(-1, WIDTH), m["w"], out=z.reshape(-1, CLASSES))
+    z += two[g]
+    return z, (q, k, v, s, total, h)
+
+
+def roomy(n: int) -> dict[str, np.ndarray]:
+    return {"s": np.empty((n, STRIDE, CONTEXT + STRIDE), np.float32), "h": np.empty((n, STRIDE, WIDTH), np.float32), "z": np.empty((n, STRIDE, CLASSES), np.float32)}
 
 
 def log_probs(m: dict[str, np.ndarray], two: np.ndarray, windows: Windows) -> np.ndarray:
     """Sum of the natural logs of the class probabilities in each window."""
-    out = np.empty(len(windows.doc))
-    for low in range(0, len(out), 256):
-        x, seen, g, y, counts = windows.take(slice(low, low + 256))
-        z, _ = forward(m, two, x, seen, g)
-        own = np.take_along_axis(z, y[:, :, None].astype(np.intp), 2)[:, :, 0]
+    out, room = np.empty(len(windows.doc)), roomy(BATCH)
+    for low in range(0, len(out), BATCH):
+        x, seen, g, y, counts = windows.take(slice(low, low + BATCH))
+        z, _ = forward(m, two, x, seen, g, room)
+        z = z.reshape(-1, CLASSES)
+        own = z[np.arange(len(z)), y.ravel()]
         np.exp(z, out=z)
-        out[low : low + 256] = ((own - np.log(z.sum(axis=2))) * counts).sum(axis=1)
+        out[low : low + BATCH] = ((own - np.log(z @ _ONES)).reshape(counts.shape) * counts).sum(axis=1)
     return out
 
 
+_ONES = np.ones(CLASSES, np.float32)
+
+
 def gradient(m: dict[str, np.ndarray], two: np.ndarray, x, seen, g, y, counts) -> np.ndarray:
-    z, (q, k, v, s, h) = forward(m, two, x, seen, g)
+    z, (q, k, v, s, total, h) = forward(m, two, x, seen, g)
+    s /= total
     z -= z.max(axis=2, keepdims=True)
     p = np.exp(z)
     p /= p.sum(axis=2, keepdims=True)
@@ -323,6 +341,7 @@ def _trained(path: str, model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, groups, two, flat = model.value
         dtype = Subwords.of(path).dtype
+        Subwords.of(path).forget()
         flat, first, second, steps, used = flat.copy(), np.zeros(PARAMETERS), np.zeros(PARAMETERS), 0, 0
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
@@ -348,6 +367,7 @@ def _scored(path: str, model):
         classes, groups, inside, two, flat = model.value
         size = len(classes)
         m, dtype = unpacked(flat), Subwords.of(path).dtype
+        Subwords.of(path).forget()
         for batch in batches:
             for low in range(0, batch.num_rows, 200):
                 some = batch.slice(low, 200)
@@ -367,15 +387,15 @@ def model_scores(docs: DataFrame, path: str) -> DataFrame:
     size, dtype = coder.size, coder.dtype
     ids = saved(docs.mapInArrow(_encoded(path), "doc_id long, code long, held_out boolean, ids binary"), "ids")
     train = ids.where("not held_out")
-    counts = _total(train, "ids", size + 1, lambda rows: np.bincount(np.frombuffer(b"".join(rows), dtype), minlength=size + 1))
+    counts = _total(train, "ids", size + 1, path, lambda rows: np.frombuffer(b"".join(rows), dtype).astype(np.int64))
     groups = group_of(counts, path)
 
     def pairs(rows: list[bytes]) -> np.ndarray:
         docs = np.concatenate(_sequences(rows, size, dtype))
-        inner = np.flatnonzero(np.append(docs[:-1] != size, False) | np.append(docs[1:] != size, False))  # not from one text to the next
-        return np.bincount(groups[docs[inner]] * (size + 1) + docs[inner + 1], minlength=GROUPS * (size + 1))
+        inner = np.flatnonzero(np.append((docs[:-1] != size) | (docs[1:] != size), False))  # not from one text to the next
+        return groups[docs[inner]] * (size + 1) + docs[inner + 1]
 
-    many = _total(train, "ids", GROUPS * (size + 1), pairs).reshape(GROUPS, size + 1)
+    many = _total(train, "ids", GROUPS * (size + 1), path, pairs).reshape(GROUPS, size + 1)
     classes = class_of(many)
     two, inside = tables(many, classes)
     del many

@@ -14,9 +14,9 @@ import numpy as np
 import pyarrow as pa
 
 #: Entries of a worker's caches at most; beyond, a cache is emptied, which costs time only.
-WORDS, STEMS = 600_000, 900_000
+WORDS, STEMS = 400_000, 700_000
 #: Words on which the short way to a word's ids is tried before it is used.
-PROBES = ["a", "the", "word", "heitung", "straße", "été", "año", "naïve", "слово", "日本", "x" * 40]
+PROBES = ["É", "Über", "a", "the", "word", "heitung", "straße", "été", "año", "naïve", "слово", "日本", "x" * 40]
 VOCABULARY = "word_bpe_49k.json"
 
 #: Byte-level vocabularies write a byte that doesn't print as the next letter from 256 on.
@@ -58,8 +58,14 @@ class Subwords:
         return cls._by_path[path]
 
     def _short(self, word: str) -> list[int] | None:
-        """Ids of lower-case letters in normal form straight from the merges; None where other steps may matter."""
-        if not word.isalpha() or word != word.lower() or not unicodedata.is_normalized("NFC", word):
+        """Ids of a word of letters in normal form straight from the merges; None where other steps may matter. ASCII letters
+        must be in lower case."""
+        if not word.isascii():
+            small = word.lower()
+            if len(small) != len(word) or "Σ" in word or not unicodedata.is_normalized("NFC", word) or not unicodedata.is_normalized("NFC", small):
+                return None
+            word = small
+        if not word.isalpha() or word != word.lower():
             return None
         return [t.id for t in self.tokenizer.model.tokenize(word if word.isascii() else word.encode().decode("latin1").translate(_BYTE_LETTERS))]
 
@@ -94,6 +100,11 @@ class Subwords:
         self.words.update(out)
         return out
 
+    def forget(self) -> None:
+        """Empty the caches, for the memory of what comes next."""
+        self.words.clear()
+        self.stems.clear()
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text, as bytes."""
         out = []
