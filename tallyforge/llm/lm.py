@@ -323,8 +323,9 @@ def gradient(m: dict[str, np.ndarray], two: np.ndarray, x, seen, g, y, counts) -
     dv = s.transpose(0, 2, 1) @ dh
     ds = s * (da - (da * s).sum(axis=2, keepdims=True))
     dr = np.bincount(_BACK.ravel(), ds.sum(axis=0).ravel(), CONTEXT + STRIDE)
+    dk = ds.transpose(0, 2, 1) @ q  # q is scaled already
     ds *= np.float32(WIDTH**-0.5)
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
+    dq = ds @ k
     own = lambda c: (c.ravel()[:, None] == np.arange(CLASSES)).astype(np.float32)
     every, asked = own(x), own(x[:, CONTEXT:])
     return np.concatenate([(asked.T @ dq.reshape(-1, WIDTH)).ravel(), (every.T @ dk.reshape(-1, WIDTH)).ravel(), (every.T @ dv.reshape(-1, WIDTH)).ravel(), dr, dw.ravel()])
