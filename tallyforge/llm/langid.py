@@ -196,31 +196,38 @@ def fit(texts: list[str], labels: list[int], k: int) -> tuple[np.ndarray, np.nda
     return weights, moves
 
 
-def _labelled(weights: np.ndarray, moves: np.ndarray, names: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            best, score, turns = ["und"] * batch.num_rows, [0.0] * batch.num_rows, [0] * batch.num_rows
-            for part in slices(batch.column(2)):
-                found = Words(part.data, part.at)
-                n = part.last - part.first
-                both = marginals(found, weights, moves) if names else np.zeros((len(found.doc), 1))
-                ink = found.letters
-                doc = found.doc[ink]
-                count = np.bincount(doc, minlength=n)
-                mean = np.stack([np.bincount(doc, both[ink, j], n) for j in range(both.shape[1])], 1) / np.maximum(1, count)[:, None]
-                top = both[ink].argmax(axis=1) if len(doc) else np.zeros(0, int)
-                change = np.bincount(doc[1:][(top[1:] != top[:-1]) & (doc[1:] == doc[:-1])], minlength=n) if len(doc) else count
-                plain = np.concatenate([[0], np.cumsum(LETTER[part.data] & (part.data < 128))])
-                for i in np.flatnonzero(count) if names else ():
-                    a, b = part.at[i], part.at[i + 1]
-                    if plain[b] == plain[a] and not any(c.isalpha() for c in bytes(part.data[a:b]).decode()):
-                        continue
-                    j = int(mean[i].argmax())
-                    at = part.first + int(i)
-                    best[at], score[at], turns[at] = names[j], min(1.0, float(mean[i, j])), int(change[i])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(best), pa.array(score), pa.array(turns, pa.int64())], ["doc_id", "held_out", "lang_pred", "score", "n_switches"])
-
-    return run
+def told(column: pa.Array, weights: np.ndarray, moves: np.ndarray, names: list[str]) -> tuple[list[str], list[float], list[int]]:
+    """Language, score and switches of each text of a column."""
+    best, score, turns = ["und"] * len(column), [0.0] * len(column), [0] * len(column)
+    for part in slices(column):
+        found = Words(part.data, part.at)
+        n = part.last - part.first
+        both = marginals(found, weights, moves) if names else np.zeros((len(found.doc), 1))
+        ink = found.letters
+        doc = found.doc[ink]
+        count = np.bincount(doc, minlength=n)
+        mean = np.stack([np.bincount(doc, both[ink, j], n) for j in range(both.shape[1])], 1) / np.maximum(1, count)[:, None]
+        top = both[ink].argmax(axis=1) if len(doc) else np.zeros(0, int)
+        change = np.bincount(doc[1:][(top[1:] != top[:-1]) & (doc[1:] == doc[:-1])], minlength=n) if len(doc) else count
+        plain = np.concatenate([[0], np.cumsum(LETTER[part.data] & (part.data < 128))])
+        for i in np.flatnonzero(count) if names else ():
+            a, b = part.at[i], part.at[i + 1]
+            if plain[b] == plain[a] and not any(c.isalpha() for c in bytes(part.data[a:b]).decode()):
+                continue
+            j = int(mean[i].argmax())
+            at = part.first + int(i)
+            best[at], score[at], turns[at] = names[j], min(1.0, float(mean[i, j])), int(change[i])
+    return best, score, turns
+
+
+def learned(docs: DataFrame, holdout: int):
+    """Languages by name and the broadcast model: a fixed number of weights for each."""
+    known = docs.where((bucket("doc_id", holdout) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
+    rows = sampled(known, "lang", "doc_id", DOCS_A_LANGUAGE).select("doc_id", "lang", "text").orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    names = sorted({r["lang"] for r in rows})[:LANGUAGES]
+    rows = [r for r in rows if r["lang"] in set(names)]
+    weights, moves = fit([r["text"] for r in rows], [names.index(r["lang"]) for r in rows], len(names)) if names else (np.zeros((FAMILIES, 1 << BITS, 1), np.float32), np.zeros((1, 1)))
+    return names, docs.sparkSession.sparkContext.broadcast((weights, moves))
 
 
 def identified(docs: DataFrame, holdout: int = 5) -> DataFrame:
@@ -230,21 +237,26 @@ def identified(docs: DataFrame, holdout: int = 5) -> DataFrame:
     `und` with score 0; so is every text if nothing could be learned. Repeated rows each get a row; ties go to the language
     that is first by name.
     """
-    known = docs.where((bucket("doc_id", holdout) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    rows = sampled(known, "lang", "doc_id", DOCS_A_LANGUAGE).select("doc_id", "lang", "text").orderBy(F.xxhash64("doc_id"), "doc_id").collect()
-    names = sorted({r["lang"] for r in rows})[:LANGUAGES]
-    rows = [r for r in rows if r["lang"] in set(names)]
-    weights, moves = fit([r["text"] for r in rows], [names.index(r["lang"]) for r in rows], len(names)) if names else (np.zeros((FAMILIES, 1 << BITS, 1), np.float32), np.zeros((1, 1)))
-    model = docs.sparkSession.sparkContext.broadcast((weights, moves))  # a fixed number of weights a language
+    names, model = learned(docs, holdout)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _labelled(*model.value, names)(batches)
+        for batch in batches:
+            best, score, turns = told(batch.column(2), *model.value, names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(best), pa.array(score), pa.array(turns, pa.int64())], ["doc_id", "held_out", "lang_pred", "score", "n_switches"])
 
     bare = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (bucket("doc_id", holdout) == 0).alias("held_out"), "text")
     return bare.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, n_switches long")
 
 
-def known_language(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """docs whose language is told with a score of `least` or more; null ids go with their text's verdict."""
-    told = identified(docs).where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(F.col("doc_id").alias("told_id")).distinct()
-    return docs.join(told, F.col("doc_id").eqNullSafe(F.col("told_id")), "left_semi")
+def known_language(docs: DataFrame, least: float = 0.5, holdout: int = 5) -> DataFrame:
+    """docs whose language is told with a score of `least` or more; the rows pass by as they are, without a join."""
+    names, model = learned(docs, holdout)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 1000):
+                some = batch.slice(low, 1000)
+                best, score, _ = told(some.column("text"), *model.value, names)
+                yield some.filter(pa.array([b != "und" and s >= least for b, s in zip(best, score, strict=True)]))
+
+    return docs.mapInArrow(run, docs.schema)

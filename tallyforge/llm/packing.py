@@ -96,6 +96,8 @@ def fill(docs: list[np.ndarray], size: int, window: int) -> Iterator[tuple[int,
 
 def _packed(size: int, dtype: str, window: int, keep_ids: bool):
     def run(table: pa.Table) -> pa.Table:
+        for coder in Subwords._by_path.values():  # the memory of the stage before
+            coder.forget()
         order = np.lexsort((table.column("doc_id").to_numpy(zero_copy_only=False),))
         names = table.column("doc_id").to_pylist()
         raw = table.column("ids").to_pylist()
