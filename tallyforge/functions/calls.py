@@ -108,35 +108,33 @@ def flattened(value: Any) -> dict[str, str]:
 
 
 def _over(kind: str, function, n: int = 1):
-    """A scalar pandas UDF of row-wise Python over string columns; a null argument gives null."""
-    names = [f.split()[0] for f in kind.removeprefix("struct<").rstrip(">").replace(":", " ").split(",")] if kind.startswith("struct") else None
+    """A scalar pandas UDF of row-wise Python over n columns, made when first called; a null argument gives null."""
+    names = [f.split(":")[0] for f in kind.removeprefix("struct<").rstrip(">").split(",")] if kind.startswith("struct") else None
 
-    def batches(parts: Iterator) -> Iterator:
-        for part in parts:
-            columns = part if isinstance(part, tuple) else (part,)
+    def made():
+        def values(columns: tuple[pd.Series, ...]):
             rows = [None if any(x is None for x in row) else function(*row) for row in zip(*columns, strict=True)]
-            if names:
-                yield pd.DataFrame([r if r is not None else (None,) * len(names) for r in rows], columns=names, dtype=object)
-            else:
-                yield pd.Series(rows, dtype=object)
-
-    if n == 1:
+            return pd.DataFrame([r or (None,) * len(names) for r in rows], columns=names, dtype=object) if names else pd.Series(rows, dtype=object)
 
         def one(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            return batches(parts)
+            for part in parts:
+                yield values((part,))
 
-        def one_struct(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            return batches(parts)
+        def one_row(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            for part in parts:
+                yield values((part,))
 
-        return F.pandas_udf(one_struct if names else one, kind)
+        def many(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+            for part in parts:
+                yield values(part)
 
-    def several(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        return batches(parts)
+        def many_row(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+            for part in parts:
+                yield values(part)
 
-    def several_struct(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        return batches(parts)
+        return F.pandas_udf({(1, False): one, (1, True): one_row}.get((n, bool(names)), many_row if names else many), kind)
 
-    return F.pandas_udf(several_struct if names else several, kind)
+    return lambda *columns: made()(*columns)
 
 
 def normalized(query: str) -> str:

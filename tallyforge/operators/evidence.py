@@ -16,7 +16,7 @@ def last_row_memory(history: DataFrame, run: str, order: str, memory: str) -> Da
 def training_summary(history: DataFrame, run: str, order: str) -> DataFrame:
     """run, tokens_seen (most), falls (positive counts below an earlier one's), peak_memory (last), peaks (distinct)."""
     positive = history.where("tokens_seen > 0").withColumn("before", F.max("tokens_seen").over(Window.partitionBy(run).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)))
-    seen = positive.groupBy(run).agg(F.max("tokens_seen").alias("tokens_seen"), F.count_if("tokens_seen < before").alias("falls"))
+    seen = positive.groupBy(run).agg(F.max("tokens_seen").alias("tokens_seen"), F.count_if(F.expr("tokens_seen < before")).alias("falls"))
     peak = history.where("peak_memory is not null").groupBy(run).agg(F.max_by("peak_memory", order).alias("peak_memory"), F.count_distinct("peak_memory").alias("peaks"))
     return seen.join(peak, run, "full_outer")
 

@@ -99,7 +99,7 @@ def admitted(batches: DataFrame, limit: str) -> DataFrame:
 def outcomes(records: DataFrame, reasons: list[str]) -> DataFrame:
     """reason (null: accepted), rows, attempts, retried over the latest record of each source, every reason listed."""
     last = latest(records)
-    found = last.groupBy("dropped").agg(F.count(F.lit(1)).alias("rows"), F.sum("attempt").alias("attempts"), F.count_if("attempt > 1").alias("retried"))
+    found = last.groupBy("dropped").agg(F.count(F.lit(1)).alias("rows"), F.sum("attempt").alias("attempts"), F.count_if(F.expr("attempt > 1")).alias("retried"))
     every = records.sparkSession.range(1).select(F.explode(F.array(F.lit(None).cast("string"), *[F.lit(r) for r in reasons])).alias("reason"))
     zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("rows", "attempts", "retried")]
     return every.join(found, every["reason"].eqNullSafe(found["dropped"]), "left").select("reason", *zero)

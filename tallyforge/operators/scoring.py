@@ -59,7 +59,7 @@ def discordant(reference: DataFrame, candidate: DataFrame) -> DataFrame:
     """One row: pairs, and full calls that only one of two scored cohorts has right; joined on example_id."""
     a = reference.select("example_id", F.col("full_call_exact_match_num").alias("a"))
     b = candidate.select("example_id", F.col("full_call_exact_match_num").alias("b"))
-    return a.join(b, "example_id").agg(F.count(F.lit(1)).alias("pairs"), F.count_if("a = 1 and b = 0").alias("reference_only"), F.count_if("a = 0 and b = 1").alias("candidate_only"))
+    return a.join(b, "example_id").agg(F.count(F.lit(1)).alias("pairs"), F.count_if(F.expr("a = 1 and b = 0")).alias("reference_only"), F.count_if(F.expr("a = 0 and b = 1")).alias("candidate_only"))
 
 
 def mcnemar_p(first: int, second: int) -> float:
