@@ -5,9 +5,11 @@ block one pass counts the document frequencies of its terms over all documents;
 into a shard with an inverted index of these terms, weighted with the global statistics. In a shard:
 
 * documents are laid out by their main frequent word and length, and blocks of them keep the largest weight of each term;
-* a lower bound of the k-th score comes from full scores of likely documents and from what the task has found before;
-* frequent terms whose bounds add up to less than that can't lift a document alone and stay out of the sums;
-* a document is a pivot, and scored in full, only if its sum and its block's bounds of the terms left out reach the bound.
+* the rare terms of a query are summed over their postings; full scores of the documents that this puts first, and what the
+  task has found before, give a lower bound of the k-th score;
+* a block is skipped if its largest sum and its block maxima of the frequent terms can't reach that bound;
+* in the blocks left the frequent terms are added with one matrix product for a batch of like queries, and documents that
+  reach the bound are the pivots, which are scored in full.
 
 Full scores add a query's terms in one order, so equal documents have equal scores everywhere; ties go to the lesser id.
 """
@@ -26,8 +28,8 @@ from .text import hashes, slices, words
 K1, B = 1.2, 0.75
 #: Queries sent at a time; documents and distinct words of a shard at most; documents in a block of an index.
 QUERIES_A_BLOCK, DOCS_A_SHARD, WORDS_A_SHARD, BLOCK = 4096, 16_384, 8_000_000, 64
-#: Terms in fewer documents of a shard than this share are summed up to find likely documents.
-RARE = 0.05
+#: Frequent terms of a shard, kept as columns; queries in a batch; relative error that single precision may have.
+FREQUENT, BATCH, SLACK = 512, 128, 1e-4
 
 
 def counted_terms(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
@@ -51,6 +53,13 @@ class Queries:
         self.terms = [np.searchsorted(self.vocabulary, h).astype(np.int32) for _, h, _, _ in found]
         self.counts = [n.astype(np.float64) for _, _, n, _ in found]
 
+    def by_main_term(self, idf: np.ndarray) -> list[int]:
+        """The queries in the order of their main term among the most frequent ones, so that neighbours are alike."""
+        rank = np.full(len(idf), -1)
+        rank[np.argsort(idf, kind="stable")[:64]] = np.arange(min(64, len(idf)))
+        main = [max(((n, r) for n, r in zip(c, rank[t], strict=True) if r >= 0), default=(0, -1))[1] for t, c in zip(self.terms, self.counts, strict=True)]
+        return sorted(range(len(self.ids)), key=lambda q: (main[q], len(self.terms[q]), q))
+
     def known(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which hashes are in the vocabulary, and where."""
         at = np.minimum(np.searchsorted(self.vocabulary, h), max(0, len(self.vocabulary) - 1))
@@ -105,19 +114,28 @@ class Shard:
         order = np.lexsort((doc, term))
         term, self.doc, self.weight = term[order], doc[order].astype(np.int32), weight[order]
         self.start = np.searchsorted(term, np.arange(v + 1))
-        block = term.astype(np.int64) * (n // BLOCK + 1) + self.doc // BLOCK
-        first = np.flatnonzero(np.append(True, block[1:] != block[:-1])) if len(block) else np.zeros(0, np.int64)
-        self.block, self.block_weight = self.doc[first] // BLOCK, np.maximum.reduceat(self.weight, first) if len(first) else self.weight
-        self.block_start = np.searchsorted(term[first], np.arange(v + 1))
-        self.most = np.zeros(v)
-        np.maximum.at(self.most, term[first], self.block_weight)
+        many = np.diff(self.start)
+        dense = np.argsort(-many, kind="stable")[:FREQUENT]
+        self.column = np.full(v, -1, np.int32)
+        self.column[dense] = np.arange(len(dense))
+        own = self.column[term]
+        blocks = -(-n // BLOCK)
+        self.dense = np.zeros((blocks * BLOCK, FREQUENT), np.float32)
+        self.dense[self.doc[own >= 0], own[own >= 0]] = self.weight[own >= 0]
+        self.block_most = self.dense.reshape(blocks, BLOCK, FREQUENT).max(axis=1)
         self.slot = np.full(v, -1, np.int32)
 
-    @staticmethod
-    def _sum(out: np.ndarray, start: np.ndarray, at: np.ndarray, weight: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> None:
-        if len(terms):
-            low, high = start[terms], start[terms + 1]
-            out += np.bincount(np.concatenate([at[a:b] for a, b in zip(low, high, strict=True)]), np.concatenate([weight[a:b] for a, b in zip(low, high, strict=True)]) * np.repeat(counts, high - low), len(out))
+    def _rare(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Sums of the terms that aren't columns, by document."""
+        low, high = self.start[terms], self.start[terms + 1]
+        use = (self.column[terms] < 0) & (high > low)
+        low, high = low[use], high[use]
+        if not len(low):
+            return np.zeros(len(self.dense), np.float32)
+        at = np.concatenate([self.doc[a:b] for a, b in zip(low, high, strict=True)])
+        weight = np.concatenate([self.weight[a:b] for a, b in zip(low, high, strict=True)])
+        weight *= np.repeat(counts[use], high - low)
+        return np.bincount(at, weight, len(self.dense)).astype(np.float32)
 
     def full(self, docs: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Scores of documents over all terms of a query."""
@@ -132,38 +150,38 @@ class Shard:
         each[np.repeat(np.arange(len(docs)), many)[hit], slot[hit]] = self.own_weight[at][hit]
         return (each * counts).sum(axis=1)
 
-    def search(self, terms: np.ndarray, counts: np.ndarray, k: int, found: list[tuple[float, int]]) -> list[tuple[float, int]]:
-        """The best k of found, (-score, id), and this shard's documents that share a term."""
-        df = self.start[terms + 1] - self.start[terms]
-        has = df > 0
-        live, weight, df = terms[has], counts[has], df[has]
-        if not len(live):
-            return found
-        n = len(self.ids)
-        partial = np.zeros(n)
-        summed = df <= RARE * n
-        self._sum(partial, self.start, self.doc, self.weight, live[summed], weight[summed])
-        likely = np.argpartition(-partial, k)[:k] if n > k else np.arange(n)
-        scores = self.full(likely, terms, counts)
-        least = np.sort(scores)[-k] if n >= k else 0.0
-        if len(found) >= k:
-            least = max(least, -found[k - 1][0])
-        bound = self.most[live] * weight
-        order = np.flatnonzero(~summed)[np.argsort(-df[~summed], kind="stable")]
-        left_out = order[np.cumsum(bound[order]) < least - 1e-6]
-        more = np.setdiff1d(order, left_out)
-        self._sum(partial, self.start, self.doc, self.weight, live[more], weight[more])
-        rest = np.zeros(n // BLOCK + 1)
-        self._sum(rest, self.block_start, self.block, self.block_weight, live[left_out], weight[left_out])
-        pivots = np.flatnonzero((partial > 0) & (partial + rest[np.arange(n) // BLOCK] >= least - 1e-6))
-        if len(pivots) > 4 * k:  # likelier ones first, to lift the bound for the others
-            first = pivots[np.argpartition(-partial[pivots], 2 * k)[: 2 * k]]
-            least = max(least, np.sort(self.full(first, terms, counts))[-k])
-            pivots = pivots[partial[pivots] + rest[pivots // BLOCK] >= least - 1e-6]
-        for low in range(0, len(pivots), 2048):
-            some = pivots[low : low + 2048]
-            found = found + [(-s, i) for s, i in zip(self.full(some, terms, counts).tolist(), self.ids[some].tolist(), strict=True) if s > 0]
-        return sorted(found)[:k]
+    def search(self, batch: list[tuple[np.ndarray, np.ndarray]], k: int, found: list[list[tuple[float, int]]]) -> None:
+        """Put the best k of each query's found, (-score, id), and this shard's documents that share a term into found."""
+        n, size = len(self.ids), len(batch)
+        weights = np.zeros((FREQUENT, size), np.float32)
+        partial = np.empty((size, len(self.dense)), np.float32)
+        least = np.zeros(size)
+        for q, (terms, counts) in enumerate(batch):
+            column = self.column[terms]
+            weights[column[column >= 0], q] = counts[column >= 0]
+            partial[q] = self._rare(terms, counts)
+            if n >= k:
+                likely = np.argpartition(-partial[q, :n], k - 1)[:k]
+                least[q] = self.full(likely, terms, counts).min()
+            if len(found[q]) >= k:
+                least[q] = max(least[q], -found[q][k - 1][0])
+        least -= SLACK * least
+        bound = (self.block_most @ weights).T + partial.reshape(size, -1, BLOCK).max(axis=2)
+        alive = bound >= least[:, None]
+        blocks = np.flatnonzero(alive.any(axis=0))
+        rows = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+        score = (self.dense[rows] @ weights).T if len(blocks) < len(self.block_most) else (self.dense @ weights).T
+        score = np.ascontiguousarray(score)
+        score += partial[:, rows]
+        for q, (terms, counts) in enumerate(batch):
+            own = score[q]
+            reach = np.partition(own, len(own) - k)[len(own) - k] if len(own) > k else 0.0
+            pivots = rows[own >= max(least[q], reach - 2 * SLACK * abs(reach), 1e-9)]
+            pivots = pivots[pivots < n]
+            for low in range(0, len(pivots), 2048):
+                some = pivots[low : low + 2048]
+                found[q] = found[q] + [(-s, i) for s, i in zip(self.full(some, terms, counts).tolist(), self.ids[some].tolist(), strict=True) if s > 0]
+            found[q] = sorted(found[q])[:k]
 
 
 def _searched(sent, statistics, k: int):
@@ -171,6 +189,7 @@ def _searched(sent, statistics, k: int):
         queries: Queries = sent.value
         idf, average = statistics.value
         found: list[list[tuple[float, int]]] = [[] for _ in queries.ids]
+        like = queries.by_main_term(idf)
         ids: list[int] = []
         lengths: list[int] = []
         terms: list[np.ndarray] = []
@@ -181,8 +200,12 @@ def _searched(sent, statistics, k: int):
             nonlocal held
             sizes = [len(t) for t in terms]
             index = Shard(np.array(ids, np.int64), np.array(lengths, np.float64), np.concatenate(terms), np.repeat(np.arange(len(ids)), sizes), np.concatenate(counts).astype(np.float64), idf, average)
-            for q, (t, n) in enumerate(zip(queries.terms, queries.counts, strict=True)):
-                found[q] = index.search(t, n, k, found[q])
+            for low in range(0, len(like), BATCH):
+                some = like[low : low + BATCH]
+                own = [found[q] for q in some]
+                index.search([(queries.terms[q], queries.counts[q]) for q in some], k, own)
+                for q, best in zip(some, own, strict=True):
+                    found[q] = best
             for x in (ids, lengths, terms, counts):
                 x.clear()
             held = 0
