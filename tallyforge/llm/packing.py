@@ -69,7 +69,6 @@ def fill(docs: list[np.ndarray], size: int, window: int) -> Iterator[tuple[int,
     """(document, start, length, sequence, offset) of every piece."""
     index, at, sequence, offset = Index(docs, size), 0, 0, 0
     queue: list[int] = []
-    seed = -1
     while True:
         queue = [d for d in queue if not index.used[d]]
         if queue:
@@ -81,17 +80,17 @@ def fill(docs: list[np.ndarray], size: int, window: int) -> Iterator[tuple[int,
                 return
             now = at
         index.used[now] = True
-        start = 0
+        start, opens = 0, not queue
         while start < len(docs[now]):
             length = min(window - offset, len(docs[now]) - start)
             yield now, start, length, sequence, offset
             start, offset = start + length, offset + length
             if offset == window:
-                sequence, offset = sequence + 1, 0
-                seed = -1
-        if seed < 0 or not queue:  # the first document of a window, or the rest of one, is its seed
-            seed = now
-            queue = index.neighbours(seed)
+                sequence, offset, opens = sequence + 1, 0, True
+        if offset == 0:  # the next window opens with the first unused document
+            queue = []
+        elif opens:  # the first document of a window, or the rest of one, is its seed
+            queue = index.neighbours(now)
 
 
 def _packed(size: int, dtype: str, window: int, keep_ids: bool):
