@@ -37,6 +37,8 @@ BATCH = 128
 TRAIN_ONE_IN, ROUNDS, STEP_WINDOWS, RATE = 16, 2, 64, 0.02
 #: Distinct words of documents that are sent at a time and counted in a task.
 TOKENS_A_TASK = 2_000_000
+#: Words whose ids a worker keeps, besides the model.
+KEPT_WORDS = 300_000
 _END = np.uint64(0x5DEECE66D1234567)
 
 
@@ -139,6 +141,7 @@ def baseline(docs: DataFrame) -> DataFrame:
 def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Subwords.of(path)
+        coder.kept = KEPT_WORDS
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
                 some = batch.slice(low, 500)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .subword import Subwords, as_bytes, vocabulary_path
+from .subword import KEPT, Subwords, as_bytes, vocabulary_path
 
 WINDOW, END = 2048, 1
 #: Documents in a shard, on average.
@@ -24,9 +24,10 @@ DOCS_A_SHARD = 4096
 K1, B, QUERY_TERMS, NEIGHBOURS = 1.2, 0.75, 12, 32
 
 
-def _encoded(path: str, end: int):
+def _encoded(path: str, end: int, kept: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Subwords.of(path)
+        coder.kept = kept
         last = np.array([end], coder.dtype).tobytes()
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
@@ -115,16 +116,17 @@ def _packed(size: int, dtype: str, window: int, keep_ids: bool):
     return run
 
 
-def packed(docs: DataFrame, window: int = WINDOW, path: str | None = None, keep_ids: bool = False) -> DataFrame:
+def packed(docs: DataFrame, window: int = WINDOW, path: str | None = None, keep_ids: bool = False, kept_words: int = KEPT) -> DataFrame:
     """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids, if asked for).
 
     Every id of every document, the end id included, is in one piece. A null or empty text is its end id alone. Rows that
-    repeat an id are packed each; null ids are kept. Extra columns are ignored; an empty table gives no rows.
+    repeat an id are packed each; null ids are kept. Extra columns are ignored; an empty table gives no rows. kept_words
+    trades a worker's memory for time.
     """
     path = path or vocabulary_path()
     size, dtype = Subwords.of(path).size, Subwords.of(path).dtype.str
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     shards = docs.count() // DOCS_A_SHARD + 1
-    ids = docs.mapInArrow(_encoded(path, END), "doc_id long, ids binary").withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
+    ids = docs.mapInArrow(_encoded(path, END, kept_words), "doc_id long, ids binary").withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * keep_ids
     return ids.repartition(shards, "shard").groupBy("shard").applyInArrow(_packed(size, dtype, window, keep_ids), schema)

@@ -13,8 +13,8 @@ from array import array
 import numpy as np
 import pyarrow as pa
 
-#: Entries of a worker's caches at most; beyond, a cache is emptied, which costs time only.
-WORDS, STEMS = 400_000, 700_000
+#: Words that a worker keeps at most; beyond, its cache is emptied, which costs time only. About 0.4 kB each, stems included.
+KEPT = 400_000
 #: Words on which the short way to a word's ids is tried before it is used.
 PROBES = ["É", "Über", "a", "the", "word", "heitung", "straße", "été", "año", "naïve", "слово", "日本", "x" * 40]
 VOCABULARY = "word_bpe_49k.json"
@@ -47,6 +47,7 @@ class Subwords:
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.short = all(self._short(p) == self.tokenizer.encode(p, add_special_tokens=False).ids for p in PROBES)
         self.marks = dict(zip(b".,;:!?", self._full([bytes([c]) for c in b".,;:!?"]), strict=True)) if self.short else {}
+        self.kept = KEPT
         self.words: dict[bytes, bytes] = {}
         self.stems: dict[bytes, bytes] = {}
 
@@ -74,9 +75,9 @@ class Subwords:
 
     def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
         """The ids of words. Capitals A-Z and a last punctuation mark are set apart where that can't change the ids."""
-        if len(self.stems) + len(words) > STEMS:
+        if len(self.stems) + len(words) > self.kept * 7 // 4:
             self.stems.clear()
-        if len(self.words) + len(words) > WORDS:
+        if len(self.words) + len(words) > self.kept:
             self.words.clear()
         out, rest, stems = {}, [], self.stems
         for word in words:

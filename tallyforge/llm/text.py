@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are hashed at a time; a longer document is taken alone.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
