@@ -34,11 +34,11 @@ SMOOTH = 3.0
 STRIDE, CONTEXT, WIDTH = 24, 8, 16
 #: One window in so many trains; rounds of averaging; windows in a step; step size.
 BATCH = 128
-TRAIN_ONE_IN, ROUNDS, STEP_WINDOWS, RATE = 16, 2, 64, 0.02
+TRAIN_ONE_IN, ROUNDS, STEP_WINDOWS, RATE = 24, 2, 64, 0.02
 #: Distinct words of documents that are sent at a time and counted in a task.
 TOKENS_A_TASK = 2_000_000
 #: Words whose ids a worker keeps, besides the model.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 500_000
 _END = np.uint64(0x5DEECE66D1234567)
 
 
@@ -378,8 +378,12 @@ def _scored(path: str, model):
                 ids = some.column(2).to_pylist()
                 docs = _sequences(ids, size - 1, dtype)
                 found = Windows(docs, classes, groups)
+                flat = np.concatenate(docs)
+                edge = np.cumsum([0, *(len(d) for d in docs)])
+                within = inside[found.group[:-1] * size + flat[1:]].astype(np.float32)
+                within[edge[1:-1] - 1] = 0  # from one text to the next
                 total = np.bincount(found.doc, log_probs(m, two, found), len(ids)) / np.log(10)
-                total += [inside[groups[d[:-1]] * size + d[1:]].sum(dtype=np.float64) for d in docs]
+                total += np.add.reduceat(within.astype(np.float64), edge[:-1])
                 yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(total), pa.array([len(x) // dtype.itemsize for x in ids], pa.int64())], ["doc_id", "code", "score", "n_subwords"])
 
     return run
