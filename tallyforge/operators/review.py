@@ -26,11 +26,12 @@ def length_decile(rows: DataFrame, length: str, key: str) -> DataFrame:
     """rows with decile: min(10, rank * 10 // n + 1), rank from 0 by (length, key).
 
     The rank within one length is numbered by key; lengths are counted and summed up, so no single sort holds all rows."""
-    counts = rows.groupBy(length).agg(F.count(F.lit(1)).alias("own"))
-    ahead = counts.withColumns({"ahead": F.sum("own").over(Window.orderBy(length)) - F.col("own"), "n": F.sum("own").over(Window.partitionBy())}).drop("own")
+    counts = rows.groupBy(length).agg(F.count(F.lit(1)).alias("decile_own"))
+    ahead = counts.withColumns({"decile_ahead": F.sum("decile_own").over(Window.orderBy(length)) - F.col("decile_own"), "decile_all": F.sum("decile_own").over(Window.partitionBy())}).drop("decile_own")
     place = F.row_number().over(Window.partitionBy(length).orderBy(key)) - 1
-    ranked = rows.withColumn("place", place).join(ahead, length)
-    return ranked.withColumn("decile", F.least(F.lit(10), F.floor((F.col("ahead") + F.col("place")) * 10 / F.col("n")) + 1).cast("long")).drop("place", "ahead", "n")
+    ranked = rows.withColumn("decile_place", place).join(ahead, length)
+    rank = F.col("decile_ahead") + F.col("decile_place")
+    return ranked.withColumn("decile", F.least(F.lit(10), F.floor(rank * 10 / F.col("decile_all")) + 1).cast("long")).drop("decile_place", "decile_ahead", "decile_all")
 
 
 def strata_counts(rows: DataFrame, *dimensions: str) -> DataFrame:

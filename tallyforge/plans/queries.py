@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.functions import audits, calls, spans
-from tallyforge.operators import evidence, journals, prepare, prompts, review, scoring, secrets
+from tallyforge.functions import audits, calls, payloads, spans
+from tallyforge.operators import evidence, journals, prepare, prompts, reports, requests, review, scoring, secrets
 from tallyforge.sources import records
 
 from . import fixtures as fx
@@ -475,3 +475,46 @@ def telemetry_slices(spark, sf_dir):
 def gpu_labels(spark, sf_dir):
     rows = spark.createDataFrame([("L40S",), ("H100:4",), ("A100:x",)], "l string")
     return rows.select("l", evidence.gpu_count(F.col("l")).alias("gpus"))
+
+
+# Requests and payloads.
+
+
+@query("""SELECT doc_id, concat('{"a":[{"api_key":"[redacted]"},1.0],"lang":"', lang, '"}') AS redacted FROM documents""")
+def redact_json_fields(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", """concat('{"lang": "', lang, '", "a": [{"api_key": "', source, '"}, 1.0]}') AS payload""")
+    return rows.select("doc_id", payloads.redact_fields("payload", F.array(F.lit("api_key"))).alias("redacted"))
+
+
+@query("""SELECT doc_id, 'user_token' AS path, 'sensitive_key' AS kind FROM documents UNION ALL SELECT doc_id, 'x[1].note', 'secret_value' FROM documents WHERE doc_id % 3 = 0""")
+def json_secret_findings(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", """concat('{"user_token": 1, "eos_token": 2, "x": [0, {"note": "', if(doc_id % 3 = 0, 'hf_abcdefghijklmnopqrstuv', lang), '"}]}') AS payload""")
+    return rows.select("doc_id", F.explode(payloads.json_findings("payload", F.array(F.lit("eos_token")))).alias("f")).select("doc_id", "f.path", "f.kind")
+
+
+@query(r"""SELECT doc_id, concat('{"description":"find in ', source, '","name":"lookup","parameters":[{"description":"a \u0026 b","name":"lang","type":"string"},{"name":"n"}]}') AS context FROM documents""")
+def semantic_context(spark, sf_dir):
+    tools = """concat('[{"name":"lookup","description":"find in ', source, '","parameters":{"n":{},"lang":{"type":"string","description":"a & b","default":1}}},{"name":"other"}]') AS tools"""
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", tools).select("doc_id", payloads.semantic_context("tools", F.lit("lookup")).alias("context"))
+
+
+@query("""WITH p AS (SELECT doc_id, concat('Translate into French.', chr(10), CASE WHEN doc_id % 2 = 0 THEN concat('Keep: ', source, ' | ', lang, chr(10)) ELSE '' END, CASE WHEN doc_id % 3 = 0 THEN concat('Last time: empty_output', chr(10)) ELSE '' END, 'Request: ', text) AS prompt FROM documents)
+  SELECT doc_id, sha256(concat('m1', chr(10), prompt)) AS request_sha256, CASE WHEN length(prompt) + 100 <= 4096 THEN 'generate' ELSE 'not_generated' END AS state FROM p""")
+def translation_requests(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    spans_ = F.when(F.col("doc_id") % 2 == 0, F.array("source", "lang")).otherwise(F.array().cast("array<string>"))
+    rows = rows.withColumn("prompt", requests.prompt(F.col("text"), spans_, "French", F.when(F.col("doc_id") % 3 == 0, F.lit("empty_output"))))
+    rows = requests.within_context(rows.withColumn("tokens", F.length("prompt")), "tokens", 100, 4096)
+    return rows.select("doc_id", requests.request_sha256(F.lit("m1"), F.col("prompt")).alias("request_sha256"), "state")
+
+
+@query("""SELECT event_id, CASE event_type WHEN 'click' THEN 'error' ELSE CASE WHEN event_id % 7 = 0 THEN 'mismatch' WHEN event_id % 5 = 0 OR event_id % 11 = 0 THEN 'incomplete' ELSE 'complete' END END AS state FROM events""")
+def response_states(spark, sf_dir):
+    rows = fx.view(spark, sf_dir, """SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'incomplete' ELSE 'completed' END AS status, CASE event_type WHEN 'click' THEN 'refused' END AS error, 'm1' AS requested_model,
+      CASE WHEN event_id % 7 = 0 THEN 'other' ELSE 'm1-2026' END AS returned_model, CASE WHEN event_id % 11 = 0 THEN ' ' ELSE 'text' END AS text FROM @events""")
+    return requests.classified(rows).select("event_id", "state")
+
+
+@query(f"WITH {SCORED}, v AS (SELECT language, model_kind, sum(f1) / sum(f1_den) AS value FROM s GROUP BY GROUPING SETS ((language, model_kind), (model_kind))) SELECT a.language, b.value - a.value AS delta FROM v a JOIN v b ON a.language IS NOT DISTINCT FROM b.language WHERE a.model_kind = 'base' AND b.model_kind = 'adapter'")
+def comparison_report(spark, sf_dir):
+    return reports.compared(_scored(spark, sf_dir), "base", "adapter", "en", 20).deltas.where("metric = 'argument_f1'").select("language", "delta")
