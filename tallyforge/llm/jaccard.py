@@ -33,7 +33,7 @@ from .text import mix, shingle_sets
 ORDERS = 3
 #: Shingles that one task counts, classes and shared shingles in a block, and columns of a matrix product. They bound memory only.
 TOKENS_A_TASK, CLASSES_A_BLOCK, TOKENS_A_BLOCK, COLUMNS = 2_000_000, 128, 1_000_000, 32_768
-_LOW = np.uint64((1 << 48) - 1)
+STAR_PARTS = 16
 
 
 def _least_share(n: np.ndarray, percent: int) -> np.ndarray:
@@ -250,9 +250,14 @@ def jaccard_components(docs: DataFrame, k: int, percent: int, id_col: str = "doc
     shared = spread.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shared(parts), "part int, ids binary, sizes binary, tokens binary, levels binary")
     near = saved(shared.repartition(parts, "part").groupBy("part").applyInArrow(_survivors(percent), "class long, n long, shared long, tokens binary, levels binary, prefix array<long>"), "near")
 
-    by_token = near.select("class", F.explode("prefix").alias("token"))
-    least = by_token.groupBy("token").agg(F.min("class").alias("b"), F.max("class").alias("most")).where("b < most").select("token", "b")
-    coarse = saved(components(by_token.join(least, "token").where("class <> b").select(F.col("class").alias("a"), "b")), "coarse")
+    # stars in two steps, so that a shingle of very many classes is several tasks' work: each class to the least of its part of
+    # the shingle's classes, and these to the least of all
+    by_token = near.select("class", F.explode("prefix").alias("token")).withColumn("part", F.pmod(F.xxhash64("class"), F.lit(STAR_PARTS)))
+    parts_least = by_token.groupBy("token", "part").agg(F.min("class").alias("b"), F.max("class").alias("most"))
+    least = parts_least.groupBy("token").agg(F.min("b").alias("top"), F.max("b").alias("last")).where("top < last").select("token", "top")
+    inner = by_token.join(parts_least.where("b < most").select("token", "part", "b"), ["token", "part"]).where("class <> b").select(F.col("class").alias("a"), "b")
+    outer = parts_least.join(least, "token").where("b <> top").select(F.col("b").alias("a"), F.col("top").alias("b"))
+    coarse = saved(components(inner.unionByName(outer)), "coarse")
     inside = near.select("class", "n", "shared", "tokens", "levels").join(coarse.withColumnRenamed("node", "class"), "class").join(classes.select("class", "copies"), "class")
     of_label = near.select("class", "shared").join(coarse.withColumnRenamed("node", "class"), "class").groupBy("label").agg(F.count(F.lit(1)).alias("m"), F.sum("shared").alias("t"))
     blocks = F.greatest(F.ceil(F.col("m") / CLASSES_A_BLOCK), F.ceil(F.col("t") / TOKENS_A_BLOCK)).cast("int")

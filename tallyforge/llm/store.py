@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -13,7 +15,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir; a local one only where that is unset, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="tallyforge-")
+        folder = tempfile.mkdtemp(prefix="tallyforge-")
+        atexit.register(shutil.rmtree, folder, True)
+        found = "file://" + folder
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
