@@ -20,7 +20,7 @@ from .sample import bucket, sampled
 from .text import LOWER, SPACE, hashes, slices, words
 
 #: Labelled documents of each label that are fitted on, about.
-DOCS_A_LABEL = 2_000
+DOCS_A_LABEL = 4_000
 #: Trees, their depth, shrinkage, bins of a feature, and the share that calibrates.
 TREES, DEPTH, SHRINK, BINS, CALIBRATE = 60, 3, 0.2, 32, 0.3
 #: Look-alikes of letters.
@@ -76,24 +76,21 @@ class Plain:
 
 
 def lexicon(texts: list[str], toxic: np.ndarray) -> list[np.ndarray]:
-    """For each kind of stem, the sorted hashes of those that tell: in at least 3 toxic documents and 1/200 of them, and at
-    most in a 50th as large a share of the clean ones. Whole words of INSULTS are always among them."""
+    """For each kind of stem, the sorted hashes of those that tell: in at least 3 places of toxic documents and one for 200 of
+    them, and in at most a 50th as many, by document, of clean ones. Places after the same word count once, so copies don't
+    add up. Whole words of INSULTS are always among them."""
     out = []
     column = pa.array(texts)
     for length in STEMS:
         found: list[np.ndarray] = []
-        of: list[np.ndarray] = []
         for part in slices(column):
             plain = Plain(part.data, part.at)
-            h, d = plain.stems(length), plain.doc + part.first
-            order = np.lexsort((d, h))
-            h, d = h[order], d[order]
-            new = np.append(True, (h[1:] != h[:-1]) | (d[1:] != d[:-1])) if len(h) else np.zeros(0, bool)
-            found.append(h[new])
-            of.append(d[new])
-        names, inverse = np.unique(np.concatenate(found), return_inverse=True)
-        is_toxic = toxic[np.concatenate(of)].astype(float)
-        yes, no = np.bincount(inverse, is_toxic, len(names)), np.bincount(inverse, 1 - is_toxic, len(names))
+            h, before = plain.stems(length), np.zeros(len(plain.doc), np.uint64)
+            before[1:] = np.where(plain.doc[1:] == plain.doc[:-1], plain.stems(0)[:-1], np.uint64(0))
+            found.append(np.unique(np.stack([h, before, toxic[plain.doc + part.first].astype(np.uint64)], 1), axis=0))
+        places = np.unique(np.concatenate(found), axis=0)
+        names, inverse = np.unique(places[:, 0], return_inverse=True)
+        yes, no = np.bincount(inverse, places[:, 2], len(names)), np.bincount(inverse, 1 - places[:, 2].astype(float), len(names))
         n_yes, n_no = max(1, toxic.sum()), max(1, (1 - toxic).sum())
         told = names[(yes >= 3) & (yes >= n_yes / 200) & (no / n_no * 50 <= yes / n_yes)]
         out.append(told if length else np.union1d(told, _hash(INSULTS)))
