@@ -8,8 +8,8 @@ output of a causal attention head with relative positions. Documents are cut int
 that each id is scored once, with at least that much context, by batched attention with masks.
 
 All counts (ids, pairs of group and id, words of the baseline) cover all training documents. The attention head is trained in every
-partition on a fixed share of the windows of every training document, and the partitions' parameters are averaged between
-rounds; so training, too, grows with the corpus, and what the driver gets is of fixed size.
+partition on a fixed share of the windows of every training document, each in one round, and the partitions' parameters are
+averaged between rounds; so training, too, grows with the corpus, and what the driver gets is of fixed size.
 """
 
 from __future__ import annotations
@@ -26,15 +26,15 @@ from .store import dropped, saved
 from .subword import Subwords, as_bytes, vocabulary_path
 from .text import hashes, mix, slices, words
 
-CLASSES, CLUSTERS = 96, 48
+CLASSES, CLUSTERS = 80, 40
 GROUPS, SHAPES = 256, 32
 #: How much an id's share of its class weighs beside counts after one group, in occurrences.
 SMOOTH = 3.0
 #: Ids that a window scores, ids before them that it also sees, width of the head.
 STRIDE, CONTEXT, WIDTH = 24, 8, 16
-#: One window in so many trains; rounds of averaging; windows in a step; step size.
+#: One window in so many of each training document trains, in one of the rounds of averaging; windows in a step; step size.
 BATCH = 128
-TRAIN_ONE_IN, ROUNDS, STEP_WINDOWS, RATE = 24, 2, 64, 0.02
+TRAIN_ONE_IN, ROUNDS, STEP_WINDOWS, RATE = 12, 2, 64, 0.02
 #: Distinct words of documents that are sent at a time and counted in a task.
 TOKENS_A_TASK = 2_000_000
 #: Words whose ids a worker keeps, besides the model.
@@ -408,9 +408,9 @@ def model_scores(docs: DataFrame, path: str) -> DataFrame:
     two, inside = tables(many, classes)
     del many
     flat = start()
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS):
         sent = spark.sparkContext.broadcast((classes, groups, two, flat))
-        rows = train.select("code", "ids").mapInArrow(_trained(path, sent), "cell long, value double").groupBy("cell").agg(F.sum("value")).collect()
+        rows = train.where(F.pmod(F.xxhash64("code"), F.lit(ROUNDS)) == turn).select("code", "ids").mapInArrow(_trained(path, sent), "cell long, value double").groupBy("cell").agg(F.sum("value")).collect()
         mean = np.zeros(PARAMETERS + 1)
         for cell, value in rows:
             mean[cell] = value
