@@ -248,7 +248,7 @@ def identified(docs: DataFrame, holdout: int = 5) -> DataFrame:
     return bare.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, n_switches long")
 
 
-def known_language(docs: DataFrame, least: float = 0.5, holdout: int = 5) -> DataFrame:
+def known_language(docs: DataFrame, least: float = 0.35, holdout: int = 5) -> DataFrame:
     """docs whose language is told with a score of `least` or more; the rows pass by as they are, without a join."""
     names, model = learned(docs, holdout)
 
