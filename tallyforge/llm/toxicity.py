@@ -20,7 +20,7 @@ from .sample import bucket, sampled
 from .text import LOWER, SPACE, hashes, slices, words
 
 #: Labelled documents of each label that are fitted on, about.
-DOCS_A_LABEL = 4_000
+DOCS_A_LABEL = 3_000
 #: Trees, their depth, shrinkage, bins of a feature, and the share that calibrates.
 TREES, DEPTH, SHRINK, BINS, CALIBRATE = 60, 3, 0.2, 32, 0.3
 #: Look-alikes of letters.
