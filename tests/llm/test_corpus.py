@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyforge.llm import decontaminate, graph, jaccard, packing, subword, topk
@@ -168,6 +169,51 @@ def test_neighbours_share_a_window():
     assert np.mean([len(s) for s in placed.values()]) < 1.6
 
 
+@pytest.fixture
+def small_shards(monkeypatch):
+    monkeypatch.setattr(packing, "DOCS_A_SHARD", 10)
+
+
+def test_packing_asks_all_shards(spark, small_shards):
+    rng = np.random.default_rng(3)
+    own = [" ".join(f"{w}{t}" for w in rng.choice(VOCABULARY, 40)) for t in range(12)]
+    ids = [int(i) for i in rng.permutation(60)]
+    texts = [own[i % 12] for i in ids] + [None, prose(900)]
+    rows = packing.packed(table(spark, texts, [*ids, None, 60]), window=1024, keep_ids=True).collect()
+    pieces, sequences, alike = defaultdict(list), defaultdict(list), defaultdict(set)
+    for r in rows:
+        assert zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 and len(r.ids) == r.length
+        pieces[r.doc_id].append((r.start, r.length, r.doc_tokens))
+        sequences[r.sequence_id].append((r.offset, r.length))
+        alike[r.doc_id % 12 if r.doc_id is not None and r.doc_id < 60 else None].add(r.sequence_id)
+    assert set(pieces) == {*range(61), None}
+    for p in pieces.values():
+        ends = np.cumsum([n for _, n, _ in sorted(p)])
+        assert [s for s, _, _ in sorted(p)] == [0, *ends[:-1]] and ends[-1] == p[0][2]
+    for p in sequences.values():
+        ends = np.cumsum([n for _, n in sorted(p)])
+        assert [o for o, _ in sorted(p)] == [0, *ends[:-1]] and ends[-1] <= 1024
+    assert sum(sum(n for _, n in p) < 1024 for p in sequences.values()) == 1
+    assert np.mean([len(alike[t]) for t in range(12)]) < 2.2  # copies lie in different shards
+
+
+def test_merged_neighbours_are_those_of_one_index(spark):
+    docs = [np.sort(RNG.integers(0, 60, int(n))) for n in RNG.integers(5, 90, 90)]
+    one = packing.Index(docs, 60)
+    df = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=60)
+    whole = (90, float(np.mean([len(d) for d in docs])), df)
+    used = np.arange(90) % 7 == 0
+    one.used = used.copy()
+    held = []
+    for low in range(0, 90, 30):
+        part = packing.Index(docs[low : low + 30], 60, whole)
+        row = pa.RecordBatch.from_pylist([{"shard": low, "docs": 30, "doc": part.doc.tobytes(), "weight": part.weight.tobytes(), "start": part.start.astype(np.int32).tobytes()}])
+        sent = type("Sent", (), {"value": ([q.astype(np.int32) for q in one.query], {low: low}, used)})
+        held += [pa.Table.from_batches([b]) for b in packing._asked(sent)([row])]
+    got = {r["seed"]: np.frombuffer(r["rows"], np.int64).tolist() for r in packing._merged(pa.concat_tables(held)).to_pylist()}
+    assert all(got[i] == one.neighbours(i) for i in range(90))
+
+
 def test_search_against_full_scores(spark, monkeypatch):
     texts = [prose(int(n)) for n in RNG.integers(5, 200, 230)]
     texts += [texts[0]] * 15 + [None, "", "rare unique words", texts[3].upper()]
