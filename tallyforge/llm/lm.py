@@ -8,7 +8,7 @@ output of a causal attention head with relative positions. Documents are cut int
 that each id is scored once, with at least that much context, by batched attention with masks.
 
 All counts (ids, pairs of group and id, words of the baseline) cover all training documents. The attention head is trained in every
-partition on a fixed share of the windows of every training document, each in one round, and the partitions' parameters are
+partition on all windows of all training documents, each document in one round, and the partitions' parameters are
 averaged between rounds; so training, too, grows with the corpus, and what the driver gets is of fixed size.
 """
 
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .sample import bucket
 from .store import dropped, saved
 from .subword import Subwords, as_bytes, vocabulary_path
-from .text import hashes, mix, slices, words
+from .text import hashes, slices, words
 
 CLASSES, CLUSTERS = 80, 40
 GROUPS, SHAPES = 256, 32
@@ -32,9 +32,9 @@ GROUPS, SHAPES = 256, 32
 SMOOTH = 3.0
 #: Ids that a window scores, ids before them that it also sees, width of the head.
 STRIDE, CONTEXT, WIDTH = 24, 8, 16
-#: One window in so many of each training document trains, in one of the rounds of averaging; windows in a step; step size.
+#: Windows scored at a time. Rounds of averaging, each over its share of the documents; windows in a step; step size.
 BATCH = 128
-TRAIN_ONE_IN, ROUNDS, STEP_WINDOWS, RATE = 12, 2, 64, 0.02
+ROUNDS, STEP_WINDOWS, RATE = 2, 64, 0.02
 #: Distinct words of documents that are sent at a time and counted in a task.
 TOKENS_A_TASK = 2_000_000
 #: Words whose ids a worker keeps, besides the model.
@@ -236,7 +236,7 @@ class Windows:
         many = -(-lengths // STRIDE)
         self.doc = np.repeat(np.arange(len(docs)), many)
         block = np.arange(len(self.doc)) - np.repeat(np.cumsum(many) - many, many)
-        self.start, self.number = first[self.doc] + block * STRIDE, block
+        self.start = first[self.doc] + block * STRIDE
         self.flat, self.group, self.begin, self.end = classes[flat], groups[flat], first[self.doc], first[self.doc] + lengths[self.doc]
 
     def take(self, which) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -350,16 +350,16 @@ def _trained(path: str, model):
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
                 some = batch.slice(low, 500)
-                found = Windows(_sequences(some.column(1).to_pylist(), len(classes) - 1, dtype), classes, groups)
-                code = some.column(0).to_numpy().view(np.uint64)[found.doc]
-                chosen = np.flatnonzero(mix(code ^ found.number.astype(np.uint64), 77) % np.uint64(TRAIN_ONE_IN) == 0)
-                for at in range(0, len(chosen), STEP_WINDOWS):
-                    g = gradient(unpacked(flat), two, *found.take(chosen[at : at + STEP_WINDOWS]))
+                found = Windows(_sequences(some.column(0).to_pylist(), len(classes) - 1, dtype), classes, groups)
+                # a step has windows of many documents
+                order = np.random.default_rng(steps).permutation(len(found.doc))
+                for at in range(0, len(order), STEP_WINDOWS):
+                    g = gradient(unpacked(flat), two, *found.take(order[at : at + STEP_WINDOWS]))
                     steps += 1
                     first += 0.1 * (g - first)
                     second += 0.01 * (g * g - second)
                     flat -= RATE * (first / (1 - 0.9**steps)) / (np.sqrt(second / (1 - 0.99**steps)) + 1e-8)
-                used += len(chosen)
+                used += len(order)
         cells = np.arange(PARAMETERS + 1)
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(np.append(flat, 1.0) * used)], ["cell", "value"])
 
@@ -410,7 +410,7 @@ def model_scores(docs: DataFrame, path: str) -> DataFrame:
     flat = start()
     for turn in range(ROUNDS):
         sent = spark.sparkContext.broadcast((classes, groups, two, flat))
-        rows = train.where(F.pmod(F.xxhash64("code"), F.lit(ROUNDS)) == turn).select("code", "ids").mapInArrow(_trained(path, sent), "cell long, value double").groupBy("cell").agg(F.sum("value")).collect()
+        rows = train.where(F.pmod(F.xxhash64("code"), F.lit(ROUNDS)) == turn).select("ids").mapInArrow(_trained(path, sent), "cell long, value double").groupBy("cell").agg(F.sum("value")).collect()
         mean = np.zeros(PARAMETERS + 1)
         for cell, value in rows:
             mean[cell] = value

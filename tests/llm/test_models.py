@@ -148,6 +148,20 @@ def test_gradient_against_differences():
         assert (loss(flat + step) - loss(flat - step)) / 0.1 == pytest.approx(g[at], rel=0.1, abs=2e-4)
 
 
+def test_all_windows_train():
+    from tallyforge.llm import subword
+
+    path = subword.vocabulary_path()
+    size, dtype = subword.Subwords.of(path).size, subword.Subwords.of(path).dtype
+    classes, groups = np.zeros(size + 1, np.int64), np.zeros(size + 1, np.int64)
+    lengths = [0, 3, 23, 24, 25, 130, 7]
+    ids = [RNG.integers(0, 500, n).astype(dtype).tobytes() for n in lengths]
+    model = type("Sent", (), {"value": (classes, groups, np.zeros((lm.GROUPS, lm.CLASSES), np.float32), lm.start())})
+    want = sum(-(-(n + 1) // lm.STRIDE) for n in lengths)
+    (out,) = lm._trained(path, model)([pa.record_batch({"ids": pa.array(ids, pa.binary())})])
+    assert out.column(1)[-1].as_py() == want
+
+
 def test_model_beats_shuffled_letters(spark):
     rows = [(i, sentence("en", 60), "en", "s", None) for i in range(300)]
     unseen = next(i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 5 == 1)
