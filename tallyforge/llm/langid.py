@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 from .sample import bucket, sampled
 from .text import LOWER, SPACE, hashes, mix, slices, words
 
-#: Labelled documents of a language that are fitted on, about; languages at most.
-DOCS_A_LANGUAGE, LANGUAGES = 300, 64
-#: Bits of each hashed family of features; words in a block.
-BITS, BLOCK = 16, 32
+#: Labelled documents of a language that are fitted on, about; with many languages fewer, so that all have DOCS, but LEAST each.
+DOCS_A_LANGUAGE, DOCS, LEAST = 300, 19_200, 20
+#: Bits of each hashed family of features, and the most languages that have as many (beyond, fewer bits bound the memory);
+#: words in a block.
+BITS, WIDE, BLOCK = 16, 64, 32
 PASSES, RATE, SPLICED = 3, 0.3, 0.2
 FAMILIES = 6  # bigrams, trigrams, words, prefixes, suffixes of 3, suffixes of 4
 
@@ -32,7 +33,8 @@ LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 class Words:
     """Words of a slice and their features: byte n-grams by position, and word features by word."""
 
-    def __init__(self, data: np.ndarray, at: np.ndarray) -> None:
+    def __init__(self, data: np.ndarray, at: np.ndarray, bits: int = BITS) -> None:
+        self.bits = bits
         self.starts, self.ends, self.doc = words(data, at)
         n = len(self.starts)
         low = LOWER[data].astype(np.int64)
@@ -48,19 +50,21 @@ class Words:
         out[inside] = low[~SPACE[data]]
         two = out[:-1] << 8 | out[1:]
         self.two = np.append(two, 0)
-        self.three = np.append(((self.two[:-2] << 8 | out[2:]) * 40503 & 0xFFFFFF) >> (24 - BITS), (0, 0)) if size else two
+        self.three = np.append(((self.two[:-2] << 8 | out[2:]) * 40503 & 0xFFFFFF) >> (24 - bits), (0, 0)) if size else two
+        if bits < BITS:
+            self.two = (self.two * 40503 & 0xFFFF) >> (16 - bits)
         ends = first + lengths + 1
         self.edge = np.concatenate([ends, ends - 1])  # n-grams from here on belong to no word
         whole = hashes(data, self.starts, self.ends)
         near = hashes(data, self.starts, np.minimum(self.starts + 3, self.ends))
         last3, last4 = (hashes(data, np.maximum(self.ends - k, self.starts), self.ends) for k in (3, 4))
-        self.by_word = [(mix(h, 30 + i) >> np.uint64(64 - BITS)).astype(np.int64) for i, h in enumerate((whole, near, last3, last4))]
+        self.by_word = [(mix(h, 30 + i) >> np.uint64(64 - bits)).astype(np.int64) for i, h in enumerate((whole, near, last3, last4))]
         ink = np.zeros(len(data) + 1, np.int64)
         np.cumsum(LETTER[data], out=ink[1:])
         self.letters = ink[self.ends] > ink[self.starts]
 
     def emissions(self, weights: np.ndarray) -> np.ndarray:
-        """(words, languages) scores. weights: (families, 2**BITS, languages)."""
+        """(words, languages) scores. weights: (families, 2**bits, languages)."""
         if not len(self.starts):
             return np.zeros((0, weights.shape[2]), np.float32)
         total = weights[0][self.two]
@@ -75,19 +79,24 @@ class Words:
 
     def slope(self, off: np.ndarray, k: int) -> np.ndarray:
         """The gradient of the weights for off, d loss / d emission."""
-        out = np.zeros((FAMILIES, 1 << BITS, k), np.float32)
+        out = np.zeros((FAMILIES, 1 << self.bits, k), np.float32)
         sizes = np.diff(np.append(self.first, len(self.two)))
         for j in range(k):
             spread = np.repeat(off[:, j], sizes)
             spread[self.edge[: len(self.starts)]] = 0
-            out[0, :, j] = np.bincount(self.two, spread, 1 << BITS)
+            out[0, :, j] = np.bincount(self.two, spread, 1 << self.bits)
             spread[self.edge] = 0
-            out[1, :, j] = np.bincount(self.three, spread, 1 << BITS)
+            out[1, :, j] = np.bincount(self.three, spread, 1 << self.bits)
             for i, h in enumerate(self.by_word):
-                out[2 + i, :, j] = np.bincount(h, off[:, j], 1 << BITS)
+                out[2 + i, :, j] = np.bincount(h, off[:, j], 1 << self.bits)
         return out
 
 
+def bits_for(k: int) -> int:
+    """Bits of a family for k languages: all of BITS up to WIDE languages, then fewer."""
+    return BITS - max(0, min(8, (-(-k // WIDE) - 1).bit_length()))
+
+
 def in_blocks(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """Block and place of each word, and the number of blocks; a block has words of one document only."""
     n = len(doc)
@@ -157,16 +166,17 @@ def _marginals_only(scores: np.ndarray, mask: np.ndarray, moves: np.ndarray) ->
 
 
 def fit(texts: list[str], labels: list[int], k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Weights (families, 2**BITS, k) and transitions (k, k) by AdaGrad on the conditional likelihood."""
+    """Weights (families, 2**bits, k) and transitions (k, k) by AdaGrad on the conditional likelihood."""
     rng = np.random.default_rng(5)
     column = pa.array([texts[i] for i in rng.permutation(len(texts))])
     gold = np.array([labels[i] for i in np.random.default_rng(5).permutation(len(texts))])
-    weights, moves = np.zeros((FAMILIES, 1 << BITS, k), np.float32), np.zeros((k, k))
+    bits = bits_for(k)
+    weights, moves = np.zeros((FAMILIES, 1 << bits, k), np.float32), np.zeros((k, k))
     square, square_moves = np.full_like(weights, 1e-6), np.full((k, k), 1e-6)
     for _ in range(PASSES):
         for low in range(0, len(column), 64):
             for part in slices(column.slice(low, 64)):
-                found = Words(part.data, part.at)
+                found = Words(part.data, part.at, bits)
                 if not len(found.doc):
                     continue
                 block, place, n = in_blocks(found.doc)
@@ -200,7 +210,7 @@ def told(column: pa.Array, weights: np.ndarray, moves: np.ndarray, names: list[s
     """Language, score and switches of each text of a column."""
     best, score, turns = ["und"] * len(column), [0.0] * len(column), [0] * len(column)
     for part in slices(column):
-        found = Words(part.data, part.at)
+        found = Words(part.data, part.at, bits_for(len(names)))
         n = part.last - part.first
         both = marginals(found, weights, moves) if names else np.zeros((len(found.doc), 1))
         ink = found.letters
@@ -223,10 +233,11 @@ def told(column: pa.Array, weights: np.ndarray, moves: np.ndarray, names: list[s
 def learned(docs: DataFrame, holdout: int):
     """Languages by name and the broadcast model: a fixed number of weights for each."""
     known = docs.where((bucket("doc_id", holdout) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    rows = sampled(known, "lang", "doc_id", DOCS_A_LANGUAGE).select("doc_id", "lang", "text").orderBy(F.xxhash64("doc_id"), "doc_id").collect()
-    names = sorted({r["lang"] for r in rows})[:LANGUAGES]
-    rows = [r for r in rows if r["lang"] in set(names)]
-    weights, moves = fit([r["text"] for r in rows], [names.index(r["lang"]) for r in rows], len(names)) if names else (np.zeros((FAMILIES, 1 << BITS, 1), np.float32), np.zeros((1, 1)))
+    names = sorted(r["lang"] for r in known.select("lang").distinct().collect())
+    most = max(LEAST, min(DOCS_A_LANGUAGE, DOCS // max(1, len(names))))
+    rows = sampled(known, "lang", "doc_id", most).select("doc_id", "lang", "text").orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    place = {name: i for i, name in enumerate(names)}
+    weights, moves = fit([r["text"] for r in rows], [place[r["lang"]] for r in rows], len(names)) if names else (np.zeros((FAMILIES, 1 << BITS, 1), np.float32), np.zeros((1, 1)))
     return names, docs.sparkSession.sparkContext.broadcast((weights, moves))
 
 

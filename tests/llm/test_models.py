@@ -37,6 +37,16 @@ def test_languages_on_held_out_rows(spark, corpus):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in out)
 
 
+def test_no_language_is_left_out(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = [f"a{i:02d}" for i in range(69)] + ["zh"]
+    own = {n: [letters[i % 26] + letters[i // 26] + letters[(i * 7) % 26], letters[(i * 5) % 26] + letters[i // 26] * 2] for i, n in enumerate(names)}
+    rows = [(i, " ".join(RNG.choice(own[names[i % 70]], 8)), names[i % 70], "s", None) for i in range(70 * 7)]
+    out = langid.identified(spark.createDataFrame(rows, DOCS)).collect()
+    right = {r.doc_id for r in out if r.lang_pred == names[r.doc_id % 70]}
+    assert len(right) > 0.9 * len(rows) and {i for i in range(len(rows)) if i % 70 == 69} <= right
+
+
 def test_labels_of_the_row_itself_do_not_count(spark, corpus):
     wrong = [(i, t, "fr" if zlib.crc32(str(i).encode()) % 5 == 0 else lang, s, x) for i, t, lang, s, x in corpus]
     a = {r.doc_id: r.score for r in langid.identified(spark.createDataFrame(corpus, DOCS)).collect()}
