@@ -26,7 +26,7 @@ from .store import dropped, saved
 from .subword import Subwords, as_bytes, vocabulary_path
 from .text import hashes, slices, words
 
-CLASSES, CLUSTERS = 80, 40
+CLASSES, CLUSTERS = 96, 40
 GROUPS, SHAPES = 256, 32
 #: How much an id's share of its class weighs beside counts after one group, in occurrences.
 SMOOTH = 3.0
@@ -226,7 +226,7 @@ def tables(pairs: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 class Windows:
-    """Windows over documents' classes: inputs (windows, CONTEXT + STRIDE), targets and masks."""
+    """Windows over documents: the groups of inputs (windows, CONTEXT + STRIDE), classes of targets, and masks."""
 
     def __init__(self, docs: list[np.ndarray], classes: np.ndarray, groups: np.ndarray) -> None:
         """docs: the ids of each document, between two ends."""
@@ -243,7 +243,7 @@ class Windows:
         """Inputs, whether they are seen, groups before the targets, targets, whether they count."""
         at = self.start[which][:, None] + np.arange(-CONTEXT, STRIDE)
         seen = (at >= self.begin[which][:, None]) & (at < self.end[which][:, None])
-        x = self.flat[np.where(seen, at, 0)]
+        x = self.group[np.where(seen, at, 0)]
         to = at[:, CONTEXT:] + 1
         counts = to <= self.end[which][:, None]
         to = np.where(counts, to, 0)
@@ -253,7 +253,7 @@ class Windows:
 _BACK = np.arange(STRIDE)[:, None] + CONTEXT - np.arange(CONTEXT + STRIDE)[None, :]
 _CAUSAL = np.where(_BACK >= 0, 0, -30).astype(np.float32)
 _BACK = np.maximum(_BACK, 0)
-SHAPES_OF = {"q": (CLASSES, WIDTH), "k": (CLASSES, WIDTH), "v": (CLASSES, WIDTH), "r": (CONTEXT + STRIDE,), "w": (WIDTH, CLASSES)}
+SHAPES_OF = {"q": (GROUPS, WIDTH), "k": (GROUPS, WIDTH), "v": (GROUPS, WIDTH), "r": (CONTEXT + STRIDE,), "w": (WIDTH, CLASSES)}
 PARAMETERS = sum(int(np.prod(s)) for s in SHAPES_OF.values())
 
 
@@ -329,7 +329,7 @@ def gradient(m: dict[str, np.ndarray], two: np.ndarray, x, seen, g, y, counts) -
     dk = ds.transpose(0, 2, 1) @ q  # q is scaled already
     ds *= np.float32(WIDTH**-0.5)
     dq = ds @ k
-    own = lambda c: (c.ravel()[:, None] == np.arange(CLASSES)).astype(np.float32)
+    own = lambda c: (c.ravel()[:, None] == np.arange(GROUPS)).astype(np.float32)
     every, asked = own(x), own(x[:, CONTEXT:])
     return np.concatenate([(asked.T @ dq.reshape(-1, WIDTH)).ravel(), (every.T @ dk.reshape(-1, WIDTH)).ravel(), (every.T @ dv.reshape(-1, WIDTH)).ravel(), dr, dw.ravel()])
 

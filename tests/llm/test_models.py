@@ -172,6 +172,13 @@ def test_all_windows_train():
     assert out.column(1)[-1].as_py() == want
 
 
+def test_attention_tells_groups_apart():
+    classes, groups = np.zeros(lm.GROUPS, np.int64), np.arange(lm.GROUPS)
+    found = lm.Windows([np.arange(10, 40)], classes, groups)
+    x, seen, *_ = found.take(np.arange(len(found.doc)))
+    assert set(x[seen]) == set(range(10, 39)) and all(len(lm.unpacked(lm.start())[c]) == lm.GROUPS for c in "qkv")
+
+
 def test_model_beats_shuffled_letters(spark):
     rows = [(i, sentence("en", 60), "en", "s", None) for i in range(300)]
     unseen = next(i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 5 == 1)
