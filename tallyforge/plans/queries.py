@@ -276,6 +276,13 @@ def paired_bootstrap(spark, sf_dir):
     return scoring.bootstrap(base, adapter, 40, "s1").where(F.col("metric").isin("full_call_exact_match", "argument_f1"))
 
 
+@query()
+def paired_bootstrap_full(spark, sf_dir):
+    """All metrics with the reference's 2,000 resamples; paired_bootstrap is the small case that SQL checks."""
+    base, adapter = _kinds(spark, sf_dir)
+    return scoring.bootstrap(base, adapter, 2000, "s1")
+
+
 @query(f"WITH {SCORED}, v AS (SELECT language, model_kind, sum(whole) / count(*) AS value FROM s GROUP BY ALL) SELECT a.language, b.value - a.value AS delta FROM v a JOIN v b USING (language) WHERE a.model_kind = 'base' AND b.model_kind = 'adapter'")
 def adapter_deltas(spark, sf_dir):
     measured = scoring.metrics(_scored(spark, sf_dir), "model_kind")
@@ -518,3 +525,9 @@ def response_states(spark, sf_dir):
 @query(f"WITH {SCORED}, v AS (SELECT language, model_kind, sum(f1) / sum(f1_den) AS value FROM s GROUP BY GROUPING SETS ((language, model_kind), (model_kind))) SELECT a.language, b.value - a.value AS delta FROM v a JOIN v b ON a.language IS NOT DISTINCT FROM b.language WHERE a.model_kind = 'base' AND b.model_kind = 'adapter'")
 def comparison_report(spark, sf_dir):
     return reports.compared(_scored(spark, sf_dir), "base", "adapter", "en", 20).deltas.where("metric = 'argument_f1'").select("language", "delta")
+
+
+@query()
+def comparison_intervals(spark, sf_dir):
+    """Intervals of each language with the default of 2,000 resamples; comparison_report is the small case that SQL checks."""
+    return reports.compared(_scored(spark, sf_dir), "base", "adapter", "en").intervals

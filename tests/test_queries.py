@@ -59,3 +59,29 @@ def test_bootstrap_covers_the_change(spark):
     base = spark.createDataFrame([(str(i), *([0, 1] * 5)) for i in range(30)], ["example_id", *names])
     better = spark.createDataFrame([(str(i), *([1, 1] * 5)) for i in range(30)], ["example_id", *names])
     assert all(r.lower == r.upper == 1.0 for r in scoring.bootstrap(base, better, 20, "s").collect())
+
+
+def test_bootstrap_against_brute_force(spark):
+    import hashlib
+
+    import numpy as np
+
+    names = [f"{m}_{p}" for m in scoring.METRICS for p in ("num", "den")]
+    table = {k: [[(i * (7 + k) + j * j) % (3 + j % 2) % 2, 1] for i in range(12) for j in range(5)] for k in (0, 1)}
+    sides = [np.array(table[k]).reshape(12, 10) for k in (0, 1)]
+    base, other = (spark.createDataFrame([(f"{i:02d}", *map(int, r)) for i, r in enumerate(side)], ["example_id", *names]) for side in sides)
+    draws = np.array([[int(hashlib.md5(f"s1:{r}:{i}".encode()).hexdigest()[:8], 16) % 12 for i in range(12)] for r in range(2000)])
+    got = {r.metric: (r.lower, r.upper) for r in scoring.bootstrap(base, other, 2000, "s1").collect()}
+    assert set(got) == set(scoring.METRICS)
+    for j, metric in enumerate(scoring.METRICS):
+        rate = [side[draws][:, :, 2 * j].sum(axis=1) / side[draws][:, :, 2 * j + 1].sum(axis=1) for side in sides]
+        assert got[metric] == pytest.approx(tuple(np.quantile(rate[1] - rate[0], [0.025, 0.975])))
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables")
+def test_registered_bootstraps_are_whole(spark, monkeypatch):
+    asked, real = [], scoring.bootstrap
+    monkeypatch.setattr(scoring, "bootstrap", lambda a, b, n, *rest: asked.append(n) or real(a, b, n, *rest))
+    assert {r.metric for r in QUERIES["paired_bootstrap_full"](spark, DATA).collect()} == set(scoring.METRICS)
+    assert {"metric", "lower", "upper", "language"} == set(QUERIES["comparison_intervals"](spark, DATA).columns)
+    assert asked == [2000, 2000]
