@@ -1,4 +1,4 @@
-"""Exact BM25 top-k search: inverted indexes with block-max WAND pruning, run per shard and merged with global statistics.
+"""Exact BM25 top-k search: inverted indexes with batched filtering of blocks by their maxima (not WAND: no cursors skip), run per shard and merged with global statistics.
 
 Terms are words as in text.py; a query's weights are its term counts. Queries are sent in blocks of bounded size. For each
 block one pass counts the document frequencies of its terms over all documents; a second pass turns every run of documents
@@ -9,7 +9,7 @@ into a shard with an inverted index of these terms, weighted with the global sta
   task has found before, give a lower bound of the k-th score;
 * a block is skipped if its largest sum and its block maxima of the frequent terms can't reach that bound;
 * in the blocks left the frequent terms are added with one matrix product for a batch of like queries, and documents that
-  reach the bound are the pivots, which are scored in full.
+  reach the bound (`pivots`) are scored in full.
 
 Full scores add a query's terms in one order, so equal documents have equal scores everywhere; ties go to the lesser id.
 """
