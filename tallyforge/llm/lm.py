@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .sample import bucket
 from .store import dropped, saved
-from .subword import Subwords, as_bytes, vocabulary_path
+from .subword import Subwords, as_binary, vocabulary_path
 from .text import hashes, slices, words
 
 CLASSES, CLUSTERS = 96, 40
@@ -145,8 +145,7 @@ def _encoded(path: str):
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
                 some = batch.slice(low, 500)
-                ids = coder.encode(as_bytes(some.column(3)))
-                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), some.column(2), pa.array(ids, pa.binary())], ["doc_id", "code", "held_out", "ids"])
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), some.column(2), as_binary(*coder.encode(some.column(3)))], ["doc_id", "code", "held_out", "ids"])
 
     return run
 

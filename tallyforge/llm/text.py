@@ -5,6 +5,7 @@ A word is a maximal run of bytes other than 0x20 and 0x09-0x0D; A-Z are lower-ca
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -13,6 +14,8 @@ import pyarrow as pa
 
 #: Bytes of text that are hashed at a time; a longer document is taken alone.
 SLICE_BYTES = 1_000_000
+#: Bytes of a span from which on it is hashed by itself.
+LONG = 128
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -85,12 +88,18 @@ def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of the lower-cased bytes: a polynomial over random codes, from prefix sums."""
+    """A 64-bit hash of each span of the lower-cased bytes: a polynomial over random codes, from prefix sums.
+
+    Modulo a power of two, a polynomial takes some patterns of a thousand letters for each other; spans of LONG bytes and
+    more have a cryptographic hash instead."""
     n = len(data)
     sums = np.zeros(n + 1, dtype=np.uint64)
     with np.errstate(over="ignore"):
         np.cumsum(_CODE[LOWER[data]] * _power(_BASE, n), out=sums[1:])
-        return mix((sums[ends] - sums[starts]) * _power(_INVERSE, n + 1)[starts])
+        out = mix((sums[ends] - sums[starts]) * _power(_INVERSE, n + 1)[starts])
+    for i in np.flatnonzero(ends - starts >= LONG):
+        out[i] = int.from_bytes(hashlib.blake2b(LOWER[data[starts[i] : ends[i]]].tobytes(), digest_size=8).digest(), "little")
+    return out
 
 
 def shingles(word: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
