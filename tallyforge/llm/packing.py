@@ -1,376 +1,221 @@
 """Packing of documents into sequences by lexical retrieval.
 
-A BM25 inverted index over subword ids holds every document; where there are many, it is cut into shards of bounded size that
-share the statistics of all documents. A seed document opens a window; its best unused neighbours among all documents follow
-greedily until the window is full. The document that doesn't fit is cut, and its rest is the seed of the next window.
-
-One shard is filled in one task. Over several, many windows are filled at a time, in chains: in each round every shard is asked
-for the neighbours of all chains' seeds, by all their ids, and the answers are merged before the greedy fill, which needs only
-the documents' lengths and runs on the driver. Windows that the last documents leave open are joined, so only the last window
-of all has padding. Work grows with seeds x documents.
+Documents are laid out by their words: a signature of several weighted minima over their subword ids (late ids of a
+vocabulary of merges are rare words and weigh more) orders all rows, so that documents which share rare words lie near each
+other, copies side by side. Runs of this order are the shards of a BM25 inverted index with the statistics of all documents.
+A seed document opens a window; its unused neighbours in the shard, ranked by all of the seed's ids, fill it greedily. The
+document that doesn't fit is cut, and its rest is the seed of the next window. A window that a shard leaves open is filled on
+by the next shard of the task, so a task pads one window at most. Work and memory grow with the documents, not their square.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import dropped, saved
-from .subword import KEPT, Subwords, as_bytes, vocabulary_path
+from .store import saved
+from .subword import KEPT, Subwords, as_binary, from_binary, vocabulary_path
+from .text import mix
+from .workers import tidy
 
 WINDOW, END = 2048, 1
-#: Documents in a shard, on average.
-DOCS_A_SHARD = 4096
-#: BM25, and the neighbours that a seed gets at a time; it asks again when they are used up.
-K1, B, NEIGHBOURS = 1.2, 0.75, 32
-#: Windows filled at a time, at most, and rounds that are worth it; seeds scored at a time; parts that answers are merged in.
-CHAINS, ROUNDS, SEEDS, PARTS = 4096, 16, 256, 16
-
-
-def _encoded(path: str, end: int, kept: int):
+#: Documents and ids of a shard, at most (a longer document is a shard of its own); ids of a task, and tasks at most.
+DOCS_A_SHARD, IDS_A_SHARD, IDS_A_TASK, TASKS = 2048, 4_000_000, 8_000_000, 50_000
+#: Minima of a signature. BM25. Neighbours that are sorted at first.
+MINIMA, K1, B, FEW = 4, 1.2, 0.75, 16
+
+
+def signatures(flat: np.ndarray, edges: np.ndarray, size: int) -> np.ndarray:
+    """(documents, MINIMA): for each of several hashes, the id with the least exponential draw at a rate of its weight."""
+    weight = np.maximum(1e-3, np.log2(np.maximum(1, np.arange(size) / 512))) ** 2
+    out = np.zeros((len(edges) - 1, MINIMA), np.int32)
+    full = np.flatnonzero(np.diff(edges))
+    if not len(full):
+        return out
+    for k in range(MINIMA):
+        draw = (mix(np.arange(size, dtype=np.uint64), 400 + k) >> np.uint64(11)).astype(np.float64) / (1 << 53)
+        order = np.argsort(-np.log1p(-draw) / weight, kind="stable")
+        rank = np.empty(size, np.int32)
+        rank[order] = np.arange(size, dtype=np.int32)
+        least = np.minimum.reduceat(rank[flat], edges[full])
+        out[full, k] = (mix(order[least].astype(np.uint64), 500 + k) >> np.uint64(33)).astype(np.int32)
+    return out
+
+
+def _encoded(path: str, kept: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Subwords.of(path)
         coder.kept = kept
-        last = np.array([end], coder.dtype).tobytes()
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
                 some = batch.slice(low, 500)
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array([x + last for x in coder.encode(as_bytes(some.column(1)))], pa.binary())], ["doc_id", "ids"])
-
-    return run
-
-
-class Index:
-    """BM25 over the ids of documents; neighbours() leaves out used ones. whole: number, mean length and document
-    frequencies of all documents, if these are a shard of them."""
-
-    def __init__(self, docs: list[np.ndarray], size: int, whole: tuple[int, float, np.ndarray] | None = None) -> None:
-        lengths = np.array([len(x) for x in docs], np.int64)
-        own = [np.unique(x, return_counts=True) for x in docs]
-        term, doc = np.concatenate([t for t, _ in own]), np.repeat(np.arange(len(docs), dtype=np.int32), [len(t) for t, _ in own])
-        here = np.bincount(term, minlength=size)
-        n, mean, df = whole or (len(docs), lengths.mean(), here)
-        norm = K1 * (1 - B + B * lengths / max(1.0, mean))
-        idf = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32)
-        weights = [(idf[t] * (c * (K1 + 1) / (c + norm[i]))).astype(np.float32) for i, (t, c) in enumerate(own)]
-        self.query = [t for t, _ in own]
-        order = np.argsort(term, kind="stable")
-        self.doc, self.weight = doc[order], np.concatenate(weights)[order]
-        self.start = np.concatenate([[0], np.cumsum(here)])
-        self.used = np.zeros(len(docs), bool)
-
-    def neighbours(self, seed: int) -> list[int]:
-        spans = [(self.start[t], self.start[t + 1]) for t in self.query[seed]]
-        docs = np.concatenate([self.doc[a:b] for a, b in spans])
-        score = np.bincount(docs, np.concatenate([self.weight[a:b] for a, b in spans]), len(self.used))
-        score[self.used] = 0
-        return best_of(score, np.arange(len(score)))[0].tolist()
-
-
-def best_of(score: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The rows of the NEIGHBOURS best scores above 0, best first, and these scores; ties go to the first row."""
-    if len(score) > NEIGHBOURS:
-        least = np.partition(score, -NEIGHBOURS)[-NEIGHBOURS]
-        keep = np.flatnonzero(score >= least)
-        score, rows = score[keep], rows[keep]
-    order = np.lexsort((rows, -score))[:NEIGHBOURS]
-    order = order[score[order] > 0]
-    return rows[order], score[order]
-
-
-def fill(docs: list[np.ndarray], size: int, window: int) -> Iterator[tuple[int, int, int, int, int]]:
-    """(document, start, length, sequence, offset) of every piece."""
-    index, at, sequence, offset = Index(docs, size), 0, 0, 0
-    queue: list[int] = []
-    while True:
-        queue = [d for d in queue if not index.used[d]]
-        if queue:
-            now = queue.pop(0)
-        else:
-            while at < len(docs) and index.used[at]:
-                at += 1
-            if at == len(docs):
-                return
-            now = at
-        index.used[now] = True
-        start, opens = 0, not queue
-        while start < len(docs[now]):
-            length = min(window - offset, len(docs[now]) - start)
-            yield now, start, length, sequence, offset
-            start, offset = start + length, offset + length
-            if offset == window:
-                sequence, offset, opens = sequence + 1, 0, True
-        if offset == 0:  # the next window opens with the first unused document
-            queue = []
-        elif opens:  # the first document of a window, or the rest of one, is its seed
-            queue = index.neighbours(now)
-
-
-def _packed(size: int, dtype: str, window: int, keep_ids: bool):
-    def run(table: pa.Table) -> pa.Table:
-        for coder in Subwords._by_path.values():  # the memory of the stage before
-            coder.forget()
-        order = np.lexsort((table.column("doc_id").to_numpy(zero_copy_only=False),))
-        names = table.column("doc_id").to_pylist()
-        raw = table.column("ids").to_pylist()
-        docs = [np.frombuffer(raw[i], dtype) for i in order]
-        shard = table.column("shard")[0].as_py()
-        rows = []
-        for d, start, length, sequence, offset in fill(docs, size, window):
-            ids = docs[d][start : start + length].astype("<u4")
-            rows.append((names[order[d]], start, length, zlib.crc32(ids.tobytes()), len(docs[d]), (shard << 32) + sequence, offset, ids.astype(np.int32) if keep_ids else None))
-        kinds = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
-        out = {name: pa.array([r[i] for r in rows], kind) for i, (name, kind) in enumerate(kinds)}
-        if keep_ids:
-            out["ids"] = pa.array([r[7] for r in rows], pa.list_(pa.int32()))
-        return pa.table(out)
-
-    return run
-
-
-def chained(lengths: np.ndarray, window: int, chains: int, ask: Callable[[list[int], np.ndarray], list[list[int]]]) -> np.ndarray:
-    """(document, start, length, sequence, offset) of every piece, of windows filled `chains` at a time.
-
-    ask(seeds, used): the best unused neighbours of each seed, NEIGHBOURS of them unless there are no more."""
-    used, at, pieces, count = np.zeros(len(lengths), bool), 0, [], 0
-    left, open_, seeds = [0] * chains, [[] for _ in range(chains)], [None] * chains
-    live = list(range(chains))
-
-    def place(c: int, d: int) -> bool:
-        """Put d behind what chain c has; whether that filled a window."""
-        nonlocal count
-        used[d], start, filled = True, 0, False
-        while start < lengths[d]:
-            length = min(window - left[c], int(lengths[d]) - start)
-            open_[c].append((d, start, length))
-            start, left[c] = start + length, left[c] + length
-            if left[c] == window:
-                close(c)
-                filled = True
-        return filled
-
-    def close(c: int) -> None:
-        nonlocal count
-        offset = 0
-        for d, start, length in open_[c]:
-            pieces.append((d, start, length, count, offset))
-            offset += length
-        count, left[c], open_[c] = count + 1, 0, []
-
-    while True:
-        for c in live:
-            while seeds[c] is None:
-                while at < len(lengths) and used[at]:
-                    at += 1
-                if at == len(lengths):
-                    break
-                place(c, at)
-                seeds[c] = at if left[c] else None  # after an exact fit the next window opens with the first unused document
-        live = [c for c in live if seeds[c] is not None]
-        if not live or used.all():
-            break
-        for c, found in zip(live, ask([seeds[c] for c in live], used), strict=True):
-            again = len(found) == NEIGHBOURS
-            for d in found:
-                if not used[d] and place(c, d):
-                    seeds[c], again = (d if left[c] else None), True
-                    break
-            if not again:
-                seeds[c] = None
-    rest = [piece for c in range(chains) for piece in open_[c]]
-    left[0], open_[0] = 0, []
-    for d, start, length in rest:
-        while length:
-            now = min(window - left[0], length)
-            open_[0].append((d, start, now))
-            start, length, left[0] = start + now, length - now, left[0] + now
-            if left[0] == window:
-                close(0)
-    if left[0]:
-        close(0)
-    return np.array(pieces, np.int64).reshape(-1, 5)
-
-
-def _frequencies(size: int, dtype: str, path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        Subwords.of(path).forget()
-        df, n, total = np.zeros(size, np.int64), 0, 0
-        for batch in batches:
-            for x in batch.column(0).to_pylist():
-                own = np.frombuffer(x, dtype)
-                df[np.unique(own)] += 1
-                n, total = n + 1, total + len(own)
-        at = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array([-2, -1, *at], pa.int32()), pa.array([n, total, *df[at]], pa.int64())], ["cell", "n"])
-
-    return run
-
-
-_SHARD = "shard long, docs long, names binary, null binary, lengths binary, ids binary, doc binary, weight binary, start binary"
+                flat, edges = coder.encode(some.column(1), END)
+                keys = signatures(flat, edges, coder.size)
+                columns = [some.column(0), as_binary(flat, edges), pa.array(np.diff(edges)), *[pa.array(np.ascontiguousarray(keys[:, k])) for k in range(MINIMA)]]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "n", *[f"m{k}" for k in range(MINIMA)]])
+        coder.forget()
 
+    return tidy(run)
 
-def _indexed(size: int, dtype: str, whole):
-    """A shard's documents in order of their ids, and its index, as one row."""
 
-    def run(table: pa.Table) -> pa.Table:
-        names = table.column("doc_id").combine_chunks()
-        null, names = names.is_null().to_numpy(zero_copy_only=False), names.fill_null(0).to_numpy()
-        raw = table.column("ids").to_pylist()
-        order = sorted(range(len(raw)), key=lambda i: (null[i], names[i], raw[i]))
-        docs = [np.frombuffer(raw[i], dtype) for i in order]
-        index = Index(docs, size, whole.value)
-        lengths = np.array([len(x) for x in docs], np.int32)
-        row = [table.column("shard")[0].as_py(), len(docs), names[order].astype(np.int64), null[order], lengths, np.concatenate(docs), index.doc, index.weight, index.start.astype(np.int32)]
-        kinds = [pa.int64()] * 2 + [pa.binary()] * 7
-        return pa.table([pa.array([x.tobytes() if isinstance(x, np.ndarray) else x], k) for x, k in zip(row, kinds, strict=True)], names=[c.split()[0] for c in _SHARD.split(", ")])
+def _terms(flat: np.ndarray, edges: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, id and count of every distinct id of every document, in this order."""
+    doc = np.repeat(np.arange(len(edges) - 1, dtype=np.int64), np.diff(edges))
+    cell, count = np.unique(doc * size + flat, return_counts=True)
+    return *np.divmod(cell, size), count
 
-    return run
-
-
-def _terms(dtype: str, wanted):
-    """The ids of wanted documents: {shard: [(place among the seeds, document of the shard)]}."""
 
+def _frequencies(size: int, dtype: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n, total = np.zeros(size, np.int64), 0, 0
         for batch in batches:
-            for r in batch.to_pylist():
-                own = wanted.value.get(r["shard"], [])
-                ids, edge = np.frombuffer(r["ids"], dtype), np.append(0, np.cumsum(np.frombuffer(r["lengths"], np.int32), dtype=np.int64))
-                terms = [np.unique(ids[edge[d] : edge[d + 1]]).astype(np.int32).tobytes() for _, d in own]
-                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in own], pa.int64()), pa.array(terms, pa.binary())], ["seed", "terms"])
-
-    return run
-
-
-def _asked(asked):
-    """Each seed's best unused documents of a task's shards. asked: the seeds' terms, the shards' first rows, used rows."""
+            for low in range(0, batch.num_rows, 500):
+                flat, edges = from_binary(batch.column(0).slice(low, 500), dtype)
+                df += np.bincount(_terms(flat, edges, size)[1], minlength=size)
+                n, total = n + len(edges) - 1, total + len(flat)
+        at = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array([-2, -1, *at], pa.int32()), pa.array([n, total, *df[at]], pa.int64())], ["cell", "n"])
 
+    return tidy(run)
+
+
+def similarities(flat: np.ndarray, edges: np.ndarray, whole: tuple[int, float, np.ndarray]) -> np.ndarray:
+    """(seeds, documents): BM25 of every document of a shard for all distinct ids of every other. whole: number, mean length
+    and document frequencies of all documents. Frequent ids of the shard go by a matrix product, the others by postings."""
+    total, mean, df = whole
+    n, size = len(edges) - 1, len(df)
+    doc, term, count = _terms(flat, edges, size)
+    norm = K1 * (1 - B + B * np.diff(edges) / max(1.0, mean))
+    weight = (np.log1p((total - df + 0.5) / (df + 0.5))[term] * (count * (K1 + 1) / (count + norm[doc]))).astype(np.float32)
+    here = np.bincount(term, minlength=size)
+    often = here > max(16, n // 16)
+    column = np.cumsum(often) - 1
+    own = often[term]
+    dense = np.zeros((n, int(often.sum())), np.float32)
+    dense[doc[own], column[term[own]]] = weight[own]
+    out = (dense > 0).astype(np.float32) @ dense.T
+    doc, term, weight = doc[~own], term[~own], weight[~own]
+    order = np.argsort(term, kind="stable")
+    doc, term, weight = doc[order], term[order], weight[order]
+    cells, values = [], []
+    for step in range(1, max(16, n // 16)):
+        same = np.flatnonzero(term[step:] == term[:-step])
+        if not len(same):
+            break
+        cells += [doc[same] * n + doc[same + step], doc[same + step] * n + doc[same]]
+        values += [weight[same + step], weight[same]]
+    if cells:
+        out += np.bincount(np.concatenate(cells), np.concatenate(values), n * n).reshape(n, n).astype(np.float32)
+    return out
+
+
+class Filler:
+    """Fills windows shard by shard: (document, start, length, sequence, offset) of every piece."""
+
+    def __init__(self, window: int) -> None:
+        self.window, self.sequence, self.offset = window, 0, 0
+
+    def shard(self, lengths: list[int], score: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+        """lengths: ids of each document; score: the rank of each document for each seed, best highest; ties go to the first."""
+        used, at = np.zeros(len(lengths), bool), 0
+        queue: Iterator[int] = iter(())
+        seeded = False
+
+        def ranked(row: np.ndarray) -> Iterator[int]:
+            """Unused documents, best first; the first few are sorted before the rest, which is seldom asked for."""
+            free = np.flatnonzero(~used)
+            row = -row[free]
+            if len(free) > 4 * FEW:
+                head = np.flatnonzero(row <= np.partition(row, FEW)[FEW])
+                yield from free[head[np.argsort(row[head], kind="stable")]].tolist()
+            yield from free[np.argsort(row, kind="stable")].tolist()
+
+        while True:
+            now = next((d for d in queue if not used[d]), None)
+            if now is None:
+                seeded = False
+                while at < len(lengths) and used[at]:
+                    at += 1
+                if at == len(lengths):
+                    return
+                now = at
+            used[now] = True
+            start, opens = 0, not seeded
+            while start < lengths[now]:
+                length = min(self.window - self.offset, lengths[now] - start)
+                yield now, start, length, self.sequence, self.offset
+                start, self.offset = start + length, self.offset + length
+                if self.offset == self.window:
+                    self.sequence, self.offset, opens = self.sequence + 1, 0, True
+            if self.offset == 0:  # the next window opens with the first unused document
+                queue, seeded = iter(()), False
+            elif opens:  # the first document of a window, or the rest of one, is its seed
+                queue, seeded = ranked(score[now]), True
+
+
+def _packed(size: int, dtype: str, whole, window: int, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds, first, used = asked.value
-        held: list[tuple] = [(np.zeros(0, np.int64), np.zeros(0, np.float32))] * len(seeds)
+        from pyspark import TaskContext
+
+        filler, part = Filler(window), TaskContext.get().partitionId() << 32
+        names: list = []
+        texts: list[np.ndarray] = []
+        held = 0
+
+        def shard() -> pa.RecordBatch:
+            edges, flat = np.cumsum([0, *(len(x) for x in texts)]), np.concatenate(texts)
+            score = similarities(flat, edges, whole.value)
+            pieces = list(filler.shard([len(x) for x in texts], score))
+            own = [texts[d][start : start + length] for d, start, length, _, _ in pieces]
+            doc, start, length, sequence, offset = (np.array(c, np.int64) for c in zip(*pieces, strict=True))
+            out = [pa.array([names[d] for d in doc], pa.int64()), pa.array(start), pa.array(length), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in own], pa.int64())]
+            out += [pa.array(np.diff(edges)[doc]), pa.array(part + sequence), pa.array(offset)]
+            columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+            if keep_ids:
+                out.append(pa.array([x.astype(np.int32) for x in own], pa.list_(pa.int32())))
+            return pa.RecordBatch.from_arrays(out, columns + ["ids"] * keep_ids)
+
         for batch in batches:
-            for r in batch.to_pylist():
-                n, low = r["docs"], first[r["shard"]]
-                doc, weight, start = (np.frombuffer(r[c], t) for c, t in (("doc", np.int32), ("weight", np.float32), ("start", np.int32)))
-                free = np.flatnonzero(~used[low : low + n])
-                # frequent ids by a matrix product, the others by their postings
-                df = np.diff(start)
-                often = np.flatnonzero(df > n // 16)
-                column = np.full(len(df), -1)
-                column[often] = np.arange(len(often))
-                dense = np.zeros((len(often), n), np.float32)
-                for i, t in enumerate(often):
-                    dense[i, doc[start[t] : start[t + 1]]] = weight[start[t] : start[t + 1]]
-                for a in range(0, len(seeds), SEEDS):
-                    some = seeds[a : a + SEEDS]
-                    ask = np.zeros((len(some), len(often)), np.float32)
-                    for i, terms in enumerate(some):
-                        c = column[terms]
-                        ask[i, c[c >= 0]] = 1
-                    scores = ask @ dense
-                    for i, terms in enumerate(some):
-                        rare = terms[(column[terms] < 0) & (df[terms] > 0)]
-                        if len(rare):
-                            at = np.concatenate([np.arange(start[t], start[t + 1]) for t in rare])
-                            scores[i] += np.bincount(doc[at], weight[at], n).astype(np.float32)
-                        rows, score = best_of(scores[i, free], low + free)
-                        mine = held[a + i]
-                        held[a + i] = best_of(np.append(mine[1], score), np.append(mine[0], rows))
-        part = np.arange(len(seeds)) * PARTS // max(1, len(seeds))
-        kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-        cols = [part, np.arange(len(seeds)), [h[0].tobytes() for h in held], [h[1].astype(np.float32).tobytes() for h in held]]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["part", "seed", "rows", "scores"])
-
-    return run
-
-
-def _merged(table: pa.Table) -> pa.Table:
-    """The best of all tasks' answers for each seed."""
-    held: dict[int, list] = {}
-    for seed, rows, scores in zip(*(table.column(c).to_pylist() for c in ("seed", "rows", "scores")), strict=True):
-        own = held.setdefault(seed, [[], []])
-        own[0].append(np.frombuffer(rows, np.int64))
-        own[1].append(np.frombuffer(scores, np.float32))
-    best = {s: best_of(np.concatenate(b), np.concatenate(a))[0] for s, (a, b) in held.items()}
-    return pa.table({"seed": pa.array(list(best), pa.int64()), "rows": pa.array([x.tobytes() for x in best.values()], pa.binary())})
-
-
-def _cut(dtype: str, keep_ids: bool):
-    """A shard's documents and their pieces -> the rows of packed()."""
-
-    def run(shard: pa.Table, pieces: pa.Table) -> pa.Table:
-        r = shard.to_pylist()[0]
-        names, null, lengths = (np.frombuffer(r[c], t) for c, t in (("names", np.int64), ("null", bool), ("lengths", np.int32)))
-        ids, edge = np.frombuffer(r["ids"], dtype), np.append(0, np.cumsum(lengths, dtype=np.int64))
-        doc, start, length, sequence, offset = (pieces.column(c).to_numpy() for c in ("doc", "start", "length", "sequence_id", "offset"))
-        own = [ids[edge[d] + s : edge[d] + s + n].astype("<u4") for d, s, n in zip(doc, start, length, strict=True)]
-        out = {"doc_id": pa.array(names[doc], pa.int64(), mask=null[doc]), "start": pa.array(start), "length": pa.array(length), "ids_crc32": pa.array([zlib.crc32(x.tobytes()) for x in own], pa.int64())}
-        out |= {"doc_tokens": pa.array(lengths[doc], pa.int64()), "sequence_id": pa.array(sequence), "offset": pa.array(offset)}
-        if keep_ids:
-            out["ids"] = pa.array([x.astype(np.int32) for x in own], pa.list_(pa.int32()))
-        return pa.table(out)
-
-    return run
-
-
-def _over_shards(ids: DataFrame, shards: int, size: int, dtype: str, path: str, window: int, keep_ids: bool, schema: str) -> DataFrame:
-    spark = ids.sparkSession
-    ids = saved(ids, "packing-ids")
-    df, counts = np.zeros(size, np.int64), {}
-    for cell, n in ids.select("ids").mapInArrow(_frequencies(size, dtype, path), "cell int, n long").groupBy("cell").agg(F.sum("n")).collect():
-        if cell < 0:
-            counts[cell] = n
-        else:
-            df[cell] = n
-    whole = spark.sparkContext.broadcast((counts[-2], counts[-1] / counts[-2], df))
-    table = saved(ids.repartition(shards, "shard").groupBy("shard").applyInArrow(_indexed(size, dtype, whole), _SHARD), "packing-index")
-    dropped(ids)
-    known = sorted(table.select("shard", "lengths").collect())
-    lengths = np.concatenate([np.frombuffer(r["lengths"], np.int32) for r in known])
-    edges = np.append(0, np.cumsum([len(r["lengths"]) // 4 for r in known]))
-    names = [r["shard"] for r in known]
-    first = {s: int(e) for s, e in zip(names, edges[:-1], strict=True)}
-
-    def ask(seeds: list[int], used: np.ndarray) -> list[list[int]]:
-        wanted: dict[int, list] = {}
-        for i, (d, at) in enumerate(zip(seeds, np.searchsorted(edges, seeds, "right") - 1, strict=True)):
-            wanted.setdefault(names[at], []).append((i, d - int(edges[at])))
-        sent = spark.sparkContext.broadcast(wanted)
-        found = table.select("shard", "lengths", "ids").mapInArrow(_terms(dtype, sent), "seed long, terms binary").collect()
-        terms = [np.frombuffer(x, np.int32) for _, x in sorted((r["seed"], bytes(r["terms"])) for r in found)]
-        asked = spark.sparkContext.broadcast((terms, first, used))
-        each = table.select("shard", "docs", "doc", "weight", "start").mapInArrow(_asked(asked), "part int, seed long, rows binary, scores binary")
-        best = {r["seed"]: np.frombuffer(r["rows"], np.int64).tolist() for r in each.groupBy("part").applyInArrow(_merged, "seed long, rows binary").collect()}
-        sent.destroy()
-        asked.destroy()
-        return [best[i] for i in range(len(seeds))]
-
-    chains = int(min(CHAINS, lengths.sum(dtype=np.int64) // window // ROUNDS + 1))
-    pieces = chained(lengths, window, chains, ask)
-    at = np.searchsorted(edges, pieces[:, 0], "right") - 1
-    cols = [np.array(names, np.int64)[at], pieces[:, 0] - edges[at], *pieces[:, 1:].T]
-    laid = spark.createDataFrame(pa.table([pa.array(c) for c in cols], names=["shard", "doc", "start", "length", "sequence_id", "offset"]))
-    bare = table.select("shard", "names", "null", "lengths", "ids")
-    return bare.groupBy("shard").cogroup(laid.groupBy("shard")).applyInArrow(_cut(dtype, keep_ids), schema)
+            flat, edges = from_binary(batch.column(1), dtype)
+            for i, name in enumerate(batch.column(0).to_pylist()):
+                names.append(name)
+                texts.append(flat[edges[i] : edges[i + 1]])
+                held += len(texts[-1])
+                if len(names) == DOCS_A_SHARD or held >= IDS_A_SHARD:
+                    yield shard()
+                    names, texts, held = [], [], 0
+        if names:
+            yield shard()
+
+    return tidy(run)
 
 
 def packed(docs: DataFrame, window: int = WINDOW, path: str | None = None, keep_ids: bool = False, kept_words: int = KEPT) -> DataFrame:
     """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids, if asked for).
 
-    Every id of every document, the end id included, is in one piece. A null or empty text is its end id alone. Rows that
-    repeat an id are packed each; null ids are kept. Extra columns are ignored; an empty table gives no rows. kept_words
-    trades a worker's memory for time.
+    Every id of every document, the end id included, is in one piece. A null or empty text is its end id alone; a text longer
+    than a window is cut over several. Rows that repeat an id or a text are packed each; null ids are kept; ties go by a
+    number of the row. Extra columns are ignored; an empty table gives no rows. kept_words trades a worker's memory for time.
     """
-    path = path or vocabulary_path()
+    path, spark = path or vocabulary_path(), docs.sparkSession
     size, dtype = Subwords.of(path).size, Subwords.of(path).dtype.str
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    shards = docs.count() // DOCS_A_SHARD + 1
-    ids = docs.mapInArrow(_encoded(path, END, kept_words), "doc_id long, ids binary").withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
+    minima = [f"m{k}" for k in range(MINIMA)]
+    ids = docs.mapInArrow(_encoded(path, kept_words), "doc_id long, ids binary, n long, " + ", ".join(f"{m} int" for m in minima))
+    ids = saved(ids.withColumn("tie", F.xxhash64("doc_id", F.monotonically_increasing_id())), "packing-ids")
+    df, counts = np.zeros(size, np.int64), {-2: 0, -1: 0}
+    for cell, n in ids.select("ids").mapInArrow(_frequencies(size, dtype), "cell int, n long").groupBy("cell").agg(F.sum("n")).collect():  # a vocabulary's cells at most
+        if cell < 0:
+            counts[cell] = n
+        else:
+            df[cell] = n
+    whole = spark.sparkContext.broadcast((counts[-2], counts[-1] / max(1, counts[-2]), df))
+    parts = int(min(TASKS, counts[-1] // IDS_A_TASK + 1))
+    laid = ids.repartitionByRange(parts, *minima, "tie").sortWithinPartitions(*minima, "tie").select("doc_id", "ids")
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * keep_ids
-    if shards > 1:
-        return _over_shards(ids, shards, size, dtype, path, window, keep_ids, schema)
-    return ids.repartition(shards, "shard").groupBy("shard").applyInArrow(_packed(size, dtype, window, keep_ids), schema)
+    return laid.mapInArrow(_packed(size, dtype, whole, window, keep_ids), schema)
