@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .text import SPACE, hashes, mix, slices, words
+from .workers import tidy
 
 #: Edits allowed: one in so many words of the item. Items of fewer words than LEAST are not looked for.
 ONE_IN, LEAST = 5, 5
@@ -220,7 +221,7 @@ def _matches(bench):
             names = ["doc_id", "item_id", "start_word", "words", "item_words", "distance"]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(6)], names)
 
-    return run
+    return tidy(run)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

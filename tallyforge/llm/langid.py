@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from .sample import bucket, sampled
 from .text import LOWER, SPACE, hashes, mix, slices, words
+from .workers import tidy
 
 #: Labelled documents of a language that are fitted on, about; with many languages fewer, so that all have DOCS, but LEAST each.
 DOCS_A_LANGUAGE, DOCS, LEAST = 300, 19_200, 20
@@ -256,7 +257,7 @@ def identified(docs: DataFrame, holdout: int = 5) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(best), pa.array(score), pa.array(turns, pa.int64())], ["doc_id", "held_out", "lang_pred", "score", "n_switches"])
 
     bare = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (bucket("doc_id", holdout) == 0).alias("held_out"), "text")
-    return bare.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, n_switches long")
+    return bare.mapInArrow(tidy(run), "doc_id long, held_out boolean, lang_pred string, score double, n_switches long")
 
 
 def known_language(docs: DataFrame, least: float = 0.35, holdout: int = 5) -> DataFrame:
@@ -270,4 +271,4 @@ def known_language(docs: DataFrame, least: float = 0.35, holdout: int = 5) -> Da
                 best, score, _ = told(some.column("text"), *model.value, names)
                 yield some.filter(pa.array([b != "und" and s >= least for b, s in zip(best, score, strict=True)]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .store import saved
 
-KINDS = ["email", "ip", "card", "phone"]
+KINDS = ["email", "ip", "card", "phone", "secret"]
 LABELERS = 5
 
 #: The base patterns, possessive and tried once a run: same matches, no backtracking.
@@ -30,13 +30,16 @@ BASE = {
     "card": r"[0-9](?:[ -]?+[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
-#: Looser forms: written-out signs, other separators, national numbers.
+#: Looser forms: written-out signs (a plain dot only behind a sign in brackets), other separators, national numbers; and
+#: credentials, which have no base pattern: what a label assigns, and keys that tell themselves by their first letters.
 LOOSE = {
-    "email": r"(?i)(?:(?<![a-z0-9._%+-])|\G)[a-z0-9._%+-]{1,64}+ ?(?:\[at\]|\(at\)| at ) ?[a-z0-9-]{1,63}+(?: ?(?:\[dot\]|\(dot\)| dot ) ?[a-z0-9-]{2,63}+){1,4}+",
+    "email": r"(?i)(?:(?<![a-z0-9._%+-])|\G)[a-z0-9._%+-]{1,64}+(?: ?(?:\[at\]|\(at\)) ?[a-z0-9-]{1,63}+(?:(?:\.| ?\[dot\] ?| ?\(dot\) ?| dot )[a-z0-9-]{2,63}+){1,4}+| at [a-z0-9-]{1,63}+(?:(?: ?\[dot\] ?| ?\(dot\) ?| dot )[a-z0-9-]{2,63}+){1,4}+)",
     "ip": r"(?<![0-9])[0-9]{1,3}+(?:(?:\[\.\]|\(\.\)|\[dot\]|\(dot\))[0-9]{1,3}+){3}",
     "card": r"(?<![0-9])[0-9]{4}([./_])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])",
     "phone": r"(?<![0-9+(-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9-])",
+    "secret": r"(?i:\b(?:password|passwd|pwd|passphrase|token|secret|api[_-]?key|access[_-]?key)\b[\"']? ?[=:] ?[\"']?)[A-Za-z0-9+/_.-]{8,512}+|\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\b(?:ghp|gho|ghs|glpat|xox[abprs]|sk|pk|rk)[_-][A-Za-z0-9_-]{16,512}+",
 }
+
 #: Gazetteers.
 DOMAINS = ["com", "org", "net", "edu", "gov", "info", "biz", "io", "co", "de", "fr", "es", "uk", "it", "nl", "eu", "us", "ca", "ch", "at", "be", "pl", "jp", "in", "br", "au"]
 CONTEXT = {
@@ -44,6 +47,7 @@ CONTEXT = {
     "ip": r"(?i)\b(ip|host|server|client|login|from|address|adresse|addr)\b",
     "card": r"(?i)\b(card|visa|mastercard|amex|credit|debit|payment|karte|carte|tarjeta)\b",
     "phone": r"(?i)\b(phone|tel|telephone|call|mobile|cell|fax|telefon|anruf|t.l.phone|tel.fono|whatsapp)\b",
+    "secret": r"(?i)\b(login|credentials?|user|account|auth|aws|bearer|private|export|secret|key)\b",
 }
 AGAINST = r"(?i)\b(version|ver|v|release|build|order|invoice|isbn|issn|serial|sku|ticket|bytes|rev|example|page)\b"
 CONTEXT_CHARS = 32
@@ -85,6 +89,8 @@ def _valid(kind: str, hit: str) -> str:
         return f"(length({digits}) between 16 and 19 and exists(array({digits}), d -> {_luhn('d')}))"
     if kind == "phone":
         return f"(length({digits}) between 8 and 15)"
+    if kind == "secret":  # letters and digits without a gap
+        return f"({hit} rlike '[0-9][^ ]*[A-Za-z]|[A-Za-z][^ =:]*[0-9]' and {hit} rlike '[A-Za-z0-9+/_.-]{{8,}}$')"
     return "true"
 
 
@@ -96,6 +102,8 @@ def _gazetteer(kind: str, hit: str) -> str:
         return f"if({hit} rlike '^0*([1-9]|[1-9][0-9]|1[0-9][0-9]|2[01][0-9]|22[0-3])[^0-9]' and not {hit} rlike '^0*127[^0-9]', 1, -1)"
     if kind == "card":
         return f"if({hit} rlike '^(4|5[1-5]|2[2-7]|3[47]|6)', 1, -1)"
+    if kind == "secret":
+        return f"if({hit} rlike '^(AKIA|ASIA|gh[pos]_|glpat-|xox[abprs]-|[spr]k[_-])|(?i)^(password|passwd|pwd|api.?key|access.?key)|[0-9a-f]{{16,}}$', 1, -1)"
     return f"if({hit} rlike '^[+(]*[1-9]', 1, -1)"
 
 
@@ -118,18 +126,21 @@ def candidates(docs: DataFrame, keep: bool = False) -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = docs.select(*[row] * keep, F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("digits", F.col("text").rlike("[0-9]"))
-    guard = {"email": F.contains("text", F.lit("@")), "ip": F.col("digits"), "card": F.col("digits"), "phone": F.col("digits") & F.contains("text", F.lit("+"))}
-    loose = {"email": F.contains("text", F.lit("dot")) | F.contains("text", F.lit("DOT")), "ip": F.col("digits"), "card": F.col("digits"), "phone": F.col("digits")}
+    digits = F.col("digits")
+    guard = {"email": F.contains("text", F.lit("@")), "ip": digits, "card": digits, "phone": digits & F.contains("text", F.lit("+"))}
+    loose = {"email": F.col("text").rlike(r"(?i)[\[(]at[\])]|[\[( ]dot[\]) ]"), "ip": digits, "card": digits, "phone": digits, "secret": digits}
     for kind in KINDS:
-        rows = _matches(rows, kind, BASE[kind], guard[kind])
+        if kind in BASE:
+            rows = _matches(rows, kind, BASE[kind], guard[kind])
         rows = _matches(rows, f"{kind}_loose", LOOSE[kind], loose[kind])
     rows = rows.drop("text", "digits")
     for kind in KINDS:
-        rows = rows.withColumn(kind, F.expr(f"transform({kind}, m -> {_labelled(kind, True)})"))
+        if kind in BASE:
+            rows = rows.withColumn(kind, F.expr(f"transform({kind}, m -> {_labelled(kind, True)})"))
         rows = rows.withColumn(f"{kind}_loose", F.expr(f"transform({kind}_loose, m -> {_labelled(kind, False)})"))
-    rows = rows.withColumn("given", F.filter(F.concat(*KINDS), lambda c: c["base"]))
+    rows = rows.withColumn("given", F.filter(F.concat(*BASE), lambda c: c["base"]))
     free = lambda c: ~F.exists("given", lambda g: (g["start"] < c["end"]) & (c["start"] < g["end"]))
-    others = F.filter(F.concat(*KINDS, *[f"{k}_loose" for k in KINDS]), lambda c: ~c["base"] & free(c))
+    others = F.filter(F.concat(*BASE, *[f"{k}_loose" for k in KINDS]), lambda c: ~c["base"] & free(c))
     return rows.select(*["row"] * keep, "doc_id", F.concat("given", others).alias("found"))
 
 
@@ -176,16 +187,18 @@ def _features(kind, votes, shape) -> tuple:
     return (kind, *(3 * kind + v for v in votes), *(10 * kind + s for s in shape))
 
 
-def learned(found: DataFrame) -> dict[str, float]:
-    """The classifier's weights, from the candidates of all documents."""
-    cell = found.select(F.explode("found").alias("c")).groupBy("c.kind", "c.votes", "c.shape").agg(F.count(F.lit(1)).alias("n"))
-    rows = sorted(cell.collect())  # at most 4 * 3**5 * 5 * 5 cells
+def learned(found: DataFrame) -> tuple[dict[str, float], dict[int, float]]:
+    """The classifier's weights, from the candidates of all documents, and the labelers' accuracies as estimated, by number."""
+    # whole structs from end to end: taking their fields would make the optimiser repeat the arrays' expressions
+    cells = F.transform("found", lambda c: F.struct(c["kind"].alias("kind"), c["votes"].alias("votes"), c["shape"].alias("shape")))
+    counts = found.select(F.explode(cells).alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()
+    rows = sorted((*r["c"], r["n"]) for r in counts)  # at most 5 * 3**5 * 5 * 5 cells
     patterns: dict[tuple, float] = {}
     for r in rows:
-        key = (r["kind"], *r["votes"])
-        patterns[key] = patterns.get(key, 0.0) + r["n"]
-    _, p = em(patterns)
-    return fitted([(_features(r["kind"], r["votes"], r["shape"]), p[(r["kind"], *r["votes"])], float(r["n"])) for r in rows])
+        key = (r[0], *r[1])
+        patterns[key] = patterns.get(key, 0.0) + r[3]
+    right, p = em(patterns)
+    return fitted([(_features(kind, votes, shape), p[(kind, *votes)], float(n)) for kind, votes, shape, n in rows]), right
 
 
 def classified(found: DataFrame, weights: dict[str, float]) -> DataFrame:
@@ -200,7 +213,7 @@ def classified(found: DataFrame, weights: dict[str, float]) -> DataFrame:
             out = out + weight(i, value)
         return out
 
-    kept = F.filter("found", lambda c: c["base"] | ((logit(c) > 0) & (c["votes"][1] >= 0)))
+    kept = F.filter("found", lambda c: c["base"] | (logit(c) > 0))
     bare = F.transform(kept, lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"), c["base"].alias("base")))
     return found.withColumn("weights", table).withColumn("kept", F.array_sort(F.array_distinct(bare))).drop("weights", "found")
 
@@ -211,24 +224,28 @@ def _joined(spans: Column) -> Column:
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
-    """One row for each row of docs: doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans, n_added.
+    """One row for each row of docs: doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans, n_added, n_spans.
 
-    A null or empty text has no spans. Spans are kind:start:end in code points, end exclusive, by kind as listed and start.
-    Rows that repeat an id or a text each get a row; extra columns are ignored.
+    A null or empty text has no spans. Spans are kind:start:end in code points, end exclusive, by kind as listed and start;
+    kind `secret` (credentials) has no base spans. Rows that repeat an id or a text each get a row; extra columns are ignored;
+    an empty table gives no rows. Very long texts are scanned whole.
     """
     found = saved(candidates(docs), "candidates")
-    rows = classified(found, learned(found))
+    weights, _ = learned(found)
+    rows = classified(found, weights)
     base = F.filter("kept", lambda c: c["base"])
     count = lambda k: F.size(F.filter("kept", lambda c: c["base"] & (c["kind"] == KINDS.index(k)))).cast("long").alias(f"n_{k}")
-    return rows.select("doc_id", *[count(k) for k in KINDS], F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("kept")).alias("spans"), (F.size("kept") - F.size(base)).cast("long").alias("n_added"))
+    return rows.select("doc_id", *[count(k) for k in BASE], F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("kept")).alias("spans"), (F.size("kept") - F.size(base)).cast("long").alias("n_added"), F.size("kept").cast("long").alias("n_spans"))
 
 
 def redacted(docs: DataFrame) -> DataFrame:
     """docs with every span found replaced by its kind in brackets; n_chars, where docs has it, follows. Overlapping spans are
-    replaced together by the first one's kind. Null texts stay null. Nothing is joined: candidates are saved beside the row that
-    they are in."""
-    found = saved(candidates(docs, keep=True), "candidates")
-    rows = classified(found, learned(found))
+    replaced together by the first one's kind. Null texts stay null; repeated rows, null ids and extra columns stay as they are.
+
+    docs is read twice, once for the counts that the classifier is fitted on; nothing is joined or written on the way."""
+    weights, _ = learned(candidates(docs))
+    once = lambda rows, name: rows.withColumn(name, F.explode(F.array(name)))  # noqa: E731  keeps the optimiser from repeating the array's expression
+    rows = once(classified(once(candidates(docs, keep=True), "found"), weights), "kept")
     names = ", ".join(f"'[{k.upper()}]'" for k in KINDS)
     order = "array_sort(transform(kept, c -> struct(c.start, c.end, c.kind)))"
     cut = (
@@ -236,8 +253,7 @@ def redacted(docs: DataFrame) -> DataFrame:
         f"'at', greatest(s.at, c.end), 'out', if(c.start >= s.at, concat(s.out, array(substring(row.text, s.at + 1, c.start - s.at), array({names})[c.kind])), s.out)), "
         f"s -> concat(array_join(s.out, ''), substring(row.text, s.at + 1)))"
     )
-    text = F.when(F.size("kept") > 0, F.expr(cut)).otherwise(F.col("row.text"))
-    rows = rows.withColumn("clean_text", text)
+    rows = rows.withColumn("clean_text", F.when(F.size("kept") > 0, F.expr(cut)).otherwise(F.col("row.text")))
     changed = {"text": F.col("clean_text")}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.when(F.size("kept") > 0, F.length("clean_text")).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)
