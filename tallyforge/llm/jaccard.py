@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from .graph import components
 from .store import dropped, saved
 from .text import mix, shingle_sets
+from .workers import tidy, tidy_group
 
 ORDERS = 3
 #: Shingles that one task counts, classes and shared shingles in a block, and columns of a matrix product. They bound memory only.
@@ -52,9 +53,9 @@ def _sets(k: int):
             for i, own in shingle_sets(batch.column(1), k):
                 n[i] = len(own)
                 ids[i] = _class_id(own) if len(own) else 0
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n), pa.array(ids, mask=n == 0)], ["doc_id", "n_shingles", "class"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(2), pa.array(n), pa.array(ids, mask=n == 0)], ["doc_id", "code", "n_shingles", "class"])
 
-    return run
+    return tidy(run)
 
 
 def _spread(k: int, buckets: int):
@@ -94,7 +95,7 @@ def _spread(k: int, buckets: int):
         if found:
             yield packed(found)
 
-    return run
+    return tidy(run)
 
 
 def _joined(table: pa.Table, name: str, dtype) -> np.ndarray:
@@ -134,10 +135,12 @@ def _shared(parts: int):
         rows = []
         for p in np.flatnonzero(np.diff(edges)):
             at = order[edges[p] : edges[p + 1]]
-            rows.append((int(p), owner[at].tobytes(), size[at].tobytes(), tokens[at].tobytes(), level[at].tobytes()))
-        return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate([("part", pa.int32()), ("ids", pa.binary()), ("sizes", pa.binary()), ("tokens", pa.binary()), ("levels", pa.binary())])})
+            at = at[np.argsort(owner[at], kind="stable")]
+            which, first, counts = np.unique(owner[at], return_index=True, return_counts=True)
+            rows.append((int(p), which.tobytes(), size[at][first].tobytes(), counts.astype(np.int32).tobytes(), tokens[at].tobytes(), level[at].tobytes()))
+        return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate([("part", pa.int32()), *[(c, pa.binary()) for c in ("ids", "sizes", "counts", "tokens", "levels")]])})
 
-    return run
+    return tidy_group(run)
 
 
 def _prefix(tokens: np.ndarray, levels: np.ndarray, length: int, order: int) -> np.ndarray:
@@ -148,7 +151,9 @@ def _survivors(percent: int):
     """Classes that share enough, with the first order's prefix."""
 
     def run(table: pa.Table) -> pa.Table:
-        ids, sizes, tokens, levels = _joined(table, "ids", np.int64), _joined(table, "sizes", np.int32), _joined(table, "tokens", np.uint64), _joined(table, "levels", np.uint8)
+        counts = _joined(table, "counts", np.int32)
+        ids, sizes = (np.repeat(_joined(table, c, t), counts) for c, t in (("ids", np.int64), ("sizes", np.int32)))
+        tokens, levels = _joined(table, "tokens", np.uint64), _joined(table, "levels", np.uint8)
         order = np.argsort(ids, kind="stable")
         ids, sizes, tokens, levels = ids[order], sizes[order], tokens[order], levels[order]
         names, first, count = np.unique(ids, return_index=True, return_counts=True)
@@ -161,7 +166,7 @@ def _survivors(percent: int):
         kinds = [("class", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("tokens", pa.binary()), ("levels", pa.binary()), ("prefix", pa.list_(pa.int64()))]
         return pa.table({name: pa.array([r[i] for r in rows], kind) for i, (name, kind) in enumerate(kinds)})
 
-    return run
+    return tidy_group(run)
 
 
 def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -230,24 +235,21 @@ def _verified(percent: int):
             out += [(every[x]["class"], every[top(x)]["class"], links[x]) for x in range(len(every)) if links[x]]
         return pa.table({n: pa.array([r[i] for r in out], pa.int64()) for i, n in enumerate(("a", "b", "links"))})
 
-    return run
+    return tidy_group(run)
 
 
-def jaccard_components(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of docs: doc_id, n_shingles, component_id (least id reachable by links), n_links (linked documents).
-
-    A null or empty text has n_shingles 0, no links, and its own id as component. Equal sets are linked. Rows that repeat an
-    id each get a row. A null id is passed through; its own component_id is the least id of its component, null if that has
-    none. Extra columns are ignored.
-    """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sets = saved(docs.mapInArrow(_sets(k), "doc_id long, n_shingles long, class long"), "sets")
+def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """docs(doc_id, text) -> doc_id, code (of the text), n_shingles, class of each row; and for each class component_id, n_links
+    and the component's first row, `head`, by id (null last) and code."""
+    docs = docs.withColumn("code", F.xxhash64(F.coalesce("text", F.lit(""))))
+    sets = saved(docs.select("doc_id", "text", "code").mapInArrow(_sets(k), "doc_id long, code long, n_shingles long, class long"), "sets")
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = parts = int(min(32_768, max(1, total // TOKENS_A_TASK + 1)))
     # a bucket is the top bits of the hash: 7 bytes of it and the bucket's number name a shingle
-    classes = sets.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    head = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "code")).alias("head")
+    classes = sets.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least"), head, F.count(F.lit(1)).alias("copies"))
     spread = docs.select("text").mapInArrow(_spread(k, buckets), "bucket int, ids binary, sizes binary, counts binary, tokens binary")
-    shared = spread.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shared(parts), "part int, ids binary, sizes binary, tokens binary, levels binary")
+    shared = spread.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shared(parts), "part int, ids binary, sizes binary, counts binary, tokens binary, levels binary")
     near = saved(shared.repartition(parts, "part").groupBy("part").applyInArrow(_survivors(percent), "class long, n long, shared long, tokens binary, levels binary, prefix array<long>"), "near")
 
     # stars in two steps, so that a shingle of very many classes is several tasks' work: each class to the least of its part of
@@ -270,14 +272,39 @@ def jaccard_components(docs: DataFrame, k: int, percent: int, id_col: str = "doc
     joined = components(edges.select("a", "b")).withColumnRenamed("node", "class")
     linked = edges.groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links"))
     labelled = classes.join(joined, "class", "left").withColumn("label", F.coalesce("label", "class"))
-    ends = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = labelled.join(ends, "label").join(linked, "class", "left").select("class", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    ends = labelled.groupBy("label").agg(F.min("least").alias("component_id"), F.min("head").alias("head"))
+    named = labelled.drop("head").join(ends, "label").join(linked, "class", "left").select("class", "component_id", "head", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     named = saved(named, "named")
-    dropped(near)
-    return sets.join(named, "class", "left").select("doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    dropped(near, coarse, edges)
+    return sets, named
+
+
+def jaccard_components(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each row of docs: doc_id, n_shingles, component_id (least id reachable by links), n_links (linked documents).
+
+    A null or empty text has n_shingles 0, no links, and its own id as component. Equal sets are linked. Rows that repeat an
+    id each get a row. A null id is passed through; its own component_id is the least id of its component, null if that has
+    none. Very long texts are taken whole; an empty table gives no rows. Extra columns are ignored, whatever their names.
+    """
+    sets, named = _linked(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), k, percent)
+    out = sets.where("class is not null").join(named, "class").select("doc_id", "n_shingles", "component_id", "n_links")
+    alone = sets.where("class is null")  # not joined: null keys would meet in one task
+    return out.unionByName(alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links")))
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """docs without the documents that have a lesser id in their component; rows with null ids stay."""
-    gone = jaccard_components(docs, k, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    """docs with one row of each component: that of the least id (null last), then of the least hash of the text; of rows that
+    repeat an id and a text any one. Rows without words are linked with nothing and all stay. All columns stay as they are."""
+    sets, named = _linked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), k, percent)
+    rows = sets.where("class is not null").join(named.select("class", F.col("head.doc_id").alias("head_id"), F.col("head.code").alias("head_code")), "class")
+    first = F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("code") == F.col("head_code"))
+    gone = rows.where(~first).select(F.col("doc_id").alias("gone_id"), F.col("code").alias("gone_code")).distinct()
+    again = rows.where(first).groupBy(F.col("doc_id").alias("gone_id"), F.col("code").alias("gone_code")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    id_, code = F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit("")))
+    same = lambda other: id_.eqNullSafe(other["gone_id"]) & (code == other["gone_code"])
+    again = saved(again, "again")
+    out = docs.join(gone.unionByName(again), same(gone), "left_anti")
+    if again.isEmpty():
+        return out
+    repeated = docs.join(again, same(again), "left_semi").withColumns({"tallyforge_id": id_, "tallyforge_code": code})
+    return out.unionByName(repeated.dropDuplicates(["tallyforge_id", "tallyforge_code"]).drop("tallyforge_id", "tallyforge_code"))

@@ -87,6 +87,9 @@ def test_join_of_odd_rows(spark):
     assert got == sorted([(5, 5), (5, 5), (None, 5), (None, None)], key=repr)
     assert jaccard.jaccard_components(table(spark, []), 3, 90).count() == 0
     long = prose(150)
+    odd = table(spark, [long, long, long, edited(long, 1), long, prose(60), "", None, "", long], [3, 3, None, 4, None, 4, None, 5, 5, 3])
+    kept = sorted(((r.doc_id, r.text) for r in jaccard.one_of_each(odd).collect()), key=repr)
+    assert len(kept) == 5 and [t for i, t in kept if i == 3] == [long] and {(None, ""), (5, None), (5, "")} <= set(kept) and sum(i == 4 for i, _ in kept) == 1
     kept = jaccard.one_of_each(table(spark, [long, edited(long, 1), prose(40)], [9, 3, 4]))
     assert kept.columns == [c.split()[0] for c in DOCS.split(", ")] and {r.doc_id for r in kept.collect()} == {3, 4}
 
@@ -160,58 +163,101 @@ def test_packing_round_trip(spark):
     assert packing.packed(table(spark, [])).count() == 0
 
 
-def test_neighbours_share_a_window():
-    alike = [np.concatenate([np.repeat(1000 + 4 * t + np.arange(4), 5), RNG.integers(0, 50, 40)]) for t in range(8) for _ in range(4)]
-    order = [int(i) for i in RNG.permutation(32)]
-    placed = defaultdict(set)
-    for d, _, _, sequence, _ in packing.fill([alike[i] for i in order], 2000, 240):
-        placed[sequence].add(order[d] // 4)
-    assert np.mean([len(s) for s in placed.values()]) < 1.6
+def brute_scores(docs, whole):
+    n, mean, df = whole
+    out = np.zeros((len(docs), len(docs)))
+    for i, q in enumerate(docs):
+        for j, d in enumerate(docs):
+            for t in set(q.tolist()):
+                tf = int((d == t).sum())
+                out[i, j] += np.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(d) / mean))
+    return out
 
 
-@pytest.fixture
-def small_shards(monkeypatch):
-    monkeypatch.setattr(packing, "DOCS_A_SHARD", 10)
+def brute_fill(lengths, score, window):
+    """The greedy rule in plain words: (document, start, length, sequence, offset)."""
+    left, out, sequence, offset, order = set(range(len(lengths))), [], 0, 0, []
+    while left:
+        order = [d for d in order if d in left]
+        seeded, now = bool(order), order[0] if order else min(left)
+        left.discard(now)
+        start, opens = 0, not seeded
+        while start < lengths[now]:
+            n = min(window - offset, lengths[now] - start)
+            out.append((now, start, n, sequence, offset))
+            start, offset = start + n, offset + n
+            if offset == window:
+                sequence, offset, opens = sequence + 1, 0, True
+        if offset == 0:
+            order = []
+        elif opens:
+            order = sorted(left, key=lambda d: (-score[now, d], d))
+    return out
 
 
-def test_packing_asks_all_shards(spark, small_shards):
+def test_neighbours_and_filling_against_plain_rules():
+    rng = np.random.default_rng(4)
+    docs = [rng.integers(0, 60, int(n)) for n in rng.integers(1, 90, 90)]
+    df = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=60)
+    whole = (90, float(np.mean([len(d) for d in docs])), df)
+    some = docs[20:]
+    edges, lengths = np.cumsum([0, *map(len, some)]), [len(d) for d in some]
+    score = packing.similarities(np.concatenate(some), edges, whole)
+    assert np.allclose(score, brute_scores(some, whole), rtol=1e-4)
+    assert list(packing.Filler(100).shard(lengths, score)) == brute_fill(lengths, score, 100)
+
+
+def test_neighbours_share_a_window_and_the_next_shard_goes_on():
+    alike = [np.concatenate([np.repeat(1000 + 4 * t + np.arange(4), 5), RNG.integers(0, 50, 40)]) for t in range(8) for _ in range(4)]
+    order = [int(i) for i in RNG.permutation(32)]
+    placed, filler, pieces = defaultdict(set), packing.Filler(240), []
+    docs = [alike[i] for i in order]
+    df = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=2000)
+    edges, lengths = np.cumsum([0, *map(len, docs)]), [len(d) for d in docs]
+    score = packing.similarities(np.concatenate(docs), edges, (32, 60.0, df))
+    for turn in range(2):
+        for d, start, length, sequence, offset in filler.shard(lengths, score):
+            placed[turn, sequence].add(order[d] // 4)
+            pieces.append((sequence, offset, length))
+    assert np.mean([len(s) for s in placed.values()]) < 1.7
+    assert sorted(pieces) == pieces and sum(n for _, _, n in pieces) == 2 * sum(lengths)  # no gap between the shards
+
+
+def test_signatures_order_like_documents(spark, monkeypatch):
+    monkeypatch.setattr(packing, "DOCS_A_SHARD", 12)
     rng = np.random.default_rng(3)
-    own = [" ".join(f"{w}{t}" for w in rng.choice(VOCABULARY, 40)) for t in range(12)]
+    own = [" ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(60)) for t in range(12)]
     ids = [int(i) for i in rng.permutation(60)]
-    texts = [own[i % 12] for i in ids] + [None, prose(900)]
-    rows = packing.packed(table(spark, texts, [*ids, None, 60]), window=1024, keep_ids=True).collect()
+    texts = [own[i % 12] for i in ids] + [None, prose(900), own[0]]
+    rows = packing.packed(table(spark, texts, [*ids, None, 60, 0]), window=1024, keep_ids=True).collect()
     pieces, sequences, alike = defaultdict(list), defaultdict(list), defaultdict(set)
     for r in rows:
         assert zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 and len(r.ids) == r.length
         pieces[r.doc_id].append((r.start, r.length, r.doc_tokens))
         sequences[r.sequence_id].append((r.offset, r.length))
         alike[r.doc_id % 12 if r.doc_id is not None and r.doc_id < 60 else None].add(r.sequence_id)
-    assert set(pieces) == {*range(61), None}
-    for p in pieces.values():
-        ends = np.cumsum([n for _, n, _ in sorted(p)])
-        assert [s for s, _, _ in sorted(p)] == [0, *ends[:-1]] and ends[-1] == p[0][2]
-    for p in sequences.values():
-        ends = np.cumsum([n for _, n in sorted(p)])
-        assert [o for o, _ in sorted(p)] == [0, *ends[:-1]] and ends[-1] <= 1024
-    assert sum(sum(n for _, n in p) < 1024 for p in sequences.values()) == 1
-    assert np.mean([len(alike[t]) for t in range(12)]) < 2.2  # copies lie in different shards
-
-
-def test_merged_neighbours_are_those_of_one_index(spark):
-    docs = [np.sort(RNG.integers(0, 60, int(n))) for n in RNG.integers(5, 90, 90)]
-    one = packing.Index(docs, 60)
-    df = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=60)
-    whole = (90, float(np.mean([len(d) for d in docs])), df)
-    used = np.arange(90) % 7 == 0
-    one.used = used.copy()
-    held = []
-    for low in range(0, 90, 30):
-        part = packing.Index(docs[low : low + 30], 60, whole)
-        row = pa.RecordBatch.from_pylist([{"shard": low, "docs": 30, "doc": part.doc.tobytes(), "weight": part.weight.tobytes(), "start": part.start.astype(np.int32).tobytes()}])
-        sent = type("Sent", (), {"value": ([q.astype(np.int32) for q in one.query], {low: low}, used)})
-        held += [pa.Table.from_batches([b]) for b in packing._asked(sent)([row])]
-    got = {r["seed"]: np.frombuffer(r["rows"], np.int64).tolist() for r in packing._merged(pa.concat_tables(held)).to_pylist()}
-    assert all(got[i] == one.neighbours(i) for i in range(90))
+    assert set(pieces) == {*range(61), None} and sum(n for _, n, _ in pieces[0]) == 2 * pieces[0][0][2]
+    assert sum(sum(n for _, n in p) < 1024 for p in sequences.values()) <= 1
+    assert np.mean([len(alike[t]) for t in range(12)]) < 2.5
+
+
+def test_subwords_are_those_of_the_tokenizer():
+    coder = subword.Subwords.of(subword.vocabulary_path())
+    texts = ["Straße ÀÉ÷× naïve. x'S <|endoftext|> <|ENDOFTEXT|> a.b, ab,, 12 ﬁ", None, "", "e\u0301 E\u0301x", "ÿÿ! " * 3, "a" * 40, prose(300), "日本 слово ab\u00a0cd", "\x00 \x7f"]
+    flat, edges = coder.encode(pa.array(texts), 1)
+    assert [flat[a:b].tolist() for a, b in zip(edges, edges[1:])] == [[*coder.tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+    assert all((a == b).all() for a, b in zip(subword.from_binary(subword.as_binary(flat, edges), coder.dtype), (flat, edges)))
+
+
+def test_long_patterns_have_hashes_of_their_own():
+    one, two = "a", "b"
+    for _ in range(12):
+        one, two = one + two, two + one
+    from tallyforge.llm import text
+
+    data = np.frombuffer(f"{one} {two}".encode(), np.uint8)
+    starts, ends, _ = text.words(data, np.array([0, len(data)]))
+    assert len(set(text.hashes(data, starts, ends).tolist())) == 2
 
 
 def test_search_against_full_scores(spark, monkeypatch):
