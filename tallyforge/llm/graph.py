@@ -18,15 +18,15 @@ def components(edges: DataFrame) -> DataFrame:
     """
     code = lambda c: F.xxhash64(c)
     both = lambda e: e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    now = saved(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    now = saved(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges", small=True)
     maps: list[DataFrame] = []
     while not now.isEmpty():
         least = both(now).groupBy("a").agg(F.min(F.struct(code("b").alias("h"), F.col("b").alias("n"))).alias("m"))
-        to = saved(least.select(F.col("a").alias("node"), F.when(F.struct(code("a").alias("h"), F.col("a").alias("n")) <= F.col("m"), F.col("a")).otherwise(F.col("m.n")).alias("up")), "up")
+        to = saved(least.select(F.col("a").alias("node"), F.when(F.struct(code("a").alias("h"), F.col("a").alias("n")) <= F.col("m"), F.col("a")).otherwise(F.col("m.n")).alias("up")), "up", small=True)
         maps.append(to)
         left, right = to.select(F.col("node").alias("a"), F.col("up").alias("x")), to.select(F.col("node").alias("b"), F.col("up").alias("y"))
         after = now.join(left, "a").join(right, "b").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        before, now = now, saved(after, "edges")
+        before, now = now, saved(after, "edges", small=True)
         dropped(before)
     if not maps:
         return now.select(F.col("a").alias("node"), F.col("b").alias("label"))

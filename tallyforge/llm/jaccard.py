@@ -242,7 +242,7 @@ def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
     """docs(doc_id, text) -> doc_id, code (of the text), n_shingles, class of each row; and for each class component_id, n_links
     and the component's first row, `head`, by id (null last) and code."""
     docs = docs.withColumn("code", F.xxhash64(F.coalesce("text", F.lit(""))))
-    sets = saved(docs.select("doc_id", "text", "code").mapInArrow(_sets(k), "doc_id long, code long, n_shingles long, class long"), "sets")
+    sets = saved(docs.select("doc_id", "text", "code").mapInArrow(_sets(k), "doc_id long, code long, n_shingles long, class long"), "sets", small=True)
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = parts = int(min(32_768, max(1, total // TOKENS_A_TASK + 1)))
     # a bucket is the top bits of the hash: 7 bytes of it and the bucket's number name a shingle
@@ -259,7 +259,7 @@ def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
     least = parts_least.groupBy("token").agg(F.min("b").alias("top"), F.max("b").alias("last")).where("top < last").select("token", "top")
     inner = by_token.join(parts_least.where("b < most").select("token", "part", "b"), ["token", "part"]).where("class <> b").select(F.col("class").alias("a"), "b")
     outer = parts_least.join(least, "token").where("b <> top").select(F.col("b").alias("a"), F.col("top").alias("b"))
-    coarse = saved(components(inner.unionByName(outer)), "coarse")
+    coarse = saved(components(inner.unionByName(outer)), "coarse", small=True)
     inside = near.select("class", "n", "shared", "tokens", "levels").join(coarse.withColumnRenamed("node", "class"), "class").join(classes.select("class", "copies"), "class")
     of_label = near.select("class", "shared").join(coarse.withColumnRenamed("node", "class"), "class").groupBy("label").agg(F.count(F.lit(1)).alias("m"), F.sum("shared").alias("t"))
     blocks = F.greatest(F.ceil(F.col("m") / CLASSES_A_BLOCK), F.ceil(F.col("t") / TOKENS_A_BLOCK)).cast("int")
@@ -267,14 +267,14 @@ def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
     dealt = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
     bins = max(12, parts * 2)
     dealt = dealt.select("class", "n", "copies", "tokens", "levels", "label", "own", "low", "high", F.pmod(F.xxhash64("label", "low", "high"), F.lit(bins)).alias("bin"))
-    edges = saved(dealt.repartition(bins, "bin").groupBy("bin").applyInArrow(_verified(percent), "a long, b long, links long"), "links")
+    edges = saved(dealt.repartition(bins, "bin").groupBy("bin").applyInArrow(_verified(percent), "a long, b long, links long"), "links", small=True)
 
     joined = components(edges.select("a", "b")).withColumnRenamed("node", "class")
     linked = edges.groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links"))
     labelled = classes.join(joined, "class", "left").withColumn("label", F.coalesce("label", "class"))
     ends = labelled.groupBy("label").agg(F.min("least").alias("component_id"), F.min("head").alias("head"))
     named = labelled.drop("head").join(ends, "label").join(linked, "class", "left").select("class", "component_id", "head", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    named = saved(named, "named")
+    named = saved(named, "named", small=True)
     dropped(near, coarse, edges)
     return sets, named
 
@@ -302,7 +302,7 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     again = rows.where(first).groupBy(F.col("doc_id").alias("gone_id"), F.col("code").alias("gone_code")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     id_, code = F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit("")))
     same = lambda other: id_.eqNullSafe(other["gone_id"]) & (code == other["gone_code"])
-    again = saved(again, "again")
+    again = saved(again, "again", small=True)
     out = docs.join(gone.unionByName(again), same(gone), "left_anti")
     if again.isEmpty():
         return out

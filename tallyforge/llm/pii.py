@@ -230,7 +230,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
     kind `secret` (credentials) has no base spans. Rows that repeat an id or a text each get a row; extra columns are ignored;
     an empty table gives no rows. Very long texts are scanned whole.
     """
-    found = saved(candidates(docs), "candidates")
+    found = saved(candidates(docs), "candidates", small=True)
     weights, _ = learned(found)
     rows = classified(found, weights)
     base = F.filter("kept", lambda c: c["base"])

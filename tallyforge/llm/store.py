@@ -12,8 +12,10 @@ from pyspark.sql.types import StructType
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a local one only where that is unset, as in tests."""
+    """The folder named in spark.checkpoint.dir; a local one only where that is unset and all runs in one process."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not found:
         folder = tempfile.mkdtemp(prefix="tallyforge-")
         atexit.register(shutil.rmtree, folder, True)
@@ -22,9 +24,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back: recovery restarts from these files."""
+def saved(df: DataFrame, name: str, small: bool = False) -> DataFrame:
+    """Write df as Parquet to the shared folder and read it back: recovery restarts from these files. small: rows are narrow
+    beside what the tasks read, so they are gathered into files of the advised size first; every file that a task creates
+    costs the executor some processes."""
     spark = df.sparkSession
+    if small:
+        df = df.hint("rebalance")
     path = f"{shared_dir(spark)}/tallyforge-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     back = spark.read.schema(StructType.fromJson(df.schema.jsonValue())).parquet(path)

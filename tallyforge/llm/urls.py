@@ -77,7 +77,7 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str]
     or one without :// has an empty host and path, no rule, and is allowed. Repeated rows each get a row.
     """
     pages = with_parts(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")))
-    listed = saved(listed.where("canonical is not null").select("canonical").distinct(), "listed")
+    listed = saved(listed.where("canonical is not null").select("canonical").distinct(), "listed", small=True)
     blocks = min(MAX_BLOCKS, listed.count() * BITS_A_URL // 64 + 1)
     rule, verdict = rule_for(rules)
     pages = pages.withColumns({"rule": rule, "ruled": verdict, "block": _block(F.col("canonical"), blocks), "mask": _mask(F.col("canonical"))})
