@@ -8,8 +8,8 @@ output of a causal attention head with relative positions. Documents are cut int
 that each id is scored once, with at least that much context, by batched attention with masks.
 
 All counts (ids, pairs of group and id, words of the baseline) cover all training documents. The attention head is trained in every
-partition on all windows of all training documents, each document in one round, and the partitions' parameters are
-averaged between rounds; so training, too, grows with the corpus, and what the driver gets is of fixed size.
+partition on every window of every training document, each document in one of two rounds, and the partitions' parameters
+are averaged between rounds; so training, too, grows with the corpus, and what the driver gets is of fixed size.
 """
 
 from __future__ import annotations
@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from .sample import bucket
 from .store import dropped, saved
-from .subword import Subwords, as_binary, vocabulary_path
+from .subword import Subwords, as_binary, from_binary, vocabulary_path
 from .text import hashes, slices, words
+from .workers import tidy, tidy_group
 
 CLASSES, CLUSTERS = 96, 40
 GROUPS, SHAPES = 256, 32
@@ -34,7 +35,7 @@ SMOOTH = 3.0
 STRIDE, CONTEXT, WIDTH = 24, 8, 16
 #: Windows scored at a time. Rounds of averaging, each over its share of the documents; windows in a step; step size.
 BATCH = 128
-ROUNDS, STEP_WINDOWS, RATE = 2, 64, 0.02
+ROUNDS, STEP_WINDOWS, RATE = 2, 192, 0.02
 #: Distinct words of documents that are sent at a time and counted in a task.
 TOKENS_A_TASK = 2_000_000
 #: Words whose ids a worker keeps, besides the model.
@@ -91,7 +92,7 @@ def _word_blocks(buckets: int):
         if held:
             yield packed()
 
-    return run
+    return tidy(run)
 
 
 def _word_sums(table: pa.Table) -> pa.Table:
@@ -128,7 +129,7 @@ def baseline(docs: DataFrame) -> DataFrame:
     pairs = max(1, docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)))).first()[0] or 0) // 10  # about the distinct words of all documents
     buckets = int(min(32_768, pairs // TOKENS_A_TASK + 1))
     spread = docs.mapInArrow(_word_blocks(buckets), "bucket int, block long, docs int, h binary, n binary, doc binary, train binary, head binary")
-    sums = saved(spread.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_word_sums, "block long, sums binary, known binary, head binary, total long, distinct long"), "words")
+    sums = saved(spread.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(tidy_group(_word_sums), "block long, sums binary, known binary, head binary, total long, distinct long"), "words")
     total, distinct = sums.agg(F.sum("total"), F.sum("distinct")).first()
     total, distinct = total or 0, distinct or 0
     each = sums.where("block is not null").groupBy("block").applyInArrow(_word_docs, "doc_id long, code long, n_tokens long, n_known long, sums double")
@@ -139,36 +140,45 @@ def baseline(docs: DataFrame) -> DataFrame:
 
 
 def _encoded(path: str):
+    """Each text's ids; behind them, a row without a text that has the partition's counts of ids in training texts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Subwords.of(path)
         coder.kept = KEPT_WORDS
+        total = np.zeros(coder.size + 1, np.int64)
+        names = ["doc_id", "code", "held_out", "ids", "counts"]
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
                 some = batch.slice(low, 500)
-                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), some.column(2), as_binary(*coder.encode(some.column(3)))], ["doc_id", "code", "held_out", "ids"])
+                flat, edges = coder.encode(some.column(3))
+                train = ~some.column(2).to_numpy(zero_copy_only=False)
+                total += np.bincount(flat[np.repeat(train, np.diff(edges))], minlength=len(total))
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), some.column(2), as_binary(flat, edges), pa.nulls(some.num_rows, pa.binary())], names)
+        coder.forget()
+        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip([None, None, None, None, total.tobytes()], kinds, strict=True)], names)
 
-    return run
+    return tidy(run)
 
 
-def _counted(column: str, size: int, path: str, cells):
-    """A partition's counts of size cells, as rows of those that occur. cells: the cells that texts' ids add one to."""
+def _counted(size: int, cells):
+    """A partition's counts of size cells, as rows of those that occur. cells: adds what some values of a column hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        Subwords.of(path).forget()
-        total = np.zeros(size, np.int32)
+        total = np.zeros(size, np.int64)
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
-                np.add.at(total, cells(batch.column(column).slice(low, 500).to_pylist()), 1)
+                cells(total, batch.column(0).slice(low, 500))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["cell", "n"])
 
-    return run
+    return tidy(run)
 
 
-def _total(rows: DataFrame, column: str, size: int, path: str, cells) -> np.ndarray:
-    """Counts over all rows; at most `size` cells reach the driver."""
+def _total(rows: DataFrame, size: int, cells) -> np.ndarray:
+    """Counts over all rows of one column; at most `size` cells reach the driver."""
     out = np.zeros(size, np.float32)
-    found = rows.select(column).mapInArrow(_counted(column, size, path, cells), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    found = rows.mapInArrow(_counted(size, cells), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     out[found.column("cell").to_numpy()] = found.column("n").to_numpy()
     return out
 
@@ -224,16 +234,23 @@ def tables(pairs: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return two.astype(np.float32), inside.astype(np.float16).ravel()
 
 
+def between_ends(flat: np.ndarray, edges: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """All texts' ids with an end before and behind each, and where each begins."""
+    n = np.diff(edges)
+    first = edges[:-1] + 2 * np.arange(len(n))
+    out = np.full(len(flat) + 2 * len(n), end, np.int64)
+    out[np.arange(len(flat)) + np.repeat(2 * np.arange(len(n)) + 1, n)] = flat
+    return out, np.append(first, len(out))
+
+
 class Windows:
     """Windows over documents: the groups of inputs (windows, CONTEXT + STRIDE), classes of targets, and masks."""
 
-    def __init__(self, docs: list[np.ndarray], classes: np.ndarray, groups: np.ndarray) -> None:
-        """docs: the ids of each document, between two ends."""
-        lengths = np.array([len(d) - 1 for d in docs], np.int64)  # ids to score
-        flat = np.concatenate(docs)
-        first = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
+    def __init__(self, flat: np.ndarray, edges: np.ndarray, classes: np.ndarray, groups: np.ndarray) -> None:
+        """flat, edges: as between_ends gives them."""
+        first, lengths = edges[:-1], np.diff(edges) - 1  # ids to score
         many = -(-lengths // STRIDE)
-        self.doc = np.repeat(np.arange(len(docs)), many)
+        self.doc = np.repeat(np.arange(len(first)), many)
         block = np.arange(len(self.doc)) - np.repeat(np.cumsum(many) - many, many)
         self.start = first[self.doc] + block * STRIDE
         self.flat, self.group, self.begin, self.end = classes[flat], groups[flat], first[self.doc], first[self.doc] + lengths[self.doc]
@@ -260,14 +277,14 @@ def unpacked(flat: np.ndarray) -> dict[str, np.ndarray]:
     out, at = {}, 0
     for name, shape in SHAPES_OF.items():
         n = int(np.prod(shape))
-        out[name] = flat[at : at + n].reshape(shape).astype(np.float32)
+        out[name] = flat[at : at + n].reshape(shape).astype(np.float32, copy=False)
         at += n
     return out
 
 
 def start() -> np.ndarray:
     rng = np.random.default_rng(11)
-    return np.concatenate([(rng.normal(0, 0.3, s) if name in "qkv" else rng.normal(0, 0.02, s) if name == "w" else np.zeros(s)).ravel() for name, s in SHAPES_OF.items()])
+    return np.concatenate([(rng.normal(0, 0.3, s) if name in "qkv" else rng.normal(0, 0.02, s) if name == "w" else np.zeros(s)).ravel() for name, s in SHAPES_OF.items()]).astype(np.float32)
 
 
 def forward(m: dict[str, np.ndarray], two: np.ndarray, x: np.ndarray, seen: np.ndarray, g: np.ndarray, room: dict[str, np.ndarray] | None = None):
@@ -311,113 +328,119 @@ def log_probs(m: dict[str, np.ndarray], two: np.ndarray, windows: Windows) -> np
 _ONES = np.ones(CLASSES, np.float32)
 
 
-def gradient(m: dict[str, np.ndarray], two: np.ndarray, x, seen, g, y, counts) -> np.ndarray:
-    z, (q, k, v, s, total, h) = forward(m, two, x, seen, g)
-    s /= total
-    z -= z.max(axis=2, keepdims=True)
-    p = np.exp(z)
-    p /= p.sum(axis=2, keepdims=True)
-    np.put_along_axis(p, y[:, :, None].astype(np.intp), np.take_along_axis(p, y[:, :, None].astype(np.intp), 2) - 1, 2)
-    p *= counts[:, :, None] / np.float32(max(1, counts.sum()))
-    dw = h.reshape(-1, WIDTH).T @ p.reshape(-1, CLASSES)
-    dh = p @ m["w"].T
-    da = dh @ v.transpose(0, 2, 1)
-    dv = s.transpose(0, 2, 1) @ dh
-    ds = s * (da - (da * s).sum(axis=2, keepdims=True))
-    dr = np.bincount(_BACK.ravel(), ds.sum(axis=0).ravel(), CONTEXT + STRIDE)
-    dk = ds.transpose(0, 2, 1) @ q  # q is scaled already
-    ds *= np.float32(WIDTH**-0.5)
-    dq = ds @ k
-    own = lambda c: (c.ravel()[:, None] == np.arange(GROUPS)).astype(np.float32)
-    every, asked = own(x), own(x[:, CONTEXT:])
-    return np.concatenate([(asked.T @ dq.reshape(-1, WIDTH)).ravel(), (every.T @ dk.reshape(-1, WIDTH)).ravel(), (every.T @ dv.reshape(-1, WIDTH)).ravel(), dr, dw.ravel()])
+def by_group(index: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sums of rows by their group."""
+    order = np.argsort(index, kind="stable")
+    index = index[order]
+    first = np.flatnonzero(np.append(True, index[1:] != index[:-1]))
+    out = np.zeros((GROUPS, rows.shape[1]), np.float32)
+    out[index[first]] = np.add.reduceat(rows[order], first, axis=0)
+    return out
 
 
-def _sequences(ids: list[bytes], end: int, dtype) -> list[np.ndarray]:
-    edge = np.array([end], np.int64)
-    return [np.concatenate([edge, np.frombuffer(x, dtype), edge]) for x in ids]
+def gradient(m: dict[str, np.ndarray], two: np.ndarray, x, seen, g, y, counts, room: dict[str, np.ndarray] | None = None) -> np.ndarray:
+    """Of the mean loss of the ids that count, by all parameters in turn."""
+    n = len(x)
+    z, (q, k, v, s, total, h) = forward(m, two, x, seen, g, room)
+    z, s = z.reshape(-1, CLASSES), np.divide(s, total, out=s)
+    np.exp(z, out=z)
+    share = (counts / max(1, counts.sum())).astype(np.float32).ravel()
+    z *= (share / (z @ _ONES))[:, None]
+    z[np.arange(len(z)), y.ravel()] -= share
+    dw = h.reshape(-1, WIDTH).T @ z
+    dh = (z @ m["w"].T).reshape(n, STRIDE, WIDTH)
+    ds = np.matmul(dh, v.transpose(0, 2, 1))
+    ds -= (dh * h).sum(axis=2, keepdims=True)
+    ds *= s
+    dr = np.bincount(_BACK.ravel(), ds.sum(axis=0).ravel(), CONTEXT + STRIDE)
+    kv = np.concatenate([np.matmul(ds.transpose(0, 2, 1), q), np.matmul(s.transpose(0, 2, 1), dh)], axis=2)  # q is scaled already
+    dq = np.matmul(ds, k)
+    dq *= np.float32(WIDTH**-0.5)
+    every, asked = by_group(x.ravel(), kv.reshape(-1, 2 * WIDTH)), by_group(x[:, CONTEXT:].ravel(), dq.reshape(-1, WIDTH))
+    return np.concatenate([asked.ravel(), every[:, :WIDTH].ravel(), every[:, WIDTH:].ravel(), dr.astype(np.float32), dw.ravel()])
 
 
-def _trained(path: str, model):
+def _trained(dtype: str, model):
     """A partition's parameters after a pass over its training windows, times their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, groups, two, flat = model.value
-        dtype = Subwords.of(path).dtype
-        Subwords.of(path).forget()
-        flat, first, second, steps, used = flat.copy(), np.zeros(PARAMETERS), np.zeros(PARAMETERS), 0, 0
+        classes, groups, two, begun = model.value
+        flat, first, second, steps, used, room = begun.copy(), np.zeros(PARAMETERS, np.float32), np.zeros(PARAMETERS, np.float32), 0, 0, roomy(STEP_WINDOWS)
+        m = unpacked(flat)
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
-                some = batch.slice(low, 500)
-                found = Windows(_sequences(some.column(0).to_pylist(), len(classes) - 1, dtype), classes, groups)
+                found = Windows(*between_ends(*from_binary(batch.column(0).slice(low, 500), dtype), len(classes) - 1), classes, groups)
                 # a step has windows of many documents
                 order = np.random.default_rng(steps).permutation(len(found.doc))
                 for at in range(0, len(order), STEP_WINDOWS):
-                    g = gradient(unpacked(flat), two, *found.take(order[at : at + STEP_WINDOWS]))
+                    g = gradient(m, two, *found.take(order[at : at + STEP_WINDOWS]), room)
                     steps += 1
-                    first += 0.1 * (g - first)
-                    second += 0.01 * (g * g - second)
-                    flat -= RATE * (first / (1 - 0.9**steps)) / (np.sqrt(second / (1 - 0.99**steps)) + 1e-8)
+                    first += np.float32(0.1) * (g - first)
+                    second += np.float32(0.01) * (g * g - second)
+                    flat -= np.float32(RATE / (1 - 0.9**steps)) * first / (np.sqrt(second / np.float32(1 - 0.99**steps)) + np.float32(1e-8))
                 used += len(order)
         cells = np.arange(PARAMETERS + 1)
-        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(np.append(flat, 1.0) * used)], ["cell", "value"])
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(np.append(flat.astype(np.float64), 1.0) * used)], ["cell", "value"])
 
-    return run
+    return tidy(run)
 
 
-def _scored(path: str, model):
+def _scored(dtype: str, model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, groups, inside, two, flat = model.value
-        size = len(classes)
-        m, dtype = unpacked(flat), Subwords.of(path).dtype
-        Subwords.of(path).forget()
+        classes, groups, inside, two, parameters = model.value
+        size, m = len(classes), unpacked(parameters)
         for batch in batches:
             for low in range(0, batch.num_rows, 200):
                 some = batch.slice(low, 200)
-                ids = some.column(2).to_pylist()
-                docs = _sequences(ids, size - 1, dtype)
-                found = Windows(docs, classes, groups)
-                flat = np.concatenate(docs)
-                edge = np.cumsum([0, *(len(d) for d in docs)])
-                within = inside[found.group[:-1] * size + flat[1:]].astype(np.float32)
-                within[edge[1:-1] - 1] = 0  # from one text to the next
-                total = np.bincount(found.doc, log_probs(m, two, found), len(ids)) / np.log(10)
-                total += np.add.reduceat(within.astype(np.float64), edge[:-1])
-                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(total), pa.array([len(x) // dtype.itemsize for x in ids], pa.int64())], ["doc_id", "code", "score", "n_subwords"])
+                ids, own = from_binary(some.column(2), dtype)
+                flat, edges = between_ends(ids, own, size - 1)
+                found = Windows(flat, edges, classes, groups)
+                within = inside[found.group[:-1].astype(np.int64) * size + flat[1:]].astype(np.float64)
+                within[edges[1:-1] - 1] = 0  # from one text to the next
+                total = np.bincount(found.doc, log_probs(m, two, found), some.num_rows) / np.log(10)
+                total += np.add.reduceat(within, edges[:-1])
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(total), pa.array(np.diff(own))], ["doc_id", "code", "score", "n_subwords"])
 
-    return run
+    return tidy(run)
 
 
 def model_scores(docs: DataFrame, path: str) -> DataFrame:
     """docs(doc_id, code, held_out, text) -> doc_id, code, score, n_subwords."""
-    spark, coder = docs.sparkSession, Subwords.of(path)
-    size, dtype = coder.size, coder.dtype
-    ids = saved(docs.mapInArrow(_encoded(path), "doc_id long, code long, held_out boolean, ids binary"), "ids")
+    spark, size, dtype = docs.sparkSession, Subwords.of(path).size, Subwords.of(path).dtype.str
+    table = saved(docs.mapInArrow(_encoded(path), "doc_id long, code long, held_out boolean, ids binary, counts binary"), "ids")
+    ids = table.where("counts is null")
     train = ids.where("not held_out")
-    counts = _total(train, "ids", size + 1, path, lambda rows: np.frombuffer(b"".join(rows), dtype).astype(np.int64))
-    groups = group_of(counts, path)
 
-    def pairs(rows: list[bytes]) -> np.ndarray:
-        docs = np.concatenate(_sequences(rows, size, dtype))
-        inner = np.flatnonzero(np.append((docs[:-1] != size) | (docs[1:] != size), False))  # not from one text to the next
-        return groups[docs[inner]] * (size + 1) + docs[inner + 1]
+    def summed(total: np.ndarray, column: pa.Array) -> None:
+        for blob in column.to_pylist():
+            total += np.frombuffer(blob, np.int64)
+
+    groups = group_of(_total(table.where("counts is not null").select("counts"), size + 1, summed), path)
+
+    def pairs(total: np.ndarray, column: pa.Array) -> None:
+        flat, edges = between_ends(*from_binary(column, dtype), size)
+        inner = np.ones(len(flat), bool)
+        inner[edges[1:] - 1] = False  # not from one text to the next
+        inner = np.flatnonzero(inner)
+        np.add.at(total, groups[flat[inner]].astype(np.int64) * (size + 1) + flat[inner + 1], 1)
 
-    many = _total(train, "ids", GROUPS * (size + 1), path, pairs).reshape(GROUPS, size + 1)
+    many = _total(train.select("ids"), GROUPS * (size + 1), pairs).reshape(GROUPS, size + 1)
     classes = class_of(many)
     two, inside = tables(many, classes)
+    classes, groups = classes.astype(np.uint8), groups.astype(np.uint8)
     del many
     flat = start()
     for turn in range(ROUNDS):
         sent = spark.sparkContext.broadcast((classes, groups, two, flat))
-        rows = train.where(F.pmod(F.xxhash64("code"), F.lit(ROUNDS)) == turn).select("ids").mapInArrow(_trained(path, sent), "cell long, value double").groupBy("cell").agg(F.sum("value")).collect()
+        rows = train.where(F.pmod(F.xxhash64("code"), F.lit(ROUNDS)) == turn).select("ids").mapInArrow(_trained(dtype, sent), "cell long, value double").groupBy("cell").agg(F.sum("value")).collect()
         mean = np.zeros(PARAMETERS + 1)
         for cell, value in rows:
             mean[cell] = value
         if mean[-1]:
-            flat = mean[:-1] / mean[-1]
+            flat = (mean[:-1] / mean[-1]).astype(np.float32)
     sent = spark.sparkContext.broadcast((classes, groups, inside, two, flat))
-    out = saved(ids.select("doc_id", "code", "ids").mapInArrow(_scored(path, sent), "doc_id long, code long, score double, n_subwords long"), "scores")
-    dropped(ids)
+    out = saved(ids.select("doc_id", "code", "ids").mapInArrow(_scored(dtype, sent), "doc_id long, code long, score double, n_subwords long"), "scores", small=True)
+    dropped(table)
     return out
 
 

@@ -127,16 +127,21 @@ def test_baseline_and_model(spark):
     assert lm.scored(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def windows(docs, classes, groups):
+    """Windows over documents that have an end on either side."""
+    return lm.Windows(np.concatenate(docs), np.cumsum([0, *map(len, docs)]), classes, groups)
+
+
 def test_each_id_is_scored_once_with_causal_masks():
     rng = np.random.default_rng(1)
     classes, groups = rng.integers(0, lm.CLASSES, 60), rng.integers(0, lm.GROUPS, 60)
     docs = [np.concatenate([[59], rng.integers(0, 59, n), [59]]) for n in (0, 1, 23, 24, 25, 130)]
     two, m = rng.normal(size=(lm.GROUPS, lm.CLASSES)).astype(np.float32), lm.unpacked(lm.start())
-    found = lm.Windows(docs, classes, groups)
+    found = windows(docs, classes, groups)
     x, seen, g, y, counts = found.take(np.arange(len(found.doc)))
     assert np.bincount(found.doc, counts.sum(axis=1)).tolist() == [len(d) - 1 for d in docs]
     whole = lm.log_probs(m, two, found)
-    longer = lm.Windows([np.concatenate([docs[5][:-1], docs[5]])], classes, groups)
+    longer = windows([np.concatenate([docs[5][:-1], docs[5]])], classes, groups)
     assert np.allclose(lm.log_probs(m, two, longer)[:5], whole[found.doc == 5][:5], atol=1e-3)
     z, _ = lm.forward(m, two, x, seen, g)
     assert np.isfinite(z).all() and np.isfinite(lm.gradient(m, two, x, seen, g, y, counts)).all()
@@ -148,12 +153,12 @@ def test_gradient_against_differences():
     classes, groups = rng.integers(0, lm.CLASSES, 60), rng.integers(0, lm.GROUPS, 60)
     two = rng.normal(size=(lm.GROUPS, lm.CLASSES)).astype(np.float32)
     flat = lm.start() * 2
-    take = lm.Windows(docs, classes, groups)
+    take = windows(docs, classes, groups)
     part = take.take(np.arange(len(take.doc)))
     g = lm.gradient(lm.unpacked(flat), two, *part)
     loss = lambda f: -lm.log_probs(lm.unpacked(f), two, take).sum() / part[-1].sum()
     for at in np.argsort(-np.abs(g))[:8]:
-        step = np.zeros(len(flat))
+        step = np.zeros(len(flat), np.float32)
         step[at] = 0.05
         assert (loss(flat + step) - loss(flat - step)) / 0.1 == pytest.approx(g[at], rel=0.1, abs=2e-4)
 
@@ -163,18 +168,18 @@ def test_all_windows_train():
 
     path = subword.vocabulary_path()
     size, dtype = subword.Subwords.of(path).size, subword.Subwords.of(path).dtype
-    classes, groups = np.zeros(size + 1, np.int64), np.zeros(size + 1, np.int64)
+    classes, groups = np.zeros(size + 1, np.uint8), np.zeros(size + 1, np.uint8)
     lengths = [0, 3, 23, 24, 25, 130, 7]
     ids = [RNG.integers(0, 500, n).astype(dtype).tobytes() for n in lengths]
     model = type("Sent", (), {"value": (classes, groups, np.zeros((lm.GROUPS, lm.CLASSES), np.float32), lm.start())})
     want = sum(-(-(n + 1) // lm.STRIDE) for n in lengths)
-    (out,) = lm._trained(path, model)([pa.record_batch({"ids": pa.array(ids, pa.binary())})])
+    (out,) = lm._trained(dtype.str, model)([pa.record_batch({"ids": pa.array(ids, pa.binary())})])
     assert out.column(1)[-1].as_py() == want
 
 
 def test_attention_tells_groups_apart():
     classes, groups = np.zeros(lm.GROUPS, np.int64), np.arange(lm.GROUPS)
-    found = lm.Windows([np.arange(10, 40)], classes, groups)
+    found = windows([np.arange(10, 40)], classes, groups)
     x, seen, *_ = found.take(np.arange(len(found.doc)))
     assert set(x[seen]) == set(range(10, 39)) and all(len(lm.unpacked(lm.start())[c]) == lm.GROUPS for c in "qkv")
 
