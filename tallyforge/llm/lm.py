@@ -35,7 +35,7 @@ SMOOTH = 3.0
 STRIDE, CONTEXT, WIDTH = 24, 8, 16
 #: Windows scored at a time. Rounds of averaging, each over its share of the documents; windows in a step; step size.
 BATCH = 128
-ROUNDS, STEP_WINDOWS, RATE = 2, 192, 0.02
+ROUNDS, STEP_WINDOWS, RATE = 2, 96, 0.02
 #: Distinct words of documents that are sent at a time and counted in a task.
 TOKENS_A_TASK = 2_000_000
 #: Words whose ids a worker keeps, besides the model.
@@ -252,24 +252,26 @@ class Windows:
         many = -(-lengths // STRIDE)
         self.doc = np.repeat(np.arange(len(first)), many)
         block = np.arange(len(self.doc)) - np.repeat(np.cumsum(many) - many, many)
-        self.start = first[self.doc] + block * STRIDE
-        self.flat, self.group, self.begin, self.end = classes[flat], groups[flat], first[self.doc], first[self.doc] + lengths[self.doc]
+        # room before the first text and behind the last one, so that no window leaves the arrays
+        self.start = first[self.doc] + block * STRIDE + CONTEXT
+        self.begin, self.end = first[self.doc] + CONTEXT, first[self.doc] + lengths[self.doc] + CONTEXT
+        self.flat, self.group = (np.concatenate([np.zeros(CONTEXT, x.dtype), x[flat], np.zeros(STRIDE + 1, x.dtype)]) for x in (classes, groups))
 
     def take(self, which) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Inputs, whether they are seen, groups before the targets, targets, whether they count."""
-        at = self.start[which][:, None] + np.arange(-CONTEXT, STRIDE)
+        """Inputs, whether they are seen, groups before the targets, targets, whether they count. What isn't seen or doesn't
+        count is of another text."""
+        at = self.start[which][:, None] + _PLACES
         seen = (at >= self.begin[which][:, None]) & (at < self.end[which][:, None])
-        x = self.group[np.where(seen, at, 0)]
-        to = at[:, CONTEXT:] + 1
-        counts = to <= self.end[which][:, None]
-        to = np.where(counts, to, 0)
-        return x, seen, self.group[np.maximum(to - 1, 0)], self.flat[to], counts
+        x, to = self.group[at], at[:, CONTEXT:] + 1
+        return x, seen, x[:, CONTEXT:], self.flat[to], to <= self.end[which][:, None]
 
 
+_PLACES = np.arange(-CONTEXT, STRIDE)
 _BACK = np.arange(STRIDE)[:, None] + CONTEXT - np.arange(CONTEXT + STRIDE)[None, :]
 _CAUSAL = np.where(_BACK >= 0, 0, -30).astype(np.float32)
 _BACK = np.maximum(_BACK, 0)
-SHAPES_OF = {"q": (GROUPS, WIDTH), "k": (GROUPS, WIDTH), "v": (GROUPS, WIDTH), "r": (CONTEXT + STRIDE,), "w": (WIDTH, CLASSES)}
+#: Of queries, keys beside values, relative positions, and classes.
+SHAPES_OF = {"q": (GROUPS, WIDTH), "kv": (GROUPS, 2 * WIDTH), "r": (CONTEXT + STRIDE,), "w": (WIDTH, CLASSES)}
 PARAMETERS = sum(int(np.prod(s)) for s in SHAPES_OF.values())
 
 
@@ -284,14 +286,15 @@ def unpacked(flat: np.ndarray) -> dict[str, np.ndarray]:
 
 def start() -> np.ndarray:
     rng = np.random.default_rng(11)
-    return np.concatenate([(rng.normal(0, 0.3, s) if name in "qkv" else rng.normal(0, 0.02, s) if name == "w" else np.zeros(s)).ravel() for name, s in SHAPES_OF.items()]).astype(np.float32)
+    return np.concatenate([(rng.normal(0, 0.3, s) if name in ("q", "kv") else rng.normal(0, 0.02, s) if name == "w" else np.zeros(s)).ravel() for name, s in SHAPES_OF.items()]).astype(np.float32)
 
 
 def forward(m: dict[str, np.ndarray], two: np.ndarray, x: np.ndarray, seen: np.ndarray, g: np.ndarray, room: dict[str, np.ndarray] | None = None):
     """Log odds (not normalised) of the next classes and what the backward pass needs. room: arrays to work in, for reuse."""
     n = len(x)
     room = room or roomy(n)
-    q, k, v = m["q"][x[:, CONTEXT:]], m["k"][x], m["v"][x]
+    q, kv = m["q"][x[:, CONTEXT:]], m["kv"][x]
+    k, v = kv[:, :, :WIDTH], kv[:, :, WIDTH:]
     q *= np.float32(WIDTH**-0.5)
     s, h, z = room["s"][:n], room["h"][:n], room["z"][:n]
     np.matmul(q, k.transpose(0, 2, 1), out=s)
@@ -300,7 +303,7 @@ def forward(m: dict[str, np.ndarray], two: np.ndarray, x: np.ndarray, seen: np.n
     s[edge] += np.where(seen[edge], np.float32(0), np.float32(-30))[:, None, :]
     np.minimum(s, np.float32(20), out=s)
     np.exp(s, out=s)
-    total = s.sum(axis=2, keepdims=True)
+    total = (s.reshape(-1, CONTEXT + STRIDE) @ _KEYS).reshape(n, STRIDE, 1)
     np.matmul(s, v, out=h)
     h /= total
     np.matmul(h.reshape(-1, WIDTH), m["w"], out=z.reshape(-1, CLASSES))
@@ -308,8 +311,11 @@ def forward(m: dict[str, np.ndarray], two: np.ndarray, x: np.ndarray, seen: np.n
     return z, (q, k, v, s, total, h)
 
 
+_KEYS, _ONES = np.ones(CONTEXT + STRIDE, np.float32), np.ones(CLASSES, np.float32)
+
+
 def roomy(n: int) -> dict[str, np.ndarray]:
-    return {"s": np.empty((n, STRIDE, CONTEXT + STRIDE), np.float32), "h": np.empty((n, STRIDE, WIDTH), np.float32), "z": np.empty((n, STRIDE, CLASSES), np.float32)}
+    return {"s": np.empty((n, STRIDE, CONTEXT + STRIDE), np.float32), "h": np.empty((n, STRIDE, WIDTH), np.float32), "z": np.empty((n, STRIDE, CLASSES), np.float32), "kvq": np.zeros((n, CONTEXT + STRIDE, 3 * WIDTH), np.float32)}
 
 
 def log_probs(m: dict[str, np.ndarray], two: np.ndarray, windows: Windows) -> np.ndarray:
@@ -325,9 +331,6 @@ def log_probs(m: dict[str, np.ndarray], two: np.ndarray, windows: Windows) -> np
     return out
 
 
-_ONES = np.ones(CLASSES, np.float32)
-
-
 def by_group(index: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Sums of rows by their group."""
     order = np.argsort(index, kind="stable")
@@ -341,23 +344,26 @@ def by_group(index: np.ndarray, rows: np.ndarray) -> np.ndarray:
 def gradient(m: dict[str, np.ndarray], two: np.ndarray, x, seen, g, y, counts, room: dict[str, np.ndarray] | None = None) -> np.ndarray:
     """Of the mean loss of the ids that count, by all parameters in turn."""
     n = len(x)
+    room = room or roomy(n)
     z, (q, k, v, s, total, h) = forward(m, two, x, seen, g, room)
     z, s = z.reshape(-1, CLASSES), np.divide(s, total, out=s)
     np.exp(z, out=z)
-    share = (counts / max(1, counts.sum())).astype(np.float32).ravel()
-    z *= (share / (z @ _ONES))[:, None]
-    z[np.arange(len(z)), y.ravel()] -= share
-    dw = h.reshape(-1, WIDTH).T @ z
-    dh = (z @ m["w"].T).reshape(n, STRIDE, WIDTH)
+    # the slope of an id's loss is (z - whole at its class) / whole: the division is left to what is narrower
+    whole = z @ _ONES
+    z[np.arange(len(z)), y.ravel()] -= whole
+    share = ((counts / max(1, counts.sum())).astype(np.float32).ravel() / whole)[:, None]
+    dw = (h.reshape(-1, WIDTH) * share).T @ z
+    dh = ((z @ m["w"].T) * share).reshape(n, STRIDE, WIDTH)
     ds = np.matmul(dh, v.transpose(0, 2, 1))
-    ds -= (dh * h).sum(axis=2, keepdims=True)
+    ds -= np.einsum("nsw,nsw->ns", dh, h)[:, :, None]
     ds *= s
     dr = np.bincount(_BACK.ravel(), ds.sum(axis=0).ravel(), CONTEXT + STRIDE)
-    kv = np.concatenate([np.matmul(ds.transpose(0, 2, 1), q), np.matmul(s.transpose(0, 2, 1), dh)], axis=2)  # q is scaled already
-    dq = np.matmul(ds, k)
-    dq *= np.float32(WIDTH**-0.5)
-    every, asked = by_group(x.ravel(), kv.reshape(-1, 2 * WIDTH)), by_group(x[:, CONTEXT:].ravel(), dq.reshape(-1, WIDTH))
-    return np.concatenate([asked.ravel(), every[:, :WIDTH].ravel(), every[:, WIDTH:].ravel(), dr.astype(np.float32), dw.ravel()])
+    kvq = room["kvq"][:n]  # inputs that only are context have no queries: zeros
+    np.matmul(ds.transpose(0, 2, 1), q, out=kvq[:, :, :WIDTH])  # q is scaled already
+    np.matmul(s.transpose(0, 2, 1), dh, out=kvq[:, :, WIDTH : 2 * WIDTH])
+    np.multiply(np.matmul(ds, k), np.float32(WIDTH**-0.5), out=kvq[:, CONTEXT:, 2 * WIDTH :])
+    sums = by_group(x.ravel(), kvq.reshape(-1, 3 * WIDTH))
+    return np.concatenate([sums[:, 2 * WIDTH :].ravel(), sums[:, : 2 * WIDTH].ravel(), dr.astype(np.float32), dw.ravel()])
 
 
 def _trained(dtype: str, model):
@@ -395,7 +401,7 @@ def _scored(dtype: str, model):
                 ids, own = from_binary(some.column(2), dtype)
                 flat, edges = between_ends(ids, own, size - 1)
                 found = Windows(flat, edges, classes, groups)
-                within = inside[found.group[:-1].astype(np.int64) * size + flat[1:]].astype(np.float64)
+                within = inside[groups[flat[:-1]].astype(np.int64) * size + flat[1:]].astype(np.float64)
                 within[edges[1:-1] - 1] = 0  # from one text to the next
                 total = np.bincount(found.doc, log_probs(m, two, found), some.num_rows) / np.log(10)
                 total += np.add.reduceat(within, edges[:-1])

@@ -2,8 +2,8 @@
 
 The tokenizer must treat white space as a separator that no token spans (as `word_bpe_49k.json` does): then the ids of a
 text are those of its words in turn. Words end at ASCII white space; the tokenizer itself sees to any other. Words of Latin
-letters, with one mark behind them at most, are merged here, many at a time; all others go through the tokenizer. Words are
-known by a hash of their bytes, A-Z in lower case, and are not told apart otherwise.
+letters, with a few marks behind them, are merged here, many at a time; all others go through the tokenizer. Words are known
+by a hash of their bytes, A-Z in lower case, and are not told apart otherwise.
 """
 
 from __future__ import annotations
@@ -21,9 +21,12 @@ from .text import LOWER, hashes, slices, words
 #: Words that a worker keeps at most; beyond, its cache is emptied, which costs time only. About 40 bytes each.
 KEPT = 600_000
 #: Words on which the short way to a word's ids is tried before it is used.
-PROBES = ["É", "Über", "a", "the", "word.", "heitung", "straße", "été,", "año", "naïve", "Ñandú!", "ÿ", "ofthstthor", "x" * 31]
+PROBES = ["É", "Über", "a", "the", "word.", "heitung", "straße", "été,", "año", "naïve", "Ñandú!", "ÿ", "ofthstthor", "x" * 31, "a***", "is'", "été?!", "b..."]
 VOCABULARY = "word_bpe_49k.json"
-MARKS = b".,;:!?"
+#: Marks of ASCII, and how many of them behind a word's letters are set apart here.
+_MARK = np.zeros(256, bool)
+_MARK[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+MOST_MARKS = 4
 #: Bytes of the longest word that is merged here, and widths of the batches.
 WIDTHS = [6, 10, 14, 20, 32]
 _NONE = np.int32(1 << 30)
@@ -146,12 +149,10 @@ class Subwords:
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.kept = KEPT
         self.merges: Merges | None = None
-        self.mark_ids = np.zeros(256, np.int64)
+        self.marks: dict[int, list[int]] = {}
         model = json.loads(self.tokenizer.to_str())["model"]
         try:
             self.merges = Merges(model["vocab"], model["merges"], model.get("end_of_word_suffix") or "")
-            for mark in MARKS:
-                (self.mark_ids[mark],) = self.tokenizer.encode(chr(mark), add_special_tokens=False).ids
         except (KeyError, ValueError):  # not a byte-level vocabulary of merges
             self.merges = None
         self.forget()
@@ -174,6 +175,12 @@ class Subwords:
         self.slots, self.used, self.held = Table(12), 0, 0
         self.first, self.many, self.pool = np.zeros(4096, np.int64), np.zeros(4096, np.int32), np.zeros(16_384, self.dtype)
 
+    def _marks(self, mark: int) -> list[int]:
+        if mark not in self.marks:
+            text = mark.to_bytes(8, "little").rstrip(b"\0").decode()
+            self.marks[mark] = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.marks[mark]
+
     def _full(self, some: list[bytes]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)]
 
@@ -200,9 +207,14 @@ class Subwords:
             n, place = length[which], np.arange(width)[:, None]
             inside = place < n
             letters = np.where(inside, LOWER[data[np.minimum(starts[which] + place, len(data) - 1)]], 0)
-            end = letters[n - 1, np.arange(len(n))]
-            tail = np.where(n > 1, self.mark_ids[end], 0)
-            n = n - (tail > 0)
+            # marks behind the letters are a token's text of their own
+            stem = ((inside & ~_MARK[letters]) * (place + 1)).max(axis=0)
+            tail = np.zeros(len(n), np.int64)
+            for i in range(MOST_MARKS):
+                at = stem + i
+                tail += np.where(at < n, letters[np.minimum(at, width - 1), np.arange(len(n))].astype(np.int64) << 8 * i, 0)
+            n = np.where((stem > 0) & (n - stem <= MOST_MARKS), stem, n)
+            tail = np.where(n < length[which], tail, 0)
             letters = np.where(place < n, letters, 0)
             # a-z, or a letter of the Latin-1 supplement: 0xC3 and a byte of 0x80 to 0xBF but for two signs
             lead = letters == 0xC3
@@ -216,10 +228,12 @@ class Subwords:
                 continue
             letters = np.where(behind & (letters < 0x9F), letters + 0x20, letters).astype(np.uint8)
             ids, count = self.merges.ids(letters, n)
-            ids = np.vstack([ids, np.zeros((1, len(n)), ids.dtype)])
-            last = np.flatnonzero(tail > 0)
-            ids[count[last], last] = tail[last]
-            count[last] += 1
+            ids = np.vstack([ids, np.zeros((2 * MOST_MARKS, len(n)), ids.dtype)])
+            for mark in np.unique(tail[tail > 0]):
+                last = np.flatnonzero(tail == mark)
+                for one in self._marks(int(mark)):
+                    ids[count[last], last] = one
+                    count[last] += 1
             slow[which] = False
             self._keep(keys[which], count, ids.T[(np.arange(len(ids))[:, None] < count).T])
         rest = np.flatnonzero(slow)
