@@ -1,8 +1,9 @@
 """Benchmark decontamination by CGK embeddings and bit-sampling LSH over item-sized windows of documents.
 
-Symbols are words without case, marks or white space. A document is contaminated by an item of L words if some passage of it
-is within edit distance L // 5 of the whole item, counted in words. Items are grouped by length; a window has the length of
-its group's shortest item and starts at any word.
+Symbols are words without case, marks or white space; letters of scripts that don't space words are symbols each. A document is
+contaminated by an item of L words if some passage of it is within edit distance L // 5 of the whole item, counted in words.
+Items of fewer than five words, where no edit is allowed, are looked up by a hash of their words. Longer ones are grouped by
+length; a window has the length of its group's shortest item and starts at any word.
 
 1. Each edit touches two pairs of neighbouring words at most, so a window within reach of an item has all but twice that many
    of its pairs from the benchmark. Running sums leave out the windows that don't, at no risk.
@@ -26,12 +27,12 @@ from pyspark.sql import functions as F
 from .text import SPACE, hashes, mix, slices, words
 from .workers import tidy
 
-#: Edits allowed: one in so many words of the item. Items of fewer words than LEAST are not looked for.
+#: Edits allowed: one in so many words of the item. Items of fewer words than LEAST are looked up exactly.
 ONE_IN, LEAST = 5, 5
 #: Walks, samples of each, positions of a sample. With a fifth of the words edited a key agrees about one time in three.
 WALKS, SAMPLES, POSITIONS = 5, 8, 4
 #: Lengths of a group span at most this ratio. Items in a block, and windows embedded at a time.
-RATIO, ITEMS_A_BLOCK, WINDOWS = 1.2, 20_000, 50_000
+RATIO, ITEMS_A_BLOCK, BYTES_A_BLOCK, WINDOWS = 1.2, 20_000, 32_000_000, 50_000
 
 _PLAIN = np.arange(256, dtype=np.uint8)
 _PLAIN[65:91] += 32
@@ -44,11 +45,27 @@ def symbols(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     plain = _PLAIN[data]
     keep = _INK[plain] | SPACE[data]
     moved = np.concatenate([[0], np.cumsum(keep)])
-    plain = plain[keep]
-    starts, ends, doc = words(plain, moved[at])
+    plain, at = plain[keep], moved[at]
+    # kana and Chinese (three bytes from 0xE3 to 0xE9), Thai and its neighbours (0xE0, 0xB8 to 0xBE): letters apart
+    second = np.append(plain[1:], np.uint8(0))
+    apart = np.flatnonzero((plain >= 0xE3) & (plain <= 0xE9) | (plain == 0xE0) & (second >= 0xB8) & (second <= 0xBE))
+    if len(apart):
+        gaps = np.sort(np.concatenate([apart, apart + 3]))
+        plain, at = np.insert(plain, gaps, 32), at + np.searchsorted(gaps, at)
+    starts, ends, doc = words(plain, at)
     return hashes(plain, starts, ends), doc
 
 
+def runs_of(h: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each run of n words of one document, and where it starts."""
+    starts = np.arange(max(0, len(h) - n + 1))
+    starts = starts[doc[starts] == doc[starts + n - 1]]
+    out = np.full(len(starts), n, np.uint64)
+    for i in range(n):
+        out = mix(out ^ h[starts + i], 700 + i)
+    return out, starts
+
+
 def pairs_of(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Hash of each word and the next one; the last word of a document has 0."""
     out = np.zeros(len(h), np.uint64)
@@ -147,8 +164,14 @@ class Benchmark:
         self.items = own
         pairs = np.concatenate(pairs)
         self.pairs = Members(pairs[pairs > 0])
-        lengths = np.array([len(x) for x in own])
-        self.groups = []
+        lengths = np.array([len(x) for x in own], np.int64)
+        self.groups, self.short = [], []
+        for n in range(1, LEAST):
+            which = np.flatnonzero(lengths == n)
+            if len(which):
+                keys, _ = runs_of(np.concatenate([own[i] for i in which]), np.repeat(which, n), n)
+                order = np.argsort(keys, kind="stable")
+                self.short.append((n, keys[order], which[order]))
         rest = np.unique(lengths[lengths >= LEAST])
         while len(rest):
             n = int(rest[0])
@@ -164,7 +187,14 @@ class Benchmark:
     def found(self, h: np.ndarray, doc: np.ndarray) -> dict[tuple[int, int], tuple[int, int, int]]:
         """(document, item) to (distance, first word, words) of its best passage."""
         out: dict[tuple[int, int], tuple[int, int, int]] = {}
-        if not len(h) or not self.groups:
+        if not len(h):
+            return out
+        for n, keys, which in self.short:
+            run, starts = runs_of(h, doc, n)
+            low, high = np.searchsorted(keys, run, "left"), np.searchsorted(keys, run, "right")
+            for i in np.flatnonzero(high > low)[::-1]:
+                out.update({(int(doc[starts[i]]), int(item)): (0, int(starts[i]), n) for item in which[low[i] : high[i]]})
+        if not self.groups:
             return out
         sums = np.concatenate([[0], np.cumsum(self.pairs.has(pairs_of(h, doc)), dtype=np.int32)])
         first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
@@ -224,26 +254,46 @@ def _matches(bench):
     return tidy(run)
 
 
+def _blocks(benchmark: DataFrame) -> Iterator:
+    """The items in broadcast blocks of bounded numbers and bytes."""
+    items = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text")
+    n, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    blocks = max(n // ITEMS_A_BLOCK, size // BYTES_A_BLOCK) + 1
+    for block in range(blocks):
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
+        yield benchmark.sparkSession.sparkContext.broadcast(Benchmark([r[0] for r in rows], [r[1] for r in rows]))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each document and item that it has: doc_id, item_id, start_word, words, item_words, distance.
 
-    Null and empty texts have nothing; null and empty items and those of fewer than LEAST words are not looked for. Equal
-    items each get rows. Rows that repeat an id each get rows. Extra columns are ignored.
+    Null and empty texts have nothing; null and empty items are not looked for. Equal items each get rows. Rows that repeat an
+    id each get rows; ties of passages go to the first. Very long texts are searched whole. Extra columns are ignored; an empty
+    table on either side gives no rows.
     """
-    spark = docs.sparkSession
-    items = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text")
-    blocks = items.count() // ITEMS_A_BLOCK + 1
     bare = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
-    for block in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
-        bench = spark.sparkContext.broadcast(Benchmark([r[0] for r in rows], [r[1] for r in rows]))
+    for bench in _blocks(benchmark):
         found = bare.mapInArrow(_matches(bench), "doc_id long, item_id long, start_word long, words long, item_words long, distance long")
         out = found if out is None else out.unionByName(found)
     return out
 
 
+def _without(bench, column: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 1000):
+                some = batch.slice(low, 1000)
+                clean_rows = np.ones(some.num_rows, bool)
+                for part in slices(some.column(column)):
+                    clean_rows[[part.first + d for d, _ in bench.value.found(*symbols(part.data, part.at))]] = False
+                yield some.filter(pa.array(clean_rows))
+
+    return tidy(run)
+
+
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without those that a benchmark item contaminates."""
-    gone = contaminated(docs, benchmark).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    """docs without the rows that a benchmark item contaminates, each row judged by its own text; nothing is joined."""
+    for bench in _blocks(benchmark):
+        docs = docs.mapInArrow(_without(bench, docs.columns.index("text")), docs.schema)
+    return docs
