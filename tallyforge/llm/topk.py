@@ -24,10 +24,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .text import hashes, slices, words
+from .workers import tidy
 
 K1, B = 1.2, 0.75
 #: Queries sent at a time; documents and distinct words of a shard at most; documents in a block of an index.
-QUERIES_A_BLOCK, DOCS_A_SHARD, WORDS_A_SHARD, BLOCK = 4096, 16_384, 8_000_000, 64
+QUERIES_A_BLOCK, BYTES_A_BLOCK, DOCS_A_SHARD, WORDS_A_SHARD, BLOCK = 4096, 64_000_000, 16_384, 8_000_000, 64
 #: Frequent terms of a shard, kept as columns; queries in a batch; relative error that single precision may have.
 FREQUENT, BATCH, SLACK = 512, 128, 1e-4
 
@@ -87,7 +88,7 @@ def _frequencies(sent):
         cells = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(cells, (-1, -2))), pa.array(np.append(df[cells], (docs, size)))], ["cell", "n"])
 
-    return run
+    return tidy(run)
 
 
 class Shard:
@@ -225,10 +226,11 @@ def _searched(sent, statistics, k: int):
                     shard()
         if ids:
             shard()
-        rows = [(queries.ids[q], i, -s) for q, own in enumerate(found) for s, i in own]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.float64())], ["query_id", "doc_id", "score"])
+        rows = [(queries.ids[q], q, i, -s) for q, own in enumerate(found) for s, i in own]
+        kinds = [("query_id", pa.int64()), ("query_row", pa.int64()), ("doc_id", pa.int64()), ("score", pa.float64())]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(kinds)], [n for n, _ in kinds])
 
-    return run
+    return tidy(run)
 
 
 def top_k(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
@@ -236,12 +238,14 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
 
     Documents that share no term with a query aren't listed, so a null or empty query has no rows, and few matches give
     fewer than k. Ties go to the lesser doc_id; rows that repeat a doc_id each take a rank; null ids are left out. Repeated
-    queries are searched each. Extra columns are ignored.
+    queries are searched each, with k rows each. Very long texts count whole. Extra columns are ignored; an empty table on
+    either side gives no rows.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     queries = queries.where(F.col("query_id").isNotNull() & F.col("text").isNotNull()).select(F.col("query_id").cast("long").alias("query_id"), "text")
-    blocks = queries.count() // QUERIES_A_BLOCK + 1
+    n, size = queries.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    blocks = max(n // QUERIES_A_BLOCK, size // BYTES_A_BLOCK) + 1
     out = None
     for block in range(blocks):
         rows = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block).orderBy("query_id", "text").collect()
@@ -253,7 +257,7 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         df[cell[cell >= 0]] = n[cell >= 0]
         total, size = n[cell == -1].sum(), n[cell == -2].sum()
         statistics = spark.sparkContext.broadcast((np.log1p((total - df + 0.5) / (df + 0.5)), max(1.0, size / max(1, total))))
-        found = docs.mapInArrow(_searched(sent, statistics, k), "query_id long, doc_id long, score double")
+        found = docs.mapInArrow(_searched(sent, statistics, k), "query_id long, query_row long, doc_id long, score double").withColumn("query_block", F.lit(block))
         out = found if out is None else out.unionByName(found)
-    best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "doc_id"))
-    return out.withColumn("rank", best).where(F.col("rank") <= k)
+    best = F.row_number().over(Window.partitionBy("query_block", "query_row").orderBy(F.col("score").desc(), "doc_id"))
+    return out.withColumn("rank", best).where(F.col("rank") <= k).drop("query_block", "query_row")
