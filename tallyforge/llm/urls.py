@@ -1,8 +1,8 @@
 """URL filtering, with DataFrame functions only: rules on hosts and paths, and a list of unwanted URLs.
 
 A blocked Bloom filter of the listed canonical URLs (one 64-bit word a block, several bits in it) lets possible hits pass;
-an exact hash join with the list removes its false positives. The filter has a fixed number of blocks at most, so it is
-broadcast at any list size; a longer list only lets more false positives pass, and the join stays exact.
+an exact hash join with the list removes its false positives. The filter always has as many blocks as the list needs: up to
+MAX_BLOCKS it is broadcast, beyond that its blocks are dealt out and the pages meet them by an equi-join.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .store import saved
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Blocks of the filter at most (1 MB as rows), bits that a URL sets in its block, bits of the filter for a listed URL.
+#: Blocks of a filter that is broadcast at most (1 MB as rows), bits that a URL sets in its block, bits of the filter for a listed URL.
 MAX_BLOCKS, BITS_SET, BITS_A_URL = 65_536, 5, 16
 SALTS = 16
 #: (verdict, host and path): fits the host and its subdomains where the URL's path starts with the rule's.
@@ -62,11 +62,11 @@ def _mask(url: Column) -> Column:
 
 
 def _block(url: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(url), F.lit(blocks)).cast("int")
+    return F.pmod(F.xxhash64(url), F.lit(blocks).cast("long"))
 
 
 def bloom(listed: DataFrame, blocks: int) -> DataFrame:
-    """block, word: the blocked Bloom filter of the distinct urls of listed, at most `blocks` rows."""
+    """block, word: the blocked Bloom filter of the distinct urls of listed, a row for each block that has any."""
     return listed.groupBy(_block(F.col("canonical"), blocks).alias("block")).agg(F.bit_or(_mask(F.col("canonical"))).alias("word"))
 
 
@@ -74,14 +74,16 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str]
     """One row for each page: page_id, host, path, rule, verdict. listed has a column `canonical`, nulls and repeats allowed.
 
     The longest fitting rule gives the verdict; without one, `block` if the canonical URL is listed, else `allow`. A null url
-    or one without :// has an empty host and path, no rule, and is allowed. Repeated rows each get a row.
+    or one without :// has an empty host and path, no rule, and is allowed. Repeated rows each get a row. Very long urls count
+    whole; extra columns are ignored; an empty table gives no rows, an empty list blocks nothing.
     """
     pages = with_parts(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")))
     listed = saved(listed.where("canonical is not null").select("canonical").distinct(), "listed", small=True)
-    blocks = min(MAX_BLOCKS, listed.count() * BITS_A_URL // 64 + 1)
+    blocks = listed.count() * BITS_A_URL // 64 + 1
+    table = bloom(listed, blocks)
     rule, verdict = rule_for(rules)
     pages = pages.withColumns({"rule": rule, "ruled": verdict, "block": _block(F.col("canonical"), blocks), "mask": _mask(F.col("canonical"))})
-    open_ = pages.join(F.broadcast(bloom(listed, blocks)), "block", "left")
+    open_ = pages.join(F.broadcast(table) if blocks <= MAX_BLOCKS else table.hint("merge"), "block", "left")
     maybe = F.col("ruled").isNull() & F.coalesce(F.col("word").bitwiseAND(F.col("mask")) == F.col("mask"), F.lit(False))
     # passed urls are dealt by salt too, so that one url on very many pages isn't one task's; others need no join and keep no key
     passed = open_.withColumns({"key": F.when(maybe, F.col("canonical")), "salt": F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int")})
