@@ -21,10 +21,14 @@ from .workers import tidy
 
 #: Labelled documents of a language that are fitted on, about; with many languages fewer, so that all have DOCS, but LEAST each.
 DOCS_A_LANGUAGE, DOCS, LEAST = 300, 19_200, 20
+#: Bytes of their texts in all, about.
+BYTES = 100_000_000
 #: Bits of each hashed family of features, and the most languages that have as many (beyond, fewer bits bound the memory);
 #: words in a block.
 BITS, WIDE, BLOCK = 16, 64, 32
 PASSES, RATE, SPLICED = 3, 0.3, 0.2
+#: Scores of bytes held at a time, about.
+SCORES = 1_500_000
 FAMILIES = 6  # bigrams, trigrams, words, prefixes, suffixes of 3, suffixes of 4
 
 LETTER = np.zeros(256, bool)
@@ -210,7 +214,7 @@ def fit(texts: list[str], labels: list[int], k: int) -> tuple[np.ndarray, np.nda
 def told(column: pa.Array, weights: np.ndarray, moves: np.ndarray, names: list[str]) -> tuple[list[str], list[float], list[int]]:
     """Language, score and switches of each text of a column."""
     best, score, turns = ["und"] * len(column), [0.0] * len(column), [0] * len(column)
-    for part in slices(column):
+    for part in slices(column, max(20_000, SCORES // max(1, len(names)))):  # a score for each byte and language
         found = Words(part.data, part.at, bits_for(len(names)))
         n = part.last - part.first
         both = marginals(found, weights, moves) if names else np.zeros((len(found.doc), 1))
@@ -236,7 +240,7 @@ def learned(docs: DataFrame, holdout: int):
     known = docs.where((bucket("doc_id", holdout) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
     names = sorted(r["lang"] for r in known.select("lang").distinct().collect())
     most = max(LEAST, min(DOCS_A_LANGUAGE, DOCS // max(1, len(names))))
-    rows = sampled(known, "lang", "doc_id", most).select("doc_id", "lang", "text").orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    rows = sampled(known, "lang", "doc_id", most, BYTES // max(1, len(names))).select("doc_id", "lang", "text").orderBy(F.xxhash64("doc_id"), "doc_id").collect()
     place = {name: i for i, name in enumerate(names)}
     weights, moves = fit([r["text"] for r in rows], [place[r["lang"]] for r in rows], len(names)) if names else (np.zeros((FAMILIES, 1 << BITS, 1), np.float32), np.zeros((1, 1)))
     return names, docs.sparkSession.sparkContext.broadcast((weights, moves))

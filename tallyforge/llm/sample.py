@@ -13,13 +13,15 @@ def bucket(id_col: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
-def sampled(rows: DataFrame, label: str, id_col: str, most: int) -> DataFrame:
-    """About `most` rows of each label, by a hash of the id; all rows where a label has fewer.
+def sampled(rows: DataFrame, label: str, id_col: str, most: int, most_bytes: int | None = None) -> DataFrame:
+    """About `most` rows of each label, and about `most_bytes` of their column `text` if given, by a hash of the id; all rows
+    where a label has fewer.
 
     The counts take one aggregation; the share of each label then is a filter that runs in the scan.
     """
-    counts = {r[0]: r[1] for r in rows.groupBy(label).agg(F.count(F.lit(1))).collect()}
+    size = F.lit(0) if most_bytes is None else F.coalesce(F.sum(F.octet_length("text")), F.lit(0))
+    counts = rows.groupBy(label).agg(F.count(F.lit(1)), size).collect()
     share = F.lit(0)
-    for value, n in counts.items():
-        share = F.when(F.col(label) == F.lit(value), F.lit(min(SPAN, SPAN * most // n + 1))).otherwise(share)
+    for value, n, size in counts:
+        share = F.when(F.col(label) == F.lit(value), F.lit(min(SPAN, SPAN * most // n + 1, SPAN * most_bytes // size + 1 if size else SPAN))).otherwise(share)
     return rows.where(F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(SPAN)) < share)

@@ -56,8 +56,8 @@ class Slice:
     at: np.ndarray
 
 
-def slices(column: pa.Array) -> Iterator[Slice]:
-    """The documents of a text column, in runs of about SLICE_BYTES."""
+def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[Slice]:
+    """The documents of a text column, in runs of about `size` bytes."""
     column = (column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column).cast(pa.large_string()).fill_null("")
     if not len(column):
         return
@@ -66,7 +66,7 @@ def slices(column: pa.Array) -> Iterator[Slice]:
     whole = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
     first = 0
     while first < len(column):
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1)
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1)
         at = offsets[first : last + 1]
         yield Slice(first, last, whole[at[0] : at[-1]], at - at[0])
         first = last

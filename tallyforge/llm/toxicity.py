@@ -16,11 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sample import bucket, sampled
+from .sample import SPAN, bucket, sampled
 from .text import LOWER, SPACE, hashes, slices, words
+from .workers import tidy
 
 #: Labelled documents of each label that are fitted on, about.
 DOCS_A_LABEL = 4_000
+#: Bytes of their texts in all, about.
+BYTES = 64_000_000
 #: Trees, their depth, shrinkage, bins of a feature, and the share that calibrates.
 TREES, DEPTH, SHRINK, BINS, CALIBRATE = 60, 3, 0.2, 32, 0.3
 #: Look-alikes of letters.
@@ -212,11 +215,16 @@ def scored(docs: DataFrame, labels: DataFrame, holdout: int = 3, least: float =
 
     Fitted on labelled rows whose crc32(doc_id) mod `holdout` isn't 1; a document that has several labels counts as toxic if
     one says so; null labels don't count. Null texts are empty ones and are scored too. With one label only, or none, every
-    score is the rate of toxic ones (0 without labels). Repeated rows each get a row.
+    score is the rate of toxic ones (0 without labels). Very long texts are read whole. Repeated rows each get a row; extra
+    columns are ignored; an empty table gives no rows.
     """
     known = labels.where((bucket("doc_id", holdout) != 1) & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = sampled(known, "toxic", "doc_id", DOCS_A_LABEL)  # a bounded number of ids
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").collect()
+    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    if size > BYTES:  # long documents: fewer of them
+        texts = texts.where(F.pmod(F.xxhash64("doc_id", F.lit("bytes")), F.lit(SPAN)) < SPAN * BYTES // size)
+    rows = texts.orderBy(F.xxhash64("doc_id"), "doc_id", "text").collect()
     toxic = np.array([int(r["toxic"] > 0) for r in rows], int)
     constant = float(toxic.mean()) if len(toxic) else 0.0
     model = fit([r["text"] or "" for r in rows], toxic) if 0 < constant < 1 else None
@@ -232,4 +240,4 @@ def scored(docs: DataFrame, labels: DataFrame, holdout: int = 3, least: float =
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(score), pa.array((score >= least).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     bare = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (bucket("doc_id", holdout) == 1).alias("held_out"), "text")
-    return bare.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return bare.mapInArrow(tidy(run), "doc_id long, held_out boolean, score double, predicted int")

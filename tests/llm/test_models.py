@@ -181,7 +181,7 @@ def test_attention_tells_groups_apart():
     classes, groups = np.zeros(lm.GROUPS, np.int64), np.arange(lm.GROUPS)
     found = windows([np.arange(10, 40)], classes, groups)
     x, seen, *_ = found.take(np.arange(len(found.doc)))
-    assert set(x[seen]) == set(range(10, 39)) and all(len(lm.unpacked(lm.start())[c]) == lm.GROUPS for c in "qkv")
+    assert set(x[seen]) == set(range(10, 39)) and all(len(lm.unpacked(lm.start())[c]) == lm.GROUPS for c in ("q", "kv"))
 
 
 def test_model_beats_shuffled_letters(spark):
