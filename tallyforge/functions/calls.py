@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 _OPENING = re.compile(r"[\[{]")
 _TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|["\[\]{}]', re.DOTALL)
 _PARTNER = {"]": "[", "}": "{"}
+#: White space as Python strips it.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def canonical(value: Any) -> str:
@@ -107,8 +109,9 @@ def flattened(value: Any) -> dict[str, str]:
     return out
 
 
-def _over(kind: str, function, n: int = 1):
-    """A scalar pandas UDF of row-wise Python over n columns, made when first called; a null argument gives null."""
+def _over(kind: str, function, n: int = 1, once: bool = False):
+    """A scalar pandas UDF of row-wise Python over n columns, made when first called; a null argument gives null. once: filters
+    on what depends on it are not pushed below it, which would run it again, and before rows are spread."""
     names = [f.split(":")[0] for f in kind.removeprefix("struct<").rstrip(">").split(",")] if kind.startswith("struct") else None
 
     def made():
@@ -132,7 +135,8 @@ def _over(kind: str, function, n: int = 1):
             for part in parts:
                 yield values(part)
 
-        return F.pandas_udf({(1, False): one, (1, True): one_row}.get((n, bool(names)), many_row if names else many), kind)
+        udf = F.pandas_udf({(1, False): one, (1, True): one_row}.get((n, bool(names)), many_row if names else many), kind)
+        return udf.asNondeterministic() if once else udf
 
     return lambda *columns: made()(*columns)
 
@@ -151,6 +155,22 @@ def leaf_pairs(text: str) -> dict[str, str] | None:
     return flattened(value) if fine else None
 
 
+def unicode_text(text: str) -> str | None:
+    """Canonical JSON with letters as they are."""
+    fine, value = loads(text)
+    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False) if fine else None
+
+
+def target_fault(text: str) -> str:
+    """What keeps a text from being a canonical list of gold calls; empty if nothing does."""
+    fine, value = loads(text)
+    if not fine:
+        return "invalid_json"
+    if not isinstance(value, list) or not value or not all(_named(c, ("arguments", dict)) and len(c) == 2 for c in value):
+        return "invalid_shape"
+    return "" if canonical(value) == text else "not_canonical"
+
+
 def html_safe(text: str) -> str | None:
     out = canonical_text(text)
     return out and out.replace("&", "\\u0026").replace("<", "\\u003c").replace(">", "\\u003e")
@@ -158,8 +178,33 @@ def html_safe(text: str) -> str | None:
 
 normalize_query = _over("string", normalized)
 canonical_json = _over("string", canonical_text)
+canonical_unicode = _over("string", unicode_text)
+gold_target_fault = _over("string", target_fault)
 html_safe_json = _over("string", html_safe)
 parse_tools = _over("struct<reason:string,tools:string>", tools_of)
 parse_gold = _over("struct<reason:string,calls:string>", gold_of)
+
+
+
+def row_of(tools: str, answers: str) -> tuple[str | None, str | None, str | None]:
+    """(reason, canonical tools, canonical calls) of a raw row's two JSON columns, the tools' faults first."""
+    reason, own = tools_of(tools)
+    if reason:
+        return reason, None, None
+    reason, calls = gold_of(answers)
+    return reason, own, calls
+
+
+def scores_of(raw: str, gold_name: str, gold_arguments: str) -> tuple:
+    """Status, name, canonical arguments and the score components of generated text against a gold call."""
+    status, name, arguments = call_of(raw)
+    gold = flattened(json.loads(gold_arguments))
+    own = flattened(json.loads(arguments)) if status == "ok" else {}
+    ok, named, args = status == "ok", status == "ok" and name == gold_name, status == "ok" and arguments == canonical(json.loads(gold_arguments))
+    return status, name, arguments, int(ok), int(named), int(args), int(named and args), 2 * len(own.items() & gold.items()), len(own) + len(gold)
+
+
+parse_rows = _over("struct<reason:string,tools:string,calls:string>", row_of, 2, once=True)
+score_call = _over("struct<status:string,name:string,arguments:string,valid:long,named:long,args:long,whole:long,f1_num:long,f1_den:long>", scores_of, 3, once=True)
 parse_call = _over("struct<status:string,name:string,arguments:string>", call_of)
 flatten_arguments = _over("map<string,string>", leaf_pairs)
