@@ -3,6 +3,7 @@
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tallyforge.functions import audits, spans
 from tallyforge.functions.calls import balanced, call_of, canonical, flattened, gold_of, normalized, tools_of
@@ -52,9 +53,9 @@ def test_normalized_is_stable(text):
 
 
 def test_protected_spans():
-    calls = '[{"name":"get_rate","arguments":{"code":" GHF","n":0.5,"ok":true,"at":[8.5,9],"list":"a1, b2"}}]'
-    query = "use get_rate for ' GHF' at 0.5, from [8:30, 9] and a1 then b2"
-    assert set(spans.protected(query, calls)) == {"get_rate", "' GHF'", "0.5", "[8:30, 9]", "a1", "b2", "9"}
+    calls = '[{"name":"find_fare","arguments":{"code":" QZX","n":0.5,"ok":true,"at":[8.5,9],"list":"a1, b2"}}]'
+    query = "use find_fare for ' QZX' at 0.5, from [8:30, 9] and a1 then b2"
+    assert set(spans.protected(query, calls)) == {"find_fare", "' QZX'", "0.5", "[8:30, 9]", "a1", "b2", "9"}
     kept = spans.protected(query, calls)
     assert spans.restored(spans.masked(query, kept), kept) == query
 
@@ -71,13 +72,16 @@ def test_groups_discard_broken_ones():
         ("find the cat", "le chat noir", [], "he", "wrong_script"), ("find the cat", "найди", [], "he", "wrong_script"), ("find the cat", "מצא </user", [], "he", "prompt_leakage"), ("find the little cat now", "מצאאתהחתולהקטןעכשיו", [], "he", "malformed_spacing"),
     ],
 )
-def test_audit(source, output, kept, code, reason):
-    assert audits.audited(source, output, kept, code)[0] == reason
+def test_audit(spark, source, output, kept, code, reason):
+    rows = spark.createDataFrame([(source, output, kept, code)], "source string, output string, spans array<string>, code string")
+    assert rows.select(audits.audit(*(F.col(c) for c in rows.columns)).alias("a")).select("a.reason").first()[0] == reason
 
 
-def test_output_repairs():
-    assert audits.unwrapped('```text\n"Translation: x"\n```') == "x"
-    assert audits.unwrapped('"a" and "b"') == '"a" and "b"'
-    assert audits.with_points("0,5 et 10,55", ["0.5"]) == "0.5 et 10,55"
+def test_output_repairs(spark):
+    texts = ['```text\n"Translation: x"\n```', '"a" and "b"', " « y » ", "``` a b\nc```", "plain", '"']
+    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(audits.unwrap(F.col("t"))).collect()]
+    assert got == ["x", '"a" and "b"', "y", "a b\nc", "plain", '"']
+    rows = spark.createDataFrame([("0,5 et 10,55", ["0.5"]), ("0,5 et 0.5", ["0.5"]), ("1,2", ["x.y", "1.2"])], "t string, s array<string>")
+    assert [r[0] for r in rows.select(audits.restore_points(F.col("t"), F.col("s"))).collect()] == ["0.5 et 10,55", "0,5 et 0.5", "1.2"]
     encoded = "×©×ľ"
     assert audits.byte_letters("plain text") == "plain text" and audits.byte_letters(encoded) != ""
