@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyforge.errors import InvariantError
+
 
 def last_row_memory(history: DataFrame, run: str, order: str, memory: str) -> DataFrame:
     """history with the peak memory on each run's last row only; rows without a step are left out."""
@@ -21,6 +23,74 @@ def training_summary(history: DataFrame, run: str, order: str) -> DataFrame:
     return seen.join(peak, run, "full_outer")
 
 
+def training_metrics(history: DataFrame, run: str, order: str) -> DataFrame:
+    """Trainer history as metrics: rows with a step, numbers that must be finite (else the query fails), the peak memory on each
+    run's last row only."""
+    from .tokenization import finite
+
+    rows = last_row_memory(history, run, order, "peak_memory")
+    numbers = [c for c, kind in rows.dtypes if kind in ("double", "float")]
+    return rows.withColumns({c: finite(F.col(c), c) for c in numbers})
+
+
+def uniform(rows: DataFrame, column: str) -> str:
+    """The one distinct value of a column; several are an error."""
+    found = rows.groupBy(column).count().limit(2).collect()
+    if len(found) != 1:
+        raise InvariantError(f"{column} has {len(found) or 'no'} values where one is needed", "Generate the whole split with one configuration.")
+    return found[0][0]
+
+
+def telemetry_faults(slices: DataFrame, total: DataFrame, counts: DataFrame, tolerance: float = 1e-6) -> DataFrame:
+    """fault, slice: recorded timing that contradicts itself or the generations. slices and counts have slice and examples,
+    slices also elapsed and each; total is one row of examples, elapsed and each."""
+    joined = slices.join(counts.select("slice", F.col("examples").alias("counted")), "slice", "full_outer")
+    why = (
+        F.when(F.col("examples").isNull() | F.col("counted").isNull(), "slice_set")
+        .when((F.col("examples") != F.col("counted")) | (F.col("examples") <= 0), "examples")
+        .when((F.col("elapsed") < 0) | F.isnan(F.col("elapsed").cast("double")), "elapsed")
+        .when(F.abs(F.col("each") - F.col("elapsed") / F.col("examples")) > tolerance, "each")
+    )
+    sums = slices.agg(F.sum("examples").alias("n"), F.sum("elapsed").alias("t"), F.count(F.lit(1)).alias("k"))
+    whole = (
+        F.when(F.col("n") != F.col("examples"), "total_examples")
+        .when(F.abs(F.col("t") - F.col("elapsed")) > (F.col("k") + 1) * tolerance, "total_elapsed")
+        .when(F.abs(F.col("each") - F.col("elapsed") / F.col("examples")) > tolerance, "total_each")
+    )
+    own = joined.select(why.alias("fault"), "slice").unionByName(total.join(F.broadcast(sums)).select(whole.alias("fault"), F.lit(None).cast("string").alias("slice")))  # one row each
+    return own.where("fault is not null")
+
+
+def throughput(runs: DataFrame) -> DataFrame:
+    """runs (tokens_seen, elapsed, gpus) with tokens_per_second, gpu_hours, and why there is no rate."""
+    known = (F.col("tokens_seen") > 0) & (F.col("elapsed") > 0)
+    return runs.withColumns({"tokens_per_second": F.when(known, F.col("tokens_seen") / F.col("elapsed")), "gpu_hours": F.col("elapsed") * F.col("gpus") / 3600, "unavailable": F.when(~F.coalesce(known, F.lit(False)), "tokens_seen_or_positive_elapsed_unavailable")})
+
+
+#: Names of files that hold an adapter's tensors.
+TENSORS = r"^adapter_model(-[0-9]{5}-of-[0-9]{5})?\.(safetensors|bin)$"
+
+
+def adapter_storage(files: DataFrame) -> DataFrame:
+    """One row over files (path, bytes): all bytes and files, and those of tensors alone."""
+    tensor = F.regexp_extract("path", r"([^/]*)$", 1).rlike(TENSORS)
+    return files.agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("files"), F.coalesce(F.sum(F.when(tensor, F.col("bytes"))), F.lit(0)).alias("tensor_bytes"), F.count_if(tensor).alias("tensor_files"))
+
+
+def file_set_difference(listed: DataFrame, found: DataFrame) -> DataFrame:
+    """path, side: outputs that a manifest lists and no file has, or the other way round."""
+    return cohort_difference(listed.select("path"), found.select("path"))
+
+
+def evidence_class(run_id: Column) -> Column:
+    return F.when(run_id.startswith("smoke-"), "smoke").otherwise("full")
+
+
+def utc_time(text: Column) -> Column:
+    """A strict UTC timestamp as a time; null for anything else."""
+    return F.when(text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?(Z|\+00:00)$"), F.try_to_timestamp(text))
+
+
 def telemetry(rows: DataFrame, *keys: str) -> DataFrame:
     """keys, examples, elapsed, each: seconds by slice and for all (null)."""
     out = rows.groupingSets([list(keys), []], *keys).agg(F.count(F.lit(1)).alias("examples"), F.sum("elapsed").alias("elapsed"))

@@ -103,3 +103,120 @@ def outcomes(records: DataFrame, reasons: list[str]) -> DataFrame:
     every = records.sparkSession.range(1).select(F.explode(F.array(F.lit(None).cast("string"), *[F.lit(r) for r in reasons])).alias("reason"))
     zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("rows", "attempts", "retried")]
     return every.join(found, every["reason"].eqNullSafe(found["dropped"]), "left").select("reason", *zero)
+
+
+#: Seconds to wait before each further call while a provider has no room.
+BACKOFF = [1, 2, 4, 8, 16]
+#: Counters of a journal, in the order of reports.
+COUNTERS = [
+    "records", "responses", "replayable_responses", "replays", "durable_journal_replays", "batch_coalesced_replays", "request_errors", "resource_unavailable_events", "resolved_resource_unavailable_events", "pending_resource_unavailable_events",
+    "unresolved_resource_unavailable_events", "provider_error_responses", "error_records", "model_mismatch_responses", "service_tier_mismatch_responses", "refusal_responses", "incomplete_responses", "responses_missing_usage",
+]
+USAGE = ["input_tokens", "cached_input_tokens", "output_tokens", "reasoning_output_tokens", "total_tokens"]
+
+
+def availability(events: DataFrame) -> DataFrame:
+    """source_id, attempt, waits, state: events without room of each source attempt, and what became of them: resolved by a
+    response, pending while a retry is scheduled, else unresolved."""
+    calls = events.where("event in ('response', 'request_error', 'resource_unavailable')")
+    by = calls.groupBy("source_id", "attempt").agg(F.count_if(F.expr("event = 'resource_unavailable'")).alias("waits"), F.max_by("event", "ordinal").alias("last"), F.max_by("retry_scheduled", "ordinal").alias("scheduled"))
+    state = F.when(F.col("last") == "response", "resolved").when((F.col("last") == "resource_unavailable") & F.col("scheduled"), "pending").otherwise("unresolved")
+    return by.where("waits > 0").select("source_id", "attempt", "waits", state.alias("state"))
+
+
+def backoff_faults(events: DataFrame) -> DataFrame:
+    """ordinal, fault: waits that the ledger of seconds doesn't allow: call k of a source attempt waits BACKOFF[k - 1] seconds and
+    is tried again; behind the last of these nothing is scheduled."""
+    due = F.element_at(F.array(*[F.lit(x) for x in BACKOFF]), F.least(F.col("call_attempt"), F.lit(len(BACKOFF))).cast("int"))
+    again = F.col("call_attempt") <= len(BACKOFF)
+    why = F.when(F.col("retry_scheduled") != again, "schedule").when(~F.col("backoff_seconds").eqNullSafe(F.when(again, due)), "seconds")
+    return events.where("event = 'resource_unavailable'").select("ordinal", why.alias("fault")).where("fault is not null")
+
+
+def aggregated(events: DataFrame) -> DataFrame:
+    """One row: all COUNTERS, the USAGE sums, distinct identities, largest sizes and whether usage is complete.
+
+    events: ordinal, source_id, attempt, event, request_sha256, request_bytes, requested_model, requested_tier, returned_model,
+    returned_tier, completed (null: no completion), refused, status, replayable, replay_source, retry_scheduled and USAGE."""
+    response, wrong_model, wrong_tier = F.col("event") == "response", F.col("returned_model") != F.col("requested_model"), F.col("returned_tier") != F.col("requested_tier")
+    no_completion = F.col("completed").isNull()
+    missing = F.greatest(*[F.col(c).isNull().cast("int") for c in USAGE]) == 1
+    counts = {
+        "records": F.lit(True), "responses": response, "replayable_responses": response & F.col("replayable"), "replays": F.col("event") == "replay",
+        "durable_journal_replays": (F.col("event") == "replay") & (F.col("replay_source") == "durable_journal"), "batch_coalesced_replays": (F.col("event") == "replay") & (F.col("replay_source") == "batch_coalesced"),
+        "request_errors": F.col("event") == "request_error", "resource_unavailable_events": F.col("event") == "resource_unavailable", "provider_error_responses": response & no_completion,
+        "wrong": response & (no_completion | wrong_model | wrong_tier), "model_mismatch_responses": response & wrong_model, "service_tier_mismatch_responses": response & wrong_tier, "refusal_responses": response & F.col("refused"),
+        "incomplete_responses": response & (F.col("status") == "incomplete"), "responses_missing_usage": response & missing,
+    }
+    sums = [F.coalesce(F.sum(F.when(response, F.col(c))), F.lit(0)).alias(c) for c in USAGE]
+    distinct = lambda column, name: F.array_sort(F.collect_set(column)).alias(name)  # noqa: E731  a few identities
+    total = events.agg(
+        *[F.count_if(c).alias(n) for n, c in counts.items()], *sums, F.approx_count_distinct("request_sha256").alias("about_requests"), F.count_distinct("request_sha256").alias("unique_requests"), F.count_distinct("source_id", "attempt").alias("unique_source_attempts"),
+        distinct(F.col("requested_model"), "requested_models"), distinct(F.col("requested_tier"), "requested_tiers"), distinct(F.when(response, F.col("returned_model")), "returned_models"), distinct(F.when(response, F.col("returned_tier")), "returned_tiers"),
+        F.coalesce(F.max("request_bytes"), F.lit(0)).alias("most_request_bytes"), F.coalesce(F.max(F.when(response, F.col("input_tokens"))), F.lit(0)).alias("most_input_tokens"),
+    ).drop("about_requests")
+    waits = availability(events).agg(*[F.coalesce(F.sum(F.when(F.col("state") == s, F.col("waits"))), F.lit(0)).alias(f"{s}_resource_unavailable_events") for s in ("resolved", "pending", "unresolved")])
+    out = total.join(F.broadcast(waits))  # one row each
+    out = out.withColumn("error_records", F.col("wrong") + F.col("request_errors") + F.col("unresolved_resource_unavailable_events"))
+    whole = (F.col("request_errors") + F.col("model_mismatch_responses") + F.col("service_tier_mismatch_responses") + F.col("responses_missing_usage") + F.col("unresolved_resource_unavailable_events")) == 0
+    rest = ["unique_requests", "unique_source_attempts", "requested_models", "requested_tiers", "returned_models", "returned_tiers", "most_request_bytes", "most_input_tokens"]
+    return out.withColumn("usage_complete", whole).select(*[F.col(c).cast("long").alias(c) for c in COUNTERS], *USAGE, *rest, "usage_complete")
+
+
+def journal_faults(events: DataFrame) -> DataFrame:
+    """fault, key: what makes a journal unfit as evidence: several requests of a source attempt, several sizes of a request's
+    body, attempts with gaps, calls out of order or behind a last one, several replayable answers to a request, replays without
+    one before them, and more than one requested model or tier."""
+    rule = lambda name, rows, key: rows.select(F.lit(name).alias("fault"), F.col(key).cast("string").alias("key"))
+    several = lambda keys, column: events.groupBy(*keys).agg(F.min(column).alias("a"), F.max(column).alias("b")).where("a <> b")
+    calls = events.where("event in ('response', 'request_error', 'resource_unavailable')")
+    w = Window.partitionBy("source_id", "attempt").orderBy("ordinal")
+    order = calls.withColumns({"own": F.row_number().over(w), "before": F.lag("event").over(w), "scheduled_before": F.lag("retry_scheduled").over(w)})
+    ended = F.col("before").isNotNull() & ~((F.col("before") == "resource_unavailable") & F.coalesce("scheduled_before", F.lit(False)))
+    first = events.where("event = 'response' AND replayable").groupBy("request_sha256").agg(F.min("ordinal").alias("first"))
+    early = events.where("event = 'replay'").join(first, "request_sha256", "left").where("first is null or first > ordinal")
+    out = rule("several_requests", several(["source_id", "attempt"], "request_sha256"), "source_id")
+    for more in (
+        rule("body_size", several(["request_sha256"], "request_bytes"), "request_sha256"),
+        rule("attempt_gap", attempt_gaps(events), "source_id"),
+        rule("call_order", order.where((F.col("call_attempt") != F.col("own")) | ended), "ordinal"),
+        rule("conflict", replays(events).where("versions > 1"), "request_sha256"),
+        rule("replay_without_response", early, "ordinal"),
+        rule("several_models", several([], "requested_model"), "a"),
+        rule("several_tiers", several([], "requested_tier"), "a"),
+    ):
+        out = out.unionByName(more)
+    return out
+
+
+def provider_evidence(total: DataFrame, input_usd: str, cached_usd: str, output_usd: str, long_from: int = 272_000) -> DataFrame:
+    """The content-free projection of aggregated(): counters, usage, and the exact list price as text with 9 places, or why there
+    is none: usage_incomplete, several_tiers, long_context or no_responses."""
+    why = (
+        F.when(F.col("responses") == 0, "no_responses")
+        .when(F.size("requested_tiers") != 1, "several_tiers")
+        .when(~F.col("usage_complete"), "usage_incomplete")
+        .when(F.col("most_input_tokens") > long_from, "long_context")
+    )
+    rows = total.withColumn("unavailable", why).withColumns({"tier": F.element_at("requested_tiers", 1), "cached_tokens": F.col("cached_input_tokens")})
+    # every request is below the long-context price, so sums are priced as one event
+    cost = priced(rows, input_usd, cached_usd, output_usd, 1 << 62)
+    return cost.withColumn("list_price_usd", F.when(F.col("unavailable").isNull(), F.col("cost_usd").cast("string"))).drop("tier", "cached_tokens", "cost_usd")
+
+
+def evidence_faults(total: DataFrame) -> DataFrame:
+    """fault: laws that a summary's counters and usage must keep."""
+    laws = {
+        "records": "records <> responses + replays + request_errors + resource_unavailable_events", "replays": "replays <> durable_journal_replays + batch_coalesced_replays",
+        "responses": "greatest(replayable_responses, provider_error_responses, model_mismatch_responses, service_tier_mismatch_responses, refusal_responses, incomplete_responses, responses_missing_usage) > responses",
+        "availability": "resource_unavailable_events <> resolved_resource_unavailable_events + pending_resource_unavailable_events + unresolved_resource_unavailable_events",
+        "errors": "error_records <> request_errors + responses - replayable_responses + unresolved_resource_unavailable_events", "cached": "cached_input_tokens > input_tokens", "reasoning": "reasoning_output_tokens > output_tokens", "total": "total_tokens <> input_tokens + output_tokens",
+        "requests": "unique_requests > records", "attempts": "unique_source_attempts > records or (records > 0 and unique_source_attempts = 0)",
+    }
+    found = F.filter(F.array(*[F.when(F.expr(c), F.lit(n)) for n, c in laws.items()]), lambda x: x.isNotNull())
+    return total.select(F.explode(found).alias("fault"))
+
+
+def appended(events: DataFrame, path: str) -> None:
+    """Add events to a journal folder; a failed job adds nothing that readers see."""
+    events.write.mode("append").parquet(path)

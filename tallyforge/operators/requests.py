@@ -35,10 +35,13 @@ def classified(responses: DataFrame) -> DataFrame:
 
 def retried(rows: DataFrame, translate, judge, most: int = 3) -> tuple[DataFrame, DataFrame]:
     """(accepted, dropped) after at most `most` rounds. translate(rows with feedback) adds output; judge adds reason, null for
-    accepted. Each round only takes the rows that the one before turned down."""
+    accepted. Each round only takes the rows that the one before turned down. Rounds are checkpointed where the session names a
+    folder for it (so a translator is never asked again), else persisted; either goes with its DataFrame."""
     pending, accepted = rows.withColumn("feedback", F.lit(None).cast("string")), None
+    durable = rows.sparkSession.sparkContext.getCheckpointDir() is not None
     for attempt in range(1, most + 1):
-        done = judge(translate(pending)).withColumn("attempt", F.lit(attempt)).persist()
+        done = judge(translate(pending)).withColumn("attempt", F.lit(attempt))
+        done = done.checkpoint() if durable else done.persist()
         good = done.where("reason is null")
         accepted = good if accepted is None else accepted.unionByName(good)
         pending = done.where("reason is not null")
