@@ -53,7 +53,7 @@ FROM @documents, (SELECT 0 AS m, 'base' AS model_kind UNION ALL SELECT 1 AS m, '
 JOURNAL = """
 SELECT event_id AS ordinal, concat('s', CAST(user_id AS STRING)) AS source_id,
   CASE event_type WHEN 'purchase' THEN 'response' WHEN 'click' THEN 'replay' WHEN 'view' THEN 'resource_unavailable' ELSE 'request_error' END AS event,
-  event_id % 3 + 1 AS attempt, concat('r', CAST(event_id % 701 AS STRING)) AS request_sha256, concat('b', CAST(event_id % 5 AS STRING)) AS body_sha256,
+  CASE WHEN user_id % 9 = 4 THEN event_id % 3 + 2 ELSE event_id % 3 + 1 END AS attempt, concat('r', CAST(event_id % 701 AS STRING)) AS request_sha256, concat('b', CAST(event_id % 5 AS STRING)) AS body_sha256,
   event_id % 4 <> 0 AS replayable, event_id % 11 = 0 AS retry_scheduled, concat('m', CAST(event_id % 2 AS STRING)) AS returned_model,
   CASE WHEN event_id % 2 = 0 THEN 'flex' ELSE 'default' END AS tier, event_id % 4096 AS body_bytes,
   event_id % 300001 AS input_tokens, event_id % 300001 % 97 AS cached_tokens, event_id % 211 AS output_tokens, event_id % 13 AS reasoning_tokens,
@@ -61,16 +61,6 @@ SELECT event_id AS ordinal, concat('s', CAST(user_id AS STRING)) AS source_id,
   CASE WHEN event_id % 3 = 0 THEN 'wrong_script' WHEN event_id % 7 = 0 THEN 'empty_output' END AS dropped
 FROM @events"""
 
-#: Turns as training texts: the user's and the answer's, with their splits.
-DIALOGUE = """
-SELECT conv_id * 1000 + turn AS ordinal, concat('c', CAST(conv_id AS STRING), '.', CAST(turn AS STRING)) AS example_id, role AS language,
-  CASE WHEN conv_id % 10 = 0 THEN 'test' WHEN conv_id % 10 = 1 THEN 'validation' ELSE 'train' END AS split, text AS query
-FROM @conversations"""
-
-RUNS = """
-SELECT l_orderkey AS run, l_linenumber AS step, CAST(l_quantity * 100 AS BIGINT) AS tokens_seen, CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_tax * 100 AS BIGINT) END AS peak_memory, l_extendedprice AS elapsed, l_shipmode
-FROM @lineitem"""
-
 
 def tables(sql: str, sf_dir: str) -> str:
     """The SQL with each @name as a Parquet path for Spark."""

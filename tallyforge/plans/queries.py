@@ -25,7 +25,7 @@ def query(oracle: str | None = None):
         QUERIES[function.__name__] = function
         if oracle:
             text = oracle
-            for name in ("RAW", "ROOTS", "PAIRS", "GENERATIONS", "JOURNAL", "DIALOGUE"):
+            for name in ("RAW", "ROOTS", "PAIRS", "GENERATIONS", "JOURNAL"):
                 text = text.replace("{" + name + "}", fx.plain(getattr(fx, name)))
             ORACLES[function.__name__] = text
         return function
@@ -79,11 +79,11 @@ def drop_summary(spark, sf_dir):
     return prepare.drop_counts(rows, fx.view(spark, sf_dir, fx.RAW).select("language"))
 
 
-@query(f"""WITH {DIGESTED} SELECT source_id AS example_id, CASE WHEN k <= 300 THEN 'train' WHEN k <= 340 THEN 'validation' ELSE 'test' END AS split
-  FROM (SELECT source_id, row_number() OVER (ORDER BY sha256('42:' || source_id), source_id) AS k FROM final WHERE reason IS NULL) WHERE k <= 380""")
+@query(f"""WITH {DIGESTED} SELECT source_id AS example_id, CASE WHEN k <= 40 THEN 'train' WHEN k <= 48 THEN 'validation' ELSE 'test' END AS split
+  FROM (SELECT source_id, row_number() OVER (ORDER BY sha256('42:' || source_id), source_id) AS k FROM final WHERE reason IS NULL) WHERE k <= 56""")
 def seeded_split(spark, sf_dir):
     rows = prepare.deduplicated(_validated(spark, sf_dir), "language").where("reason is null").withColumn("example_id", F.col("source_id"))
-    return prepare.split(rows, 42, {"train": 300, "validation": 40, "test": 40}).select("example_id", "split")
+    return prepare.split(rows, 42, {"train": 40, "validation": 8, "test": 8}).select("example_id", "split")
 
 
 PAIRED = """roots AS ({ROOTS}), pairs AS ({PAIRS}), by_text AS (SELECT query_sha256 AS q, min(split) AS text_split FROM roots GROUP BY ALL),
@@ -238,7 +238,7 @@ SCORED = f"""g AS ({{GENERATIONS}}), s AS (SELECT *, CAST(kind NOT IN (6, 7, 8)
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.components(scoring.parsed(fx.view(spark, sf_dir, fx.GENERATIONS)))
+    return scoring.scored(prepare.spread(fx.view(spark, sf_dir, fx.GENERATIONS)))
 
 
 @query(f"WITH g AS ({{GENERATIONS}}) SELECT ordinal, model_kind, {PARSED} AS status, CASE WHEN {PARSED} = 'ok' THEN CASE WHEN kind = 3 THEN 'other' ELSE 'lookup' END END AS name FROM g")
@@ -294,15 +294,17 @@ def language_gaps(spark, sf_dir):
     return scoring.gaps(scoring.metrics(_scored(spark, sf_dir), "model_kind"), "en", "model_kind").where("metric = 'full_call_exact_match'").select("model_kind", "language", "gap")
 
 
-@query("SELECT CAST(NULL AS VARCHAR) AS example_id, CAST(NULL AS VARCHAR) AS problem WHERE false")
+@query("""SELECT concat('doc:', CAST(doc_id AS VARCHAR)) AS example_id, CASE doc_id % 30 WHEN 1 THEN 'no_generation' WHEN 2 THEN 'prompt_differs' ELSE 'unknown_example' END AS problem FROM documents WHERE doc_id % 30 IN (1, 2, 3)""")
 def unmatched_generations(spark, sf_dir):
     rows = fx.view(spark, sf_dir, fx.GENERATIONS)
-    return scoring.unmatched(rows.where("model_kind = 'base'"), rows.where("model_kind = 'adapter'"))
+    own = rows.where("model_kind = 'base' AND ordinal % 30 <> 1").withColumn("prompt_sha256", F.expr("if(ordinal % 30 = 2, 'x', prompt_sha256)"))
+    return scoring.unmatched(own, rows.where("model_kind = 'adapter' AND ordinal % 30 <> 3"))
 
 
-@query("SELECT CAST(NULL AS VARCHAR) AS example_id, CAST(NULL AS VARCHAR) AS fault WHERE false")
+@query("""SELECT concat('doc:', CAST(doc_id AS VARCHAR)) AS example_id, CASE doc_id % 30 WHEN 1 THEN 'f1_range' WHEN 2 THEN 'full_without_parts' ELSE 'match_without_json' END AS fault FROM documents, range(2) WHERE doc_id % 30 IN (1, 2, 3)""")
 def component_laws(spark, sf_dir):
-    return evidence.component_faults(_scored(spark, sf_dir))
+    planted = {"argument_f1_num": "if(ordinal % 30 = 1, argument_f1_den + 2, argument_f1_num)", "full_call_exact_match_num": "CASE ordinal % 30 WHEN 2 THEN 1 WHEN 3 THEN 0 ELSE full_call_exact_match_num END", "function_name_accuracy_num": "CASE ordinal % 30 WHEN 2 THEN 0 WHEN 3 THEN 1 ELSE function_name_accuracy_num END", "valid_json_rate_num": "if(ordinal % 30 = 3, 0, valid_json_rate_num)"}
+    return evidence.component_faults(_scored(spark, sf_dir).withColumns({c: F.expr(e) for c, e in planted.items()}))
 
 
 @query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
@@ -499,7 +501,7 @@ def json_secret_findings(spark, sf_dir):
     return rows.select("doc_id", F.explode(payloads.json_findings("payload", F.array(F.lit("eos_token")))).alias("f")).select("doc_id", "f.path", "f.kind")
 
 
-@query(r"""SELECT doc_id, concat('{"description":"find in ', source, '","name":"lookup","parameters":[{"description":"a \u0026 b","name":"lang","type":"string"},{"name":"n"}]}') AS context FROM documents""")
+@query(r"""SELECT doc_id, concat('{"description":"find in ', source, '","name":"lookup","parameters":[{"description":"a \u0026 b","name":"lang","type":"string"},{"description":"","name":"n","type":"unspecified"}]}') AS context FROM documents""")
 def semantic_context(spark, sf_dir):
     tools = """concat('[{"name":"lookup","description":"find in ', source, '","parameters":{"n":{},"lang":{"type":"string","description":"a & b","default":1}}},{"name":"other"}]') AS tools"""
     return spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", tools).select("doc_id", payloads.semantic_context("tools", F.lit("lookup")).alias("context"))

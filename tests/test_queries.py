@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 from tallyforge.operators import scoring
-from tallyforge.plans.queries import ORACLES, QUERIES
+from tallyforge.plans.catalog import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
