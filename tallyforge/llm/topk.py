@@ -1,4 +1,5 @@
-"""Exact BM25 top-k search: inverted indexes with batched filtering of blocks by their maxima (not WAND: no cursors skip), run per shard and merged with global statistics.
+"""Exact BM25 top-k search: inverted indexes with dynamic pruning of blocks by their maxima, run per shard and merged exactly with
+global statistics. Block-max WAND's test is applied to each query and block in turn, not to cursors that move over postings.
 
 Terms are words as in text.py; a query's weights are its term counts. Queries are sent in blocks of bounded size. For each
 block one pass counts the document frequencies of its terms over all documents; a second pass turns every run of documents
@@ -7,9 +8,9 @@ into a shard with an inverted index of these terms, weighted with the global sta
 * documents are laid out by their main frequent word and length, and blocks of them keep the largest weight of each term;
 * the rare terms of a query are summed over their postings; full scores of the documents that this puts first, and what the
   task has found before, give a lower bound of the k-th score;
-* a block is skipped if its largest sum and its block maxima of the frequent terms can't reach that bound;
-* in the blocks left the frequent terms are added with one matrix product for a batch of like queries, and documents that
-  reach the bound (`pivots`) are scored in full.
+* a query skips a block if the block's largest sum and its maxima of the frequent terms can't reach that bound;
+* in a block that is left to some queries of a batch, the frequent terms are added for these with one matrix product, and
+  documents that reach the bound (`pivots`) are scored in full.
 
 Full scores add a query's terms in one order, so equal documents have equal scores everywhere; ties go to the lesser id.
 """
@@ -125,6 +126,7 @@ class Shard:
         self.dense[self.doc[own >= 0], own[own >= 0]] = self.weight[own >= 0]
         self.block_most = self.dense.reshape(blocks, BLOCK, FREQUENT).max(axis=1)
         self.slot = np.full(v, -1, np.int32)
+        self.asked = self.skipped = 0  # pairs of a query and a block
 
     def _rare(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Sums of the terms that aren't columns, by document."""
@@ -169,11 +171,12 @@ class Shard:
         least -= SLACK * least
         bound = (self.block_most @ weights).T + partial.reshape(size, -1, BLOCK).max(axis=2)
         alive = bound >= least[:, None]
-        blocks = np.flatnonzero(alive.any(axis=0))
-        rows = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-        score = (self.dense[rows] @ weights).T if len(blocks) < len(self.block_most) else (self.dense @ weights).T
-        score = np.ascontiguousarray(score)
-        score += partial[:, rows]
+        self.asked, self.skipped = self.asked + alive.size, self.skipped + alive.size - int(alive.sum())
+        rows = np.arange(len(self.dense))
+        score = np.full((size, len(rows)), -1, np.float32)
+        for block in np.flatnonzero(alive.any(axis=0)):
+            live, own = np.flatnonzero(alive[:, block]), slice(block * BLOCK, (block + 1) * BLOCK)
+            score[live, own] = (self.dense[own] @ weights[:, live]).T + partial[live, own]
         for q, (terms, counts) in enumerate(batch):
             own = score[q]
             reach = np.partition(own, len(own) - k)[len(own) - k] if len(own) > k else 0.0

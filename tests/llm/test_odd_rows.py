@@ -228,3 +228,26 @@ def test_pipeline_stages_on_odd_rows(spark, odd, tmp_path):
             assert out.columns == odd.columns, name
             assert 0 < out.count() <= odd.count()
         assert stage(spark, odd.limit(0), str(tmp_path)).count() == 0
+
+
+def test_queries_skip_blocks_and_lose_nothing(monkeypatch):
+    monkeypatch.setattr(topk, "FREQUENT", 8)
+    rng = np.random.default_rng(2)
+    n, v = 3000, 40
+    topic = np.arange(n) // 300
+    term, doc, tf = [], [], []
+    for d in range(n):
+        for t in {int(topic[d]) * 4 + int(k) for k in rng.integers(0, 4, 3)} | {int(rng.integers(0, v))}:
+            term.append(t)
+            doc.append(d)
+            tf.append(float(rng.integers(1, 5)))
+    idf = np.linspace(0.2, 3, v)
+    shard = topk.Shard(np.arange(n), rng.integers(5, 60, n).astype(float), np.array(term, np.int32), np.array(doc), np.array(tf), idf, 30.0)
+    batch = [(np.array([4 * k, 4 * k + 1, 4 * k + 2], np.int32), np.array([1.0, 2.0, 1.0])) for k in range(10)]
+    found = [[] for _ in batch]
+    shard.search(batch, 10, found)
+    assert shard.skipped > 0.5 * shard.asked
+    for (terms, counts), best in zip(batch, found, strict=True):
+        score = np.array([shard.full(np.array([p]), terms, counts)[0] for p in range(n)])
+        want = sorted((-s, int(i)) for s, i in zip(score, shard.ids, strict=True) if s > 0)[:10]
+        assert best == want
