@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Batches of a budget that are summed in one task, about.
+BATCHES_A_RUN = 10_000
+
 
 def latest(records: DataFrame, key: str = "source_id", order: str = "ordinal") -> DataFrame:
     """The last record of each key, by aggregation: a key with most records is no single task's."""
@@ -13,15 +16,23 @@ def latest(records: DataFrame, key: str = "source_id", order: str = "ordinal") -
     return last.select(key, *[F.col(f"r.{c}").alias(c) for c in fields])
 
 
-def reusable(rows: DataFrame, journal: DataFrame) -> DataFrame:
+def reusable(rows: DataFrame, journal: DataFrame, judge=None) -> DataFrame:
     """rows (source_id, source_query_sha256, source_row_sha256, identity) with their latest outcome where all digests agree;
-    others are pending (null outcome)."""
+    others are pending (null outcome). judge(rows) gives the rows with `reason`: an outcome that isn't accepted now is pending."""
     digests = ["source_query_sha256", "source_row_sha256", "identity"]
     last = latest(journal).select("source_id", *[F.col(c).alias(f"j_{c}") for c in digests], F.col("outcome").alias("j_outcome"))
     same = F.col("j_outcome").isNotNull()
     for c in digests:
         same = same & F.equal_null(c, f"j_{c}")
-    return rows.join(last, "source_id", "left").withColumn("outcome", F.when(same, F.col("j_outcome"))).drop("j_outcome", *[f"j_{c}" for c in digests])
+    out = rows.join(last, "source_id", "left").withColumn("outcome", F.when(same, F.col("j_outcome"))).drop("j_outcome", *[f"j_{c}" for c in digests])
+    if judge is None:
+        return out
+    return judge(out).withColumn("outcome", F.when(F.col("reason").isNull(), F.col("outcome"))).drop("reason")
+
+
+def resumed(selected: DataFrame, progress: DataFrame) -> DataFrame:
+    """selected (ordinal, source_id) with the fields of each one's last progress record, in their order; null where there is none."""
+    return selected.join(latest(progress.withColumnRenamed("ordinal", "progress_ordinal"), "source_id", "progress_ordinal"), "source_id", "left").orderBy("ordinal")
 
 
 def replays(events: DataFrame) -> DataFrame:
@@ -90,10 +101,17 @@ def priced(events: DataFrame, input_usd: str, cached_usd: str, output_usd: str,
 
 def admitted(batches: DataFrame, limit: str) -> DataFrame:
     """batches (batch, bound_usd, observed_usd) with spent_before and `admitted`: what was spent before and the batch's bound
-    stay within the limit. One running sum in the order of batches."""
-    spent = F.sum("observed_usd").over(Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, -1))
-    before = F.coalesce(spent, F.lit(0)).cast("decimal(38,9)")
-    return batches.withColumn("spent_before", before).withColumn("admitted", F.col("spent_before") + F.col("bound_usd") <= F.lit(limit).cast("decimal(38,9)"))
+    stay within the limit. The running sum in the order of batches (whole numbers) goes by runs of them, so that no task holds
+    them all."""
+    low, high, n = batches.agg(F.min("batch"), F.max("batch"), F.count(F.lit(1))).first()
+    width = max(1, ((high or 0) - (low or 0) + 1) * BATCHES_A_RUN // max(1, n))
+    rows = batches.withColumn("run", F.floor((F.col("batch") - F.lit(low or 0)) / F.lit(width)))
+    runs = rows.groupBy("run").agg(F.sum("observed_usd").alias("run_usd"))
+    ahead = runs.select("run", F.coalesce(F.sum("run_usd").over(Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead_usd"))
+    own = F.sum("observed_usd").over(Window.partitionBy("run").orderBy("batch").rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("own_usd", F.coalesce(own, F.lit(0))).join(ahead, "run")
+    before = (F.col("ahead_usd") + F.col("own_usd")).cast("decimal(38,9)")
+    return rows.withColumn("spent_before", before).drop("run", "ahead_usd", "own_usd").withColumn("admitted", F.col("spent_before") + F.col("bound_usd") <= F.lit(limit).cast("decimal(38,9)"))
 
 
 def outcomes(records: DataFrame, reasons: list[str]) -> DataFrame:

@@ -16,6 +16,7 @@ REASONS = [
     "invalid_answer_shape", "multi_call_answer", "duplicate_query", "missing_source_example", "duplicate_source_example", "pair_tools_mismatch", "pair_answers_mismatch", "cross_split_duplicate",
 ]
 SPLITS = ["train", "validation", "test"]
+SMALL = 64 << 20
 _ASCII_SPACE = r"[\t-\r\x1c-\x1f ]+"
 
 
@@ -31,9 +32,11 @@ def normalized(text: Column) -> Column:
 
 
 def spread(rows: DataFrame) -> DataFrame:
-    """rows over all cores, where their source has fewer partitions; large sources stay as they are."""
+    """rows over all cores, where the optimiser takes them for less than SMALL bytes a core, as a small file is one task's;
+    larger sources stay as they are. Nothing is run for it."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return rows.repartition(cores) if size < SMALL * cores else rows
 
 
 def coarse(rows: DataFrame, least: int, most: int) -> DataFrame:
@@ -172,6 +175,22 @@ def pair_result(raw: DataFrame, roots: DataFrame, least: int, most: int) -> Data
     return kept.select("ordinal", "example_id", "source_example_id", "query_sha256", "split", "reason").unionByName(gone.select("ordinal", "example_id", "source_example_id", "query_sha256", "split", "reason"))
 
 
+def all_examples(*frames: DataFrame) -> DataFrame:
+    """The rows of several splits or languages, by the columns that the first has."""
+    out = frames[0]
+    for more in frames[1:]:
+        out = out.unionByName(more.select(out.columns))
+    return out
+
+
+def placed(examples: DataFrame, languages: list[str]) -> DataFrame:
+    """examples with language_rank (in configuration order, from 0) and `place` within their language: roots and their
+    translations in the order of the root's id, then of the ordinal."""
+    rank = F.array_position(F.array(*[F.lit(x) for x in languages]), F.col("language")).cast("int") - 1
+    order = Window.partitionBy("language").orderBy(F.coalesce("source_example_id", "example_id"), "ordinal")
+    return examples.withColumns({"language_rank": rank, "place": F.row_number().over(order)})
+
+
 def leaks(examples: DataFrame) -> DataFrame:
     """Violations over the examples of all languages: ids used twice, digests in two splits, pairs outside their root's split."""
     twice = examples.groupBy("example_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.lit("duplicate_id").alias("violation"), F.col("example_id").alias("key"))

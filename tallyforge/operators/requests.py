@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.errors import InputError
+from tallyforge.functions.calls import canonical
+from tallyforge.functions.spans import mask_spans
+
 
 def prompt(query: Column, spans: Column, target: str, feedback: Column | None = None) -> Column:
     """What a translator is told: the target, the spans to keep, why the last try was turned down, and the request."""
@@ -17,6 +23,35 @@ def request_sha256(model: Column, text: Column) -> Column:
     return F.sha2(F.concat_ws("\n", model, text), 256)
 
 
+def seq2seq_input(query: Column, code: str) -> Column:
+    """A seq2seq translator's input: the target's tag and the raw query; spans are only audited afterwards."""
+    return F.concat(F.lit(f"<2{code}> "), query)
+
+
+def conversation(query: Column, spans: Column, code: str, context: Column | None = None, feedback: Column | None = None) -> Column:
+    """Messages of a chat translator, with the spans masked in the query and in the feedback: a plain translator gets the text
+    with its languages; with a tool's context an instruction and a payload of untrusted data. A missing context is null."""
+    said = lambda role, c: F.struct(F.lit(role).alias("role"), c.alias("content"))
+    masked = mask_spans(query, spans)
+    if context is None:
+        plain = F.to_json(F.struct(F.lit("en").alias("source_lang_code"), F.lit(code).alias("target_lang_code"), masked.alias("text"), F.lit("text").alias("type")))
+        return F.array(said("user", plain))
+    marks = F.array_join(F.transform(spans, lambda s, i: F.format_string("__KEEP_%04d__", i)), ", ")
+    told = F.coalesce(F.concat(F.lit(" Last time: "), mask_spans(feedback, spans)), F.lit("")) if feedback is not None else F.lit("")
+    system = F.concat(F.lit(f"Translate the source text into {code}. Keep: "), marks, F.lit("."), told)
+    payload = F.concat(F.lit('{"semantic_context":'), context, F.lit(',"source_text":'), F.to_json(F.array(masked)).substr(F.lit(2), F.length(F.to_json(F.array(masked))) - 2), F.lit("}"))
+    return F.when(context.isNotNull(), F.array(said("system", system), said("user", payload)))
+
+
+def contract_sha256(model: str, interface: str, code: str, budget: int) -> str:
+    """Identity of what a model family is asked: its interface, target, template and token budget."""
+    templates = {"seq2seq": f"<2{code}> {{query}}", "plain": "text with languages", "instruction": "system and payload"}
+    if interface not in templates:
+        raise InputError(f"unknown interface {interface}", f"One of {', '.join(sorted(templates))}.")
+    text = canonical({"model": model, "interface": interface, "template": templates[interface], "target": code, "max_new_tokens": budget, "placeholders": "__KEEP_0000__" if interface != "seq2seq" else None})
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
 def within_context(rows: DataFrame, tokens: str, output: int, limit: int) -> DataFrame:
     """rows with `state`: generate, or not_generated where the prompt and the output don't fit; every row keeps its place."""
     return rows.withColumn("state", F.when(F.col(tokens) + output <= limit, "generate").otherwise("not_generated"))
@@ -36,7 +71,7 @@ def classified(responses: DataFrame) -> DataFrame:
 def retried(rows: DataFrame, translate, judge, most: int = 3) -> tuple[DataFrame, DataFrame]:
     """(accepted, dropped) after at most `most` rounds. translate(rows with feedback) adds output; judge adds reason, null for
     accepted. Each round only takes the rows that the one before turned down. Rounds are checkpointed where the session names a
-    folder for it (so a translator is never asked again), else persisted; either goes with its DataFrame."""
+    folder for it (so a translator is never asked again), else persisted until the session's clearCache()."""
     pending, accepted = rows.withColumn("feedback", F.lit(None).cast("string")), None
     durable = rows.sparkSession.sparkContext.getCheckpointDir() is not None
     for attempt in range(1, most + 1):

@@ -134,6 +134,14 @@ def exact_bootstrap(components: list[tuple[list[int], list[int]]], seed: int, re
     return [list(m) for m in zip(*out, strict=True)]
 
 
+def verified_bootstrap(components: list[tuple[list[int], list[int]]], seed: int, reported: dict[str, list[float]], replicates: int = 2000, tolerance: float = 1e-12) -> list[str]:
+    """Metrics whose reported intervals the same draws don't give again."""
+    import numpy as np
+
+    again = dict(zip(METRICS, exact_bootstrap(components, seed, replicates), strict=True))
+    return [m for m in METRICS if not np.allclose(np.quantile(again[m], [0.025, 0.975]), reported.get(m, [np.nan, np.nan]), rtol=0, atol=tolerance)]
+
+
 def stable_seed(base: int, name: str) -> int:
     import hashlib
 

@@ -109,7 +109,7 @@ def pair_drop_counts(spark, sf_dir):
 
 def _examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["ordinal", "example_id", "language", "source_example_id", "split", "query_sha256"]
-    return fx.view(spark, sf_dir, fx.ROOTS).select(columns).unionByName(_paired(spark, sf_dir).select(columns))
+    return prepare.all_examples(fx.view(spark, sf_dir, fx.ROOTS).select(columns), _paired(spark, sf_dir))
 
 
 EXAMPLES = f"{PAIRED}, ex AS (SELECT ordinal, example_id, language, source_example_id, split, query_sha256 FROM roots UNION ALL SELECT ordinal, example_id, language, source_example_id, root_split, query_sha256 FROM done)"
@@ -122,15 +122,14 @@ def split_leaks(spark, sf_dir):
     return prepare.leaks(_examples(spark, sf_dir))
 
 
-@query("""SELECT l AS language, s AS split FROM (VALUES ('en'), ('fr'), ('he')) a(l), (VALUES ('train'), ('validation'), ('test')) b(s) WHERE l = 'he'""")
+@query(f"WITH {EXAMPLES} SELECT l AS language, s AS split FROM (VALUES ('en'), ('fr'), ('he')) a(l), (VALUES ('train'), ('validation'), ('test')) b(s) WHERE NOT EXISTS (SELECT 1 FROM ex WHERE language = l AND split = s)")
 def uncovered_cells(spark, sf_dir):
     return prepare.uncovered(_examples(spark, sf_dir).where("split is not null"), spark.createDataFrame([("en",), ("fr",), ("he",)], "language string"))
 
 
 @query(f"WITH {EXAMPLES} SELECT example_id, CAST(CASE language WHEN 'en' THEN 0 ELSE 1 END AS INT) AS language_rank, row_number() OVER (PARTITION BY language ORDER BY coalesce(source_example_id, example_id), ordinal) AS place FROM ex")
 def canonical_order(spark, sf_dir):
-    rows = _examples(spark, sf_dir).withColumn("language_rank", F.when(F.col("language") == "en", 0).otherwise(1))
-    return rows.selectExpr("example_id", "language_rank", "row_number() over (partition by language order by coalesce(source_example_id, example_id), ordinal) AS place")
+    return prepare.placed(_examples(spark, sf_dir), ["en", "fr"]).select("example_id", "language_rank", "place")
 
 
 @query("SELECT concat('documents:', CAST(doc_id AS VARCHAR)) AS source_id, text AS query FROM documents ORDER BY sha256(concat('7:documents:', CAST(doc_id AS VARCHAR))), 1 LIMIT 200")
@@ -437,10 +436,12 @@ def secret_lines(spark, sf_dir):
     return secrets.line_findings(fx.view(spark, sf_dir, f"SELECT doc_id, {SECRET} AS text FROM @documents"), "doc_id")
 
 
-@query("SELECT c AS key, c IN ('api_key', 'user_token', 'SECRET', 'password_hash') AS sensitive FROM (VALUES ('api_key'), ('user_token'), ('tokens'), ('SECRET'), ('password_hash'), ('monkey')) v(c)")
+KEYS = "SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN concat(lang, '_token') WHEN 1 THEN 'eos_token' WHEN 2 THEN concat('API_KEY_', source) WHEN 3 THEN concat(source, 'token') WHEN 4 THEN 'password' WHEN 5 THEN 'total_tokens' WHEN 6 THEN concat('Secret_', lang) ELSE source END AS key FROM @documents"
+
+
+@query(f"SELECT doc_id, regexp_matches(key, '(?i)(^|_)(token|secret|password|api_key|apikey)(_|$)') AND key <> 'eos_token' AS sensitive FROM ({fx.plain(KEYS)})")
 def sensitive_keys(spark, sf_dir):
-    rows = spark.createDataFrame([(k,) for k in ("api_key", "user_token", "tokens", "SECRET", "password_hash", "monkey")], "key string")
-    return rows.select("key", secrets.is_sensitive_key(F.col("key")).alias("sensitive"))
+    return fx.view(spark, sf_dir, KEYS).select("doc_id", secrets.is_sensitive_key(F.col("key")).alias("sensitive"))
 
 
 @query("SELECT doc_id, concat('\"', lang, ' ', CAST(n_chars AS VARCHAR), '\"|', source) AS spans, concat('find __KEEP_0000__ in __KEEP_0001__ ', CAST(doc_id AS VARCHAR), 'x') AS masked FROM documents")
@@ -468,22 +469,29 @@ def last_row_memory(spark, sf_dir):
 
 
 @query("""WITH h AS (SELECT l_orderkey AS run, (l_linenumber * 1000000 + l_partkey) * 10000 + l_suppkey AS step, CAST(l_quantity AS BIGINT) AS tokens_seen FROM lineitem), w AS (SELECT *, max(tokens_seen) OVER (PARTITION BY run ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM h WHERE tokens_seen > 0)
-  SELECT run, max(tokens_seen) AS tokens_seen, count(*) FILTER (tokens_seen < before) AS falls FROM w GROUP BY run""")
+, p AS (SELECT l_orderkey AS run, arg_max(CAST(l_tax * 100 AS BIGINT), (l_linenumber * 1000000 + l_partkey) * 10000 + l_suppkey) AS peak_memory, count(DISTINCT CAST(l_tax * 100 AS BIGINT)) AS peaks FROM lineitem GROUP BY l_orderkey)
+  SELECT run, max(tokens_seen) AS tokens_seen, count(*) FILTER (tokens_seen < before) AS falls, any_value(peak_memory) AS peak_memory, any_value(peaks) AS peaks FROM w JOIN p USING (run) GROUP BY run""")
 def training_summary(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr("l_orderkey AS run", "(l_linenumber * 1000000 + l_partkey) * 10000 + l_suppkey AS step", "cast(l_quantity as bigint) AS tokens_seen", "cast(l_tax * 100 as bigint) AS peak_memory")
-    return evidence.training_summary(rows, "run", "step").select("run", "tokens_seen", "falls").where("tokens_seen is not null")
+    return evidence.training_summary(rows, "run", "step").where("tokens_seen is not null")
 
 
-@query("SELECT c_mktsegment AS slice, count(*) AS examples FROM customer GROUP BY GROUPING SETS ((c_mktsegment), ())")
+@query("SELECT c_mktsegment AS slice, count(*) AS examples, CAST(sum(c_custkey) AS BIGINT) AS elapsed, sum(c_custkey) / count(*) AS each FROM customer GROUP BY GROUPING SETS ((c_mktsegment), ())")
 def telemetry_slices(spark, sf_dir):
-    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr("c_mktsegment AS slice", "c_acctbal AS elapsed")
-    return evidence.telemetry(rows, "slice").select("slice", "examples")
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr("c_mktsegment AS slice", "cast(c_custkey as bigint) AS elapsed")
+    return evidence.telemetry(rows, "slice")
+
 
+@query("SELECT c_mktsegment AS slice, CASE WHEN count(*) FILTER (c_custkey % 50 = 0) > 0 THEN sum(c_custkey) * 4 / count(*) FILTER (c_custkey % 50 = 0) END AS gpu_seconds FROM customer GROUP BY c_mktsegment")
+def seconds_per_success(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").groupBy(F.col("c_mktsegment").alias("slice")).agg(F.sum(F.col("c_custkey").cast("bigint")).alias("t"), F.count_if(F.expr("c_custkey % 50 = 0")).alias("wins"))
+    return rows.select("slice", evidence.seconds_per_success(F.col("t"), F.lit(4), F.col("wins")).alias("gpu_seconds"))
 
-@query("SELECT l, CAST(g AS INT) AS gpus FROM (VALUES ('L40S', 1), ('H100:4', 4), ('A100:x', 1)) v(l, g)")
+
+@query("SELECT doc_id, CAST(CASE doc_id % 3 WHEN 0 THEN doc_id % 8 + 1 ELSE 1 END AS INT) AS gpus FROM documents")
 def gpu_labels(spark, sf_dir):
-    rows = spark.createDataFrame([("L40S",), ("H100:4",), ("A100:x",)], "l string")
-    return rows.select("l", evidence.gpu_count(F.col("l")).alias("gpus"))
+    rows = fx.view(spark, sf_dir, "SELECT doc_id, concat(source, CASE doc_id % 3 WHEN 0 THEN concat(':', CAST(doc_id % 8 + 1 AS STRING)) WHEN 1 THEN ':x' ELSE '' END) AS label FROM @documents")
+    return rows.select("doc_id", evidence.gpu_count(F.col("label")).alias("gpus"))
 
 
 # Requests and payloads.
@@ -533,3 +541,56 @@ def comparison_report(spark, sf_dir):
 def comparison_intervals(spark, sf_dir):
     """Intervals of each language with the default of 2,000 resamples; comparison_report is the small case that SQL checks."""
     return reports.compared(_scored(spark, sf_dir), "base", "adapter", "en").intervals
+
+
+# Statistics of the pairs, and small contracts.
+
+
+@query()
+def mcnemar_test(spark, sf_dir):
+    """Discordant pairs with the exact two-sided p-value; a test compares it with the binomial tail."""
+    found = scoring.discordant(*_kinds(spark, sf_dir)).first()
+    return spark.createDataFrame([(found["reference_only"], found["candidate_only"], scoring.mcnemar_p(found["reference_only"], found["candidate_only"]))], "reference_only long, candidate_only long, p_value double")
+
+
+@query()
+def claim_gates(spark, sf_dir):
+    """Intervals of 2,000 resamples with the claims that they allow."""
+    return scoring.claims(scoring.bootstrap(*_kinds(spark, sf_dir), 2000, "s1"))
+
+
+@query("SELECT doc_id, concat('{\"a\":\"', lang, ' \\u0026 \\u003cb\\u003e\",\"n\":1.0}') AS safe FROM documents")
+def html_safe_json(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", """concat('{"n": 1.0, "a": "', lang, ' & <b>"}') AS payload""")
+    return rows.select("doc_id", calls.html_safe_json("payload").alias("safe"))
+
+
+@query("""SELECT doc_id, concat('<2fr> ', text) AS seq2seq, CASE WHEN doc_id % 2 = 0 THEN 2 END AS messages, concat('{"source_lang_code":"en","target_lang_code":"fr","text":"x __KEEP_0000__ y","type":"text"}') AS plain FROM documents""")
+def translator_inputs(spark, sf_dir):
+    """Inputs of three families of translators."""
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumns({"query": F.concat(F.lit("x "), "source", F.lit(" y")), "spans": F.array("source")})
+    context = F.when(F.col("doc_id") % 2 == 0, F.lit('{"name":"f"}'))
+    chat = requests.conversation(F.col("query"), F.col("spans"), "fr", context, F.concat(F.lit("lost "), "source"))
+    plain = requests.conversation(F.col("query"), F.col("spans"), "fr")
+    return rows.select("doc_id", requests.seq2seq_input(F.col("text"), "fr").alias("seq2seq"), F.when(chat.isNotNull(), F.size(chat)).alias("messages"), plain[0]["content"].alias("plain"))
+
+
+@query("""WITH j AS ({JOURNAL}), l AS (SELECT source_id, max(ordinal) AS last, arg_max(event, ordinal) AS event FROM j GROUP BY source_id), s AS (SELECT event_id AS ordinal, concat('s', CAST(event_id AS VARCHAR)) AS source_id FROM events WHERE event_id % 2 = 0)
+  SELECT s.ordinal, s.source_id, l.last AS progress_ordinal, l.event FROM s LEFT JOIN l USING (source_id)""")
+def resumed_rows(spark, sf_dir):
+    """Selected rows with the last record of their progress."""
+    rows = fx.view(spark, sf_dir, "SELECT event_id AS ordinal, concat('s', CAST(event_id AS STRING)) AS source_id FROM @events WHERE event_id % 2 = 0")
+    return journals.resumed(rows, fx.view(spark, sf_dir, fx.JOURNAL).select("ordinal", "source_id", "event")).select("ordinal", "source_id", "progress_ordinal", "event")
+
+
+@query("""SELECT source_id, CASE WHEN n % 4 = 0 AND n % 3 <> 0 THEN 'done' END AS outcome FROM (SELECT DISTINCT concat('s', CAST(user_id AS VARCHAR)) AS source_id, CAST(user_id AS BIGINT) AS n FROM events)""")
+def reusable_outcomes(spark, sf_dir):
+    """Outcomes of a journal that may be used again: same digests, and the audit still passes."""
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("cast(user_id as bigint) AS n").distinct().selectExpr("concat('s', n) AS source_id", "n", "'q' AS source_query_sha256", "'r' AS source_row_sha256", "'i' AS identity")
+    journal = rows.selectExpr("source_id", "n AS ordinal", "if(n % 4 = 0, 'q', 'other') AS source_query_sha256", "source_row_sha256", "identity", "'done' AS outcome")
+    return journals.reusable(rows, journal, lambda df: df.withColumn("reason", F.when(F.col("n") % 3 == 0, F.lit("untranslated_output")))).select("source_id", "outcome")
+
+
+@query("SELECT * FROM (VALUES ('fr', 'French', CAST(NULL AS VARCHAR), 0.0::DOUBLE, true), ('he', 'Hebrew', 'HEBREW', 0.5::DOUBLE, false)) t(code, name, script, least_share, decimal_comma)")
+def translation_targets(spark, sf_dir):
+    return spark.createDataFrame([(t.code, t.name, t.script, t.least_share, t.decimal_comma) for t in audits.TARGETS.values()], "code string, name string, script string, least_share double, decimal_comma boolean")

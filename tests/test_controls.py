@@ -338,3 +338,44 @@ def test_command_line(spark, tmp_path, capsys):
     assert json.loads(capsys.readouterr().out)["dropped"]["duplicate_query"] == 0 and spark.read.parquet(str(tmp_path / "data" / "prepared")).count() == 30
     assert cli.main(["format-build", "--input", str(tmp_path / "data" / "prepared"), "--out", str(tmp_path / "formatted"), "--system", "Call."]) == 0
     assert spark.read.parquet(str(tmp_path / "formatted")).where("full_text like '%call number%'").count() == 30
+
+
+def test_draws_are_verified():
+    import numpy as np
+
+    pairs = [([i % 2, 1] * 3 + [2 * (i % 2), 2] + [i % 2, 1], [1, 1] * 3 + [2, 2] + [1, 1]) for i in range(12)]
+    told = dict(zip(scoring.METRICS, [list(np.quantile(m, [0.025, 0.975])) for m in scoring.exact_bootstrap(pairs, 7, 50)], strict=True))
+    assert scoring.verified_bootstrap(pairs, 7, told, 50) == []
+    assert scoring.verified_bootstrap(pairs, 7, told | {"argument_f1": [0.0, 0.0]}, 50) == ["argument_f1"] and len(scoring.verified_bootstrap(pairs, 8, told, 50)) > 0
+    assert scoring.stable_seed(2**63 - 1, "x") == (scoring.stable_seed(0, "x") - 1) % 2**63
+
+
+def test_requests_of_families(spark):
+    from tallyforge.operators import requests
+
+    rows = spark.createDataFrame([("find abc now", ["abc"], '{"n":1}', 'lost "abc"')], "q string, s array<string>, c string, f string")
+    (messages,) = rows.select(requests.conversation(F.col("q"), F.col("s"), "he", F.col("c"), F.col("f")).alias("m")).first()
+    assert [m.role for m in messages] == ["system", "user"] and "abc" not in messages[0].content
+    assert json.loads(messages[1].content) == {"semantic_context": {"n": 1}, "source_text": "find __KEEP_0000__ now"}
+    digests = {requests.contract_sha256("m", i, "fr", 9) for i in ("seq2seq", "plain", "instruction")}
+    assert len(digests) == 3
+    with pytest.raises(InputError):
+        requests.contract_sha256("m", "x", "fr", 9)
+
+
+def test_budgets_go_by_runs(spark, monkeypatch):
+    from decimal import Decimal
+
+    rows = spark.createDataFrame([(i * 3, Decimal(i % 5), Decimal(2)) for i in range(40)], "batch long, observed_usd decimal(38,9), bound_usd decimal(38,9)")
+    whole = {r.batch: r.spent_before for r in journals.admitted(rows, "50").collect()}
+    monkeypatch.setattr(journals, "BATCHES_A_RUN", 4)
+    assert {r.batch: r.spent_before for r in journals.admitted(rows, "50").collect()} == whole == {i * 3: sum(Decimal(k % 5) for k in range(i)) for i in range(40)}
+
+
+def test_files_are_identified(spark, tmp_path):
+    import hashlib
+
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "x.bin").write_bytes(b"abc")
+    (row,) = records.file_identities(spark, (tmp_path).as_uri()).collect()
+    assert (row.path.rpartition("/")[2], row.bytes, row.sha256) == ("x.bin", 3, hashlib.sha256(b"abc").hexdigest())
