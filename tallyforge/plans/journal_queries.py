@@ -110,7 +110,7 @@ def telemetry_faults(spark, sf_dir):
 
 
 @query("""WITH r AS (SELECT l_orderkey AS run, CASE WHEN l_orderkey % 5 = 0 THEN 0 ELSE CAST(sum(l_quantity) AS BIGINT) END AS tokens_seen, CAST(sum(l_partkey) AS BIGINT) AS elapsed FROM lineitem GROUP BY l_orderkey)
-  SELECT run, CASE WHEN tokens_seen > 0 THEN tokens_seen / elapsed END AS tokens_per_second, elapsed * 4 / 3600 AS gpu_hours, CASE WHEN tokens_seen = 0 THEN 'tokens_seen_or_positive_elapsed_unavailable' END AS unavailable FROM r""")
+  SELECT run, CASE WHEN tokens_seen > 0 AND elapsed > 0 THEN tokens_seen / elapsed END AS tokens_per_second, elapsed * 4 / 3600 AS gpu_hours, CASE WHEN tokens_seen = 0 OR elapsed = 0 THEN 'tokens_seen_or_positive_elapsed_unavailable' END AS unavailable FROM r""")
 def run_throughput(spark, sf_dir):
     rows = fx.view(spark, sf_dir, "SELECT l_orderkey AS run, CASE WHEN l_orderkey % 5 = 0 THEN 0 ELSE CAST(sum(l_quantity) AS BIGINT) END AS tokens_seen, CAST(sum(l_partkey) AS BIGINT) AS elapsed, 4 AS gpus FROM @lineitem GROUP BY l_orderkey")
     return evidence.throughput(rows).select("run", "tokens_per_second", "gpu_hours", "unavailable")
