@@ -85,3 +85,11 @@ def test_registered_bootstraps_are_whole(spark, monkeypatch):
     assert {r.metric for r in QUERIES["paired_bootstrap_full"](spark, DATA).collect()} == set(scoring.METRICS)
     assert {"metric", "lower", "upper", "language"} == set(QUERIES["comparison_intervals"](spark, DATA).columns)
     assert asked == [2000, 2000]
+
+
+def test_translation_audit_by_length_of_the_text(spark, tmp_path):
+    texts = ["a", None, "b", "ein großes Maß " * 132 + "ß fünf " + "x" * 4, "é", "c", None, "d", "x" * 1994, "ß" * 1994 + " \u0131\ufb01", None, "\u0130stanbul"]
+    spark.createDataFrame([(i, t, "src1") for i, t in enumerate(texts)], "doc_id long, text string, source string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    assert sorted(map(tuple, QUERIES["translation_audit"](spark, str(tmp_path)).collect())) == sorted(con.execute(ORACLES["translation_audit"]).fetchall())
