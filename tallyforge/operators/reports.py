@@ -19,6 +19,7 @@ class Comparison:
 
 def compared(scored: DataFrame, reference: str, candidate: str, root: str, replicates: int = 2000, seed: str = "1") -> Comparison:
     """Reports over scored (model_kind, language, example_id, components). Both cohorts must have the same examples."""
+    scored = scored.select("model_kind", "language", "example_id", *[f"{m}_{p}" for m in scoring.METRICS for p in ("num", "den")]).persist()
     one, other = scored.where(scored["model_kind"] == reference), scored.where(scored["model_kind"] == candidate)
     ids = lambda df: df.select("example_id", "language")
     if not ids(one).exceptAll(ids(other)).isEmpty() or not ids(other).exceptAll(ids(one)).isEmpty():

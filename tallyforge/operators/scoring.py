@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from fractions import Fraction
 from math import comb
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions.calls import flatten_arguments, parse_call, score_call
+from tallyforge.functions.draws import codes
 
 METRICS = ["valid_json_rate", "function_name_accuracy", "argument_exact_match", "argument_f1", "full_call_exact_match"]
 
@@ -81,25 +85,75 @@ def mcnemar_p(first: int, second: int) -> float:
     return float(min(Fraction(1), Fraction(2 * tail, 2**n)))
 
 
+#: Pairs whose kinds are sent to all executors at most, four bytes each, and kinds; beyond either the draws are joined with the pairs.
+PAIRS_SENT, KINDS_SENT, DRAWN_AT_ONCE = 16_000_000, 100_000, 1 << 20
+
+
 def bootstrap(reference: DataFrame, candidate: DataFrame, replicates: int, seed: str, *keys: str) -> DataFrame:
     """keys, metric, lower, upper: percentile intervals (95 %) of candidate minus reference over resampled pairs.
 
     Replicate r draws for each place i of a cohort the pair at md5(seed, r, i) modulo its size, so draws need no random
-    state, are the same on any cluster, and are a join of counts with the pairs' components; no cohort is collected."""
-    both = lambda df, tag: df.select(*keys, "example_id", *[F.col(f"{m}_{p}").alias(f"{tag}_{m}_{p}") for m in METRICS for p in ("num", "den")])
-    pairs = both(reference, "r").join(both(candidate, "c"), [*keys, "example_id"])
+    state and are the same on any cluster. A pair counts by the kind of its components, of which there are few: executors
+    get the kind at each place and count the kinds of a replicate's draws, so that no draw is a row. Cohorts with more pairs
+    or kinds than can be sent join counts of draws with the pairs' components instead; the result is the same."""
+    both = lambda df, tag: df.select(*keys, "example_id", *[F.coalesce(F.col(f"{m}_{p}").cast("long"), F.lit(0)).alias(f"{tag}_{m}_{p}") for m in METRICS for p in ("num", "den")])
+    pairs = both(reference, "r").join(both(candidate, "c"), [*keys, "example_id"]).persist()
     pairs = _placed(pairs, keys).persist()
+    parts = [f"{t}_{m}_{p}" for t in "rc" for m in METRICS for p in ("num", "den")]
+    kinds = pairs.select(*parts).distinct().limit(KINDS_SENT + 1).toArrow()
+    few = kinds.num_rows <= KINDS_SENT and pairs.count() <= PAIRS_SENT
+    total = _counted(pairs, kinds, replicates, seed, keys, parts) if few else _joined(pairs, replicates, seed, keys, parts)
+    change = lambda m: value(F.col(f"c_{m}_num"), F.col(f"c_{m}_den")) - value(F.col(f"r_{m}_num"), F.col(f"r_{m}_den"))
+    rows = total.select(*keys, F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), change(m).alias("change")) for m in METRICS])).alias("m")).select(*keys, "m.*")
+    return rows.groupBy(*keys, "metric").agg(F.percentile("change", 0.025).alias("lower"), F.percentile("change", 0.975).alias("upper"))
+
+
+def _joined(pairs: DataFrame, replicates: int, seed: str, keys: tuple[str, ...], parts: list[str]) -> DataFrame:
+    """keys, replicate and the sums of parts over its draws, as a join of counts with the pairs; no cohort is collected."""
     size = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"))
     # each pair stands for one draw of every replicate: draws are as spread as the pairs, and none is made in one task
     draws = pairs.select(*keys, F.col("place").alias("i")).join(size, list(keys)) if keys else pairs.select(F.col("place").alias("i")).join(F.broadcast(size))
     draws = draws.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
     code = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), "replicate", "i").cast("binary")), 1, 8), 16, 10).cast("long")
     times = draws.withColumn("place", F.pmod(code, "size").cast("long")).groupBy(*keys, "replicate", "place").agg(F.count(F.lit(1)).alias("times"))
-    sums = [F.sum(F.col("times") * F.col(f"{t}_{m}_{p}")).alias(f"{t}_{m}_{p}") for t in "rc" for m in METRICS for p in ("num", "den")]
-    total = times.join(pairs, [*keys, "place"]).groupBy(*keys, "replicate").agg(*sums)
-    change = lambda m: value(F.col(f"c_{m}_num"), F.col(f"c_{m}_den")) - value(F.col(f"r_{m}_num"), F.col(f"r_{m}_den"))
-    rows = total.select(*keys, F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), change(m).alias("change")) for m in METRICS])).alias("m")).select(*keys, "m.*")
-    return rows.groupBy(*keys, "metric").agg(F.percentile("change", 0.025).alias("lower"), F.percentile("change", 0.975).alias("upper"))
+    return times.join(pairs, [*keys, "place"]).groupBy(*keys, "replicate").agg(*[F.sum(F.col("times") * F.col(c)).alias(c) for c in parts])
+
+
+def _counted(pairs: DataFrame, kinds: pa.Table, replicates: int, seed: str, keys: tuple[str, ...], parts: list[str]) -> DataFrame:
+    """As _joined(), for kinds (the distinct components) and pairs that can be sent."""
+    spark = pairs.sparkSession
+    named = spark.createDataFrame(kinds.append_column("kind", pa.array(np.arange(kinds.num_rows, dtype=np.int32)))).select(F.concat_ws(",", *parts).alias("components"), "kind")
+    groups = [list(r) for r in pairs.select(*keys).distinct().collect()] if keys else [[]]
+    groups = spark.createDataFrame([(*g, i) for i, g in enumerate(groups)], ", ".join([*[f"`{k}` {pairs.schema[k].dataType.simpleString()}" for k in keys], "cohort int"]))
+    told = pairs.select(*keys, "place", F.concat_ws(",", *parts).alias("components")).join(F.broadcast(named), "components")
+    told = told.join(F.broadcast(groups), list(keys)) if keys else told.withColumn("cohort", F.lit(0))
+    told = told.select("cohort", F.col("place").cast("int").alias("place"), "kind").toArrow()
+    cohort, place, kind = (told.column(c).to_numpy() for c in ("cohort", "place", "kind"))
+    at = {}
+    for g in np.unique(cohort).tolist():
+        own = cohort == g
+        at[g] = np.empty(int(own.sum()), np.int32)
+        at[g][place[own]] = kind[own]
+    sent = spark.sparkContext.broadcast((at, np.stack([kinds.column(c).to_numpy() for c in parts], axis=1) if len(kinds) else np.zeros((0, len(parts)), np.int64)))
+
+    def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, table = sent.value
+        most = max(map(len, at.values()), default=0)
+        for batch in batches:
+            rows = []
+            for r in batch.column(0).to_pylist():
+                counts = {g: np.zeros(len(table), np.int64) for g in at}
+                for first, code in codes(f"{seed}:{r}:", most, DRAWN_AT_ONCE):
+                    for g, own in at.items():
+                        if first < len(own):
+                            counts[g] += np.bincount(own[code[: len(own) - first] % np.uint32(len(own))], minlength=len(table))
+                rows += [(g, r, *(n @ table).tolist()) for g, n in counts.items()]
+            kinds_ = [pa.int32(), pa.int64(), *[pa.int64()] * len(parts)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], t) for i, t in enumerate(kinds_)], ["cohort", "replicate", *parts])
+
+    spread = spark.range(0, replicates, 1, max(1, min(replicates, 4 * spark.sparkContext.defaultParallelism)))
+    total = spread.mapInArrow(drawn, ", ".join(["cohort int", "replicate long", *[f"{c} long" for c in parts]]))
+    return total.join(F.broadcast(groups), "cohort").drop("cohort") if keys else total.drop("cohort")
 
 
 def _placed(pairs: DataFrame, keys: tuple[str, ...], rows_a_run: int = 50_000) -> DataFrame:

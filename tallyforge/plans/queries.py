@@ -236,8 +236,9 @@ SCORED = f"""g AS ({{GENERATIONS}}), s AS (SELECT *, CAST(kind NOT IN (6, 7, 8)
   CAST(2 * CASE WHEN kind IN (6, 7, 8) THEN 0 WHEN kind = 4 THEN 3 WHEN kind = 9 THEN 2 ELSE 4 END AS BIGINT) AS f1, CAST(4 + CASE WHEN kind IN (6, 7, 8) THEN 0 WHEN kind = 4 THEN 3 WHEN kind = 5 THEN 5 ELSE 4 END AS BIGINT) AS f1_den FROM g)"""
 
 
-def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.scored(prepare.spread(fx.view(spark, sf_dir, fx.GENERATIONS)))
+def _scored(spark: SparkSession, sf_dir: str, kind: str | None = None) -> DataFrame:
+    rows = fx.view(spark, sf_dir, fx.GENERATIONS)
+    return scoring.scored(prepare.spread(rows if kind is None else rows.where(F.col("model_kind") == kind)))
 
 
 @query(f"WITH g AS ({{GENERATIONS}}) SELECT ordinal, model_kind, {PARSED} AS status, CASE WHEN {PARSED} = 'ok' THEN CASE WHEN kind = 3 THEN 'other' ELSE 'lookup' END END AS name FROM g")
@@ -257,8 +258,7 @@ def score_components(spark, sf_dir):
 
 
 def _kinds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = _scored(spark, sf_dir)
-    return rows.where("model_kind = 'base'"), rows.where("model_kind = 'adapter'")
+    return _scored(spark, sf_dir, "base"), _scored(spark, sf_dir, "adapter")
 
 
 @query(f"WITH {SCORED} SELECT count(*) AS pairs, count(*) FILTER (a.whole = 1 AND b.whole = 0) AS reference_only, count(*) FILTER (a.whole = 0 AND b.whole = 1) AS candidate_only FROM s a JOIN s b USING (example_id) WHERE a.model_kind = 'base' AND b.model_kind = 'adapter'")

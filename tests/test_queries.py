@@ -93,3 +93,40 @@ def test_translation_audit_by_length_of_the_text(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
     assert sorted(map(tuple, QUERIES["translation_audit"](spark, str(tmp_path)).collect())) == sorted(con.execute(ORACLES["translation_audit"]).fetchall())
+
+
+@pytest.mark.parametrize("prefix", ["s1:0:", "s1:1999:", "é:", "", "x" * 52])
+def test_codes_are_md5(prefix):
+    import hashlib
+
+    import numpy as np
+
+    from tallyforge.functions.draws import codes
+
+    for n in (0, 1, 10, 101, 10_000, 20_011):
+        got = [x for _, own in codes(prefix, n, 5000) for x in own.tolist()]
+        assert got == [int(hashlib.md5(f"{prefix}{i}".encode()).hexdigest()[:8], 16) for i in range(n)]
+    assert [first for first, _ in codes(prefix, 30_000, 15_000)] == [0, 20_000]
+    assert all(own.dtype == np.uint32 for _, own in codes(prefix, 5))
+
+
+def _components(spark, n, salt):
+    names = [f"{m}_{p}" for m in scoring.METRICS for p in ("num", "den")]
+    columns = [f"cast(pmod(xxhash64(id, {salt}, {i}), {2 + i % 3}) + {i % 2} as long) AS {c}" for i, c in enumerate(names)]
+    return spark.range(n).selectExpr("concat('e', id) AS example_id", "if(id % 5 < 2, 'en', if(id = 3, null, 'fr')) AS language", *columns)
+
+
+def test_bootstrap_counts_as_the_join_does(spark, monkeypatch):
+    one, other = _components(spark, 300, 1), _components(spark, 290, 2)
+    rows = lambda *keys: sorted(map(tuple, scoring.bootstrap(one, other, 50, "s", *keys).collect()))
+    counted = rows(), rows("language")
+    monkeypatch.setattr(scoring, "PAIRS_SENT", 0)
+    assert counted == (rows(), rows("language")) and len(counted[0]) == 5 and len(counted[1]) == 10
+
+
+def test_draws_are_no_rows(spark):
+    import time
+
+    began = time.time()
+    assert scoring.bootstrap(_components(spark, 30_000, 1).select("*"), _components(spark, 30_000, 2), 2000, "s").count() == 5
+    assert time.time() - began < 60
