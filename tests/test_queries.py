@@ -95,6 +95,18 @@ def test_translation_audit_by_length_of_the_text(spark, tmp_path):
     assert sorted(map(tuple, QUERIES["translation_audit"](spark, str(tmp_path)).collect())) == sorted(con.execute(ORACLES["translation_audit"]).fetchall())
 
 
+def test_mcnemar_of_many_pairs():
+    from fractions import Fraction
+
+    for first, second in ((700, 801), (1200, 1200), (0, 1500), (2000, 1000), (20_000, 20_400)):
+        n, term, tail = first + second, 1, 1
+        for i in range(min(first, second)):
+            term = term * (n - i) // (i + 1)
+            tail += term
+        assert scoring.mcnemar_p(first, second) == float(min(Fraction(1), Fraction(2 * tail, 2**n)))
+    assert scoring.mcnemar_p(250_000, 251_000) == pytest.approx(0.158, abs=0.001)
+
+
 @pytest.mark.parametrize("prefix", ["s1:0:", "s1:1999:", "é:", "", "x" * 52])
 def test_codes_are_md5(prefix):
     import hashlib
