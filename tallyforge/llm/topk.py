@@ -6,11 +6,13 @@ block one pass counts the document frequencies of its terms over all documents;
 into a shard with an inverted index of these terms, weighted with the global statistics. In a shard:
 
 * documents are laid out by their main frequent word and length, and blocks of them keep the largest weight of each term;
-* the rare terms of a query are summed over their postings; full scores of the documents that this puts first, and what the
-  task has found before, give a lower bound of the k-th score;
+* the rare terms of a batch of queries are summed over their postings; the scores of the documents that this puts first, and
+  what the task has found before, give a lower bound of the k-th score;
 * a query skips a block if the block's largest sum and its maxima of the frequent terms can't reach that bound;
 * in a block that is left to some queries of a batch, the frequent terms are added for these with one matrix product, and
-  documents that reach the bound (`pivots`) are scored in full.
+  documents that reach the bound (pivots) are scored in full.
+
+All but the last step takes a whole batch at a time, so that what is spent grows with postings, not with calls.
 
 Full scores add a query's terms in one order, so equal documents have equal scores everywhere; ties go to the lesser id.
 """
@@ -18,6 +20,7 @@ Full scores add a query's terms in one order, so equal documents have equal scor
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -29,20 +32,33 @@ from .workers import tidy
 
 K1, B = 1.2, 0.75
 #: Queries sent at a time; documents and distinct words of a shard at most; documents in a block of an index.
-QUERIES_A_BLOCK, BYTES_A_BLOCK, DOCS_A_SHARD, WORDS_A_SHARD, BLOCK = 4096, 64_000_000, 16_384, 8_000_000, 64
-#: Frequent terms of a shard, kept as columns; queries in a batch; relative error that single precision may have.
-FREQUENT, BATCH, SLACK = 512, 128, 1e-4
+QUERIES_A_BLOCK, BYTES_A_BLOCK, DOCS_A_SHARD, WORDS_A_SHARD, BLOCK = 16_384, 64_000_000, 16_384, 8_000_000, 64
+#: Frequent terms of a group of like documents, kept as columns; groups of a shard, and documents of one at least, about.
+FREQUENT, GROUPS, DOCS_A_GROUP = 512, 8, 1_000
+#: Queries in a batch; blocks in a matrix product; postings summed at a time; relative error that single precision may have.
+BATCH, TILE, POSTINGS, SLACK = 128, 8, 250_000, 1e-4
 
 
-def counted_terms(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
-    """Row, sorted distinct word hashes, their counts, and words of each document."""
+def counted_slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of runs of documents: the first row, and of its documents in turn the sorted distinct word hashes, their counts, where
+    each document's begin (one more entry than documents), and the words of each document."""
     for part in slices(column):
         starts, ends, doc = words(part.data, part.at)
         h = hashes(part.data, starts, ends)
         edge = np.searchsorted(doc, np.arange(part.last - part.first + 1))
-        for i in range(part.last - part.first):
-            own, n = np.unique(h[edge[i] : edge[i + 1]], return_counts=True)
-            yield part.first + i, own, n, int(edge[i + 1] - edge[i])
+        for low, high in pairwise(edge.tolist()):
+            h[low:high].sort()
+        new = np.append(True, h[1:] != h[:-1]) if len(h) else np.zeros(0, bool)
+        new[edge[:-1][np.diff(edge) > 0]] = True
+        at = np.flatnonzero(new)
+        yield part.first, h[at], np.diff(np.append(at, len(h))), np.searchsorted(at, edge), np.diff(edge)
+
+
+def counted_terms(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
+    """Row, sorted distinct word hashes, their counts, and words of each document."""
+    for first, h, n, edge, lengths in counted_slices(column):
+        for i, (low, high) in enumerate(pairwise(edge.tolist())):
+            yield first + i, h[low:high], n[low:high], int(lengths[i])
 
 
 class Queries:
@@ -50,17 +66,25 @@ class Queries:
 
     def __init__(self, ids: list[int], texts: list[str]) -> None:
         self.ids = ids
-        found = list(counted_terms(pa.array(texts, pa.string())))
-        self.vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *[h for _, h, _, _ in found]]))
-        self.terms = [np.searchsorted(self.vocabulary, h).astype(np.int32) for _, h, _, _ in found]
-        self.counts = [n.astype(np.float64) for _, _, n, _ in found]
+        found = [(h, n.astype(np.uint32), edge) for _, h, n, edge, _ in counted_slices(pa.array(texts, pa.large_string()))]
+        self.vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *[h for h, _, _ in found]]))
+        self._terms = np.concatenate([np.zeros(0, np.int32), *[np.searchsorted(self.vocabulary, h).astype(np.int32) for h, _, _ in found]])
+        self._counts = np.concatenate([np.zeros(0, np.uint32), *[n for _, n, _ in found]])
+        self._edge = np.append(0, np.cumsum(np.concatenate([np.zeros(0, np.int64), *[np.diff(edge) for _, _, edge in found]])))
+
+    def __getitem__(self, q: int) -> tuple[np.ndarray, np.ndarray]:
+        """The terms and counts of a query."""
+        own = slice(self._edge[q], self._edge[q + 1])
+        return self._terms[own], self._counts[own]
 
     def by_main_term(self, idf: np.ndarray) -> list[int]:
         """The queries in the order of their main term among the most frequent ones, so that neighbours are alike."""
         rank = np.full(len(idf), -1)
         rank[np.argsort(idf, kind="stable")[:64]] = np.arange(min(64, len(idf)))
-        main = [max(((n, r) for n, r in zip(c, rank[t], strict=True) if r >= 0), default=(0, -1))[1] for t, c in zip(self.terms, self.counts, strict=True)]
-        return sorted(range(len(self.ids)), key=lambda q: (main[q], len(self.terms[q]), q))
+        own = rank[self._terms] >= 0
+        most = [max(zip(c, r, strict=True), default=(0, -1)) for c, r in ((self[q][1][own[low:high]].tolist(), rank[self[q][0][own[low:high]]].tolist()) for q, (low, high) in enumerate(pairwise(self._edge.tolist())))]
+        many = np.diff(self._edge)
+        return sorted(range(len(self.ids)), key=lambda q: (most[q][1], many[q], q))
 
     def known(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which hashes are in the vocabulary, and where."""
@@ -75,17 +99,11 @@ def _frequencies(sent):
         queries: Queries = sent.value
         df, docs, size = np.zeros(len(queries.vocabulary), np.int64), 0, 0
         for batch in batches:
-            held = []
-            for _, h, _, n in counted_terms(batch.column(0)):
-                docs, size = docs + 1, size + n
-                held.append(h)
-                if len(held) == 500:
-                    has, at = queries.known(np.concatenate(held))
+            for _, h, _, _, lengths in counted_slices(batch.column(0)):
+                docs, size = docs + len(lengths), size + int(lengths.sum())
+                if len(df):
+                    has, at = queries.known(h)
                     df += np.bincount(at[has], minlength=len(df))
-                    held = []
-            if held and len(df):
-                has, at = queries.known(np.concatenate(held))
-                df += np.bincount(at[has], minlength=len(df))
         cells = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(cells, (-1, -2))), pa.array(np.append(df[cells], (docs, size)))], ["cell", "n"])
 
@@ -111,10 +129,10 @@ class Shard:
         self.ids, doc = ids[order], place[doc]
         norm = K1 * (1 - B + B * lengths[order] / average)
         weight = idf[term] * tf * (K1 + 1) / (tf + norm[doc])
-        order = np.lexsort((term, doc))
+        order = np.argsort(doc * v + term)  # a term occurs once in a document
         self.own_term, self.own_weight, self.own = term[order], weight[order], np.searchsorted(doc[order], np.arange(n + 1))
-        order = np.lexsort((doc, term))
-        term, self.doc, self.weight = term[order], doc[order].astype(np.int32), weight[order]
+        order = np.argsort(term.astype(np.int64) * n + doc)
+        term, self.doc, self.weight = term[order], doc[order], weight[order]
         self.start = np.searchsorted(term, np.arange(v + 1))
         many = np.diff(self.start)
         dense = np.argsort(-many, kind="stable")[:FREQUENT]
@@ -125,67 +143,147 @@ class Shard:
         self.dense = np.zeros((blocks * BLOCK, FREQUENT), np.float32)
         self.dense[self.doc[own >= 0], own[own >= 0]] = self.weight[own >= 0]
         self.block_most = self.dense.reshape(blocks, BLOCK, FREQUENT).max(axis=1)
-        self.slot = np.full(v, -1, np.int32)
+        self.share = (many / n).astype(np.float32)
         self.asked = self.skipped = 0  # pairs of a query and a block
 
-    def _rare(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Sums of the terms that aren't columns, by document."""
-        low, high = self.start[terms], self.start[terms + 1]
-        use = (self.column[terms] < 0) & (high > low)
-        low, high = low[use], high[use]
-        if not len(low):
-            return np.zeros(len(self.dense), np.float32)
-        at = np.concatenate([self.doc[a:b] for a, b in zip(low, high, strict=True)])
-        weight = np.concatenate([self.weight[a:b] for a, b in zip(low, high, strict=True)])
-        weight *= np.repeat(counts[use], high - low)
-        return np.bincount(at, weight, len(self.dense)).astype(np.float32)
+    def _rare(self, terms: np.ndarray, counts: np.ndarray, of: np.ndarray, size: int) -> np.ndarray:
+        """Sums of the terms that aren't columns, by query and document. of: the query of each term, in order."""
+        places = len(self.dense)
+        out = np.zeros((size, places), np.float32)
+        low = self.start[terms]
+        many = self.start[terms + 1] - low
+        use = np.flatnonzero((self.column[terms] < 0) & (many > 0))
+        low, many, counts, of = low[use], many[use], counts[use], of[use]
+        ahead = np.append(0, np.cumsum(many))
+        edge = np.searchsorted(of, np.arange(size + 1))
+        first = 0
+        while first < size:
+            last = max(first + 1, int(np.searchsorted(ahead[edge], ahead[edge[first]] + POSTINGS, "right")) - 1)
+            own = slice(edge[first], edge[last])
+            n = many[own]
+            at = np.arange(ahead[edge[last]] - ahead[edge[first]])
+            at += np.repeat(low[own] - (ahead[:-1][own] - ahead[edge[first]]), n)
+            place = self.doc[at]
+            place += np.repeat((of[own] - first) * places, n)
+            weight = self.weight[at]
+            weight *= np.repeat(counts[own].astype(np.float64), n)
+            out[first:last] = np.bincount(place, weight, (last - first) * places).reshape(-1, places)
+            first = last
+        return out
 
     def full(self, docs: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Scores of documents over all terms of a query."""
-        low, high = self.own[docs], self.own[docs + 1]
-        many = high - low
-        at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(low, many)
-        self.slot[terms] = np.arange(len(terms))
-        slot = self.slot[self.own_term[at]]
-        self.slot[terms] = -1
-        hit = slot >= 0
         each = np.zeros((len(docs), len(terms)))
-        each[np.repeat(np.arange(len(docs)), many)[hit], slot[hit]] = self.own_weight[at][hit]
+        for row, low, high in zip(each, self.own[docs].tolist(), self.own[docs + 1].tolist(), strict=True):
+            if high > low:
+                own = self.own_term[low:high]
+                at = np.minimum(np.searchsorted(own, terms), high - low - 1)
+                np.multiply(self.own_weight[low:high][at], own[at] == terms, out=row)
         return (each * counts).sum(axis=1)
 
     def search(self, batch: list[tuple[np.ndarray, np.ndarray]], k: int, found: list[list[tuple[float, int]]]) -> None:
         """Put the best k of each query's found, (-score, id), and this shard's documents that share a term into found."""
         n, size = len(self.ids), len(batch)
-        weights = np.zeros((FREQUENT, size), np.float32)
-        partial = np.empty((size, len(self.dense)), np.float32)
+        of = np.repeat(np.arange(size), [len(terms) for terms, _ in batch])
+        terms, counts = (np.concatenate([x[i] for x in batch]) for i in (0, 1))
+        column = self.column[terms]
+        weights = np.zeros((size, FREQUENT), np.float32)
+        weights[of[column >= 0], column[column >= 0]] = counts[column >= 0]
+        partial = self._rare(terms, counts, of, size)
+        most = partial.reshape(size, -1, BLOCK).max(axis=2)
         least = np.zeros(size)
-        for q, (terms, counts) in enumerate(batch):
-            column = self.column[terms]
-            weights[column[column >= 0], q] = counts[column >= 0]
-            partial[q] = self._rare(terms, counts)
-            if n >= k:
-                likely = np.argpartition(-partial[q, :n], k - 1)[:k]
-                least[q] = self.full(likely, terms, counts).min()
-            if len(found[q]) >= k:
-                least[q] = max(least[q], -found[q][k - 1][0])
-        least -= SLACK * least
-        bound = (self.block_most @ weights).T + partial.reshape(size, -1, BLOCK).max(axis=2)
-        alive = bound >= least[:, None]
+        if n >= k:
+            # the k first are in the k blocks with the largest maxima
+            blocks = np.argpartition(-most, min(k, most.shape[1]) - 1, axis=1)[:, :k]
+            inside = (blocks[:, :, None] * BLOCK + np.arange(BLOCK)).reshape(size, -1)
+            sums = np.where(inside < n, np.take_along_axis(partial, inside, 1), -1)
+            first = np.argpartition(-sums, k - 1, axis=1)[:, :k]
+            likely = np.take_along_axis(inside, first, 1)
+            scores = np.matmul(self.dense[likely], weights[:, :, None])[:, :, 0] + np.take_along_axis(sums, first, 1)
+            least = np.where((likely < n).all(axis=1), (1 - SLACK) * scores.min(axis=1), 0)
+        least = (1 - SLACK) * np.maximum(least, [-best[k - 1][0] if len(best) >= k else 0 for best in found])
+        alive = weights @ self.block_most.T + most >= least[:, None]
         self.asked, self.skipped = self.asked + alive.size, self.skipped + alive.size - int(alive.sum())
-        rows = np.arange(len(self.dense))
-        score = np.full((size, len(rows)), -1, np.float32)
-        for block in np.flatnonzero(alive.any(axis=0)):
-            live, own = np.flatnonzero(alive[:, block]), slice(block * BLOCK, (block + 1) * BLOCK)
-            score[live, own] = (self.dense[own] @ weights[:, live]).T + partial[live, own]
-        for q, (terms, counts) in enumerate(batch):
-            own = score[q]
-            reach = np.partition(own, len(own) - k)[len(own) - k] if len(own) > k else 0.0
-            pivots = rows[own >= max(least[q], reach - 2 * SLACK * abs(reach), 1e-9)]
-            pivots = pivots[pivots < n]
-            for low in range(0, len(pivots), 2048):
-                some = pivots[low : low + 2048]
-                found[q] = found[q] + [(-s, i) for s, i in zip(self.full(some, terms, counts).tolist(), self.ids[some].tolist(), strict=True) if s > 0]
-            found[q] = sorted(found[q])[:k]
+        least = np.maximum(least, 1e-9)
+        tiles: list[tuple[np.ndarray, int, np.ndarray]] = []
+        most[:] = 0
+        for block in range(0, alive.shape[1], TILE):
+            live = np.flatnonzero(alive[:, block : block + TILE].any(axis=1))
+            if len(live):
+                own = slice(block * BLOCK, (block + TILE) * BLOCK)
+                score = weights[live] @ self.dense[own].T
+                score += partial[live, own]
+                most[live, block : block + TILE] = score.reshape(len(live), -1, BLOCK).max(axis=2)
+                tiles.append((live, block * BLOCK, score))
+        if not tiles:
+            return
+        if most.shape[1] > k:  # so many blocks have a document each that reaches this
+            least = np.maximum(least, (1 - 2 * SLACK) * -np.partition(-most, k - 1, axis=1)[:, k - 1])
+        pivots: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for live, first, score in tiles:
+            q, row = np.divmod(np.flatnonzero(score >= least[live, None]), score.shape[1])
+            pivots.append((live[q], row + first, score[q, row]))
+        q, row, score = (np.concatenate([x[i] for x in pivots]) for i in range(3))
+        order = np.lexsort((-score, q))
+        q, row, score = q[order], row[order], score[order]
+        edge = np.searchsorted(q, np.arange(size + 1))
+        many = np.diff(edge) > k
+        reach = np.zeros(size)
+        reach[many] = score[edge[:-1][many] + k - 1]
+        keep = (score >= (1 - 2 * SLACK) * reach[q]) & (row < n)
+        q, row = q[keep], row[keep]
+        edge = np.searchsorted(q, np.arange(size + 1)).tolist()
+        for i, (terms, counts) in enumerate(batch):
+            for low in range(edge[i], edge[i + 1], 2048):
+                some = row[low : min(low + 2048, edge[i + 1])]
+                found[i] = found[i] + [(-s, j) for s, j in zip(self.full(some, terms, counts).tolist(), self.ids[some].tolist(), strict=True) if s > 0]
+            found[i] = sorted(found[i])[:k]
+
+
+def likenesses(term: np.ndarray, doc: np.ndarray, n: int, v: int) -> np.ndarray:
+    """A group of like documents for each of n, by which of the 64 most frequent terms they hold: a few steps of k-means from
+    documents that lie apart."""
+    often = np.argsort(-np.bincount(term, minlength=v), kind="stable")[:64]
+    place = np.full(v, -1)
+    place[often] = np.arange(len(often))
+    place = place[term]
+    held = np.zeros((n, 64), np.float32)
+    held[doc[place >= 0], place[place >= 0]] = 1
+    held /= np.maximum(1, np.sqrt(held.sum(axis=1, keepdims=True)))
+    many = min(GROUPS, n // DOCS_A_GROUP + 1)
+    centre = held.mean(axis=0, keepdims=True)
+    for _ in range(many - 1):
+        centre = np.append(centre, held[[(held @ centre.T).max(axis=1).argmin()]], axis=0)
+    for _ in range(6):
+        group = (held @ centre.T - (centre**2).sum(axis=1) / 2).argmax(axis=1)
+        for g in range(many):
+            if (group == g).any():
+                centre[g] = held[group == g].mean(axis=0)
+    return group
+
+
+class Groups:
+    """Documents as an index for each group of like ones, so that each has the frequent terms of its own as columns. Terms that
+    the documents hold have numbers of their own; all others share the last one, which has no postings."""
+
+    def __init__(self, ids: np.ndarray, lengths: np.ndarray, term: np.ndarray, doc: np.ndarray, tf: np.ndarray, idf: np.ndarray, average: float) -> None:
+        held = np.flatnonzero(np.bincount(term, minlength=len(idf)))
+        self.number = np.full(len(idf), len(held), np.int32)
+        self.number[held] = np.arange(len(held))
+        term, idf = self.number[term], np.append(idf[held], 0.0)
+        group = likenesses(term, doc, len(ids), len(idf))
+        self.shards = []
+        for g in np.unique(group):
+            docs, own = np.flatnonzero(group == g), np.flatnonzero(group[doc] == g)
+            place = np.cumsum(group == g) - 1
+            self.shards.append(Shard(ids[docs], lengths[docs], term[own], place[doc[own]], tf[own], idf, average))
+
+    def search(self, batch: list[tuple[np.ndarray, np.ndarray]], k: int, found: list[list[tuple[float, int]]]) -> None:
+        """As Shard.search, the group that shares most with the batch first: what it finds spares work in the others."""
+        batch = [(self.number[terms], counts) for terms, counts in batch]
+        terms, counts = np.concatenate([x[0] for x in batch]), np.concatenate([x[1] for x in batch]).astype(np.float32)
+        for shard in sorted(self.shards, key=lambda x: -float(x.share[terms] @ counts)):
+            shard.search(batch, k, found)
 
 
 def _searched(sent, statistics, k: int):
@@ -198,35 +296,40 @@ def _searched(sent, statistics, k: int):
         lengths: list[int] = []
         terms: list[np.ndarray] = []
         counts: list[np.ndarray] = []
+        sizes: list[int] = []
         held = 0
 
         def shard() -> None:
             nonlocal held
-            sizes = [len(t) for t in terms]
-            index = Shard(np.array(ids, np.int64), np.array(lengths, np.float64), np.concatenate(terms), np.repeat(np.arange(len(ids)), sizes), np.concatenate(counts).astype(np.float64), idf, average)
+            own_ids, own_lengths, term, doc, tf = np.array(ids, np.int64), np.array(lengths, np.float64), np.concatenate(terms), np.repeat(np.arange(len(ids)), sizes), np.concatenate(counts).astype(np.float64)
+            for x in (ids, lengths, terms, counts, sizes):
+                x.clear()
+            held = 0
+            index = Groups(own_ids, own_lengths, term, doc, tf, idf, average)
+            del term, doc, tf
             for low in range(0, len(like), BATCH):
                 some = like[low : low + BATCH]
                 own = [found[q] for q in some]
-                index.search([(queries.terms[q], queries.counts[q]) for q in some], k, own)
+                index.search([queries[q] for q in some], k, own)
                 for q, best in zip(some, own, strict=True):
                     found[q] = best
-            for x in (ids, lengths, terms, counts):
-                x.clear()
-            held = 0
 
         for batch in batches if len(idf) else ():
             names = batch.column(0).to_pylist()
-            for row, h, n, length in counted_terms(batch.column(1)):
-                if names[row] is None:
-                    continue
+            for first, h, n, edge, own in counted_slices(batch.column(1)):
                 has, at = queries.known(h)
-                ids.append(names[row])
-                lengths.append(length)
-                terms.append(at[has].astype(np.int32))
-                counts.append(n[has])
-                held += len(terms[-1])
-                if len(ids) >= DOCS_A_SHARD or held >= WORDS_A_SHARD:
-                    shard()
+                at, n, edge = at[has].astype(np.int32), n[has].astype(np.uint32), np.append(0, np.cumsum(has))[edge].tolist()
+                for i, (low, high) in enumerate(pairwise(edge)):
+                    if names[first + i] is None:
+                        continue
+                    ids.append(names[first + i])
+                    lengths.append(int(own[i]))
+                    terms.append(at[low:high])
+                    counts.append(n[low:high])
+                    sizes.append(high - low)
+                    held += high - low
+                    if len(ids) >= DOCS_A_SHARD or held >= WORDS_A_SHARD:
+                        shard()
         if ids:
             shard()
         rows = [(queries.ids[q], q, i, -s) for q, own in enumerate(found) for s, i in own]
