@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import saved
+from .store import dropped, saved
 
 #: Rows expected in a slice of one cell, even if all rows fall into that cell.
 ROWS_A_SLICE = 4_000
@@ -46,19 +46,37 @@ def with_curve(rows: DataFrame, dims: list[Column], bits: int = 4) -> DataFrame:
     return rows.withColumns(named).withColumn("curve", hilbert_index(list(named), bits)).drop(*named)
 
 
-#: Rows that the cuts of a text dimension are taken from, about, and letters of a value that count.
-SAMPLE, LETTERS = 10_000, 64
-
-
-def cuts(rows: DataFrame, columns: list[str], key: str, parts: int = 16) -> dict[str, list[str]]:
-    """For each column, values that cut its rows in the order of the values into `parts` of like size, from a bounded sample by
-    a hash of the key. They decide how well files are pruned, and nothing else."""
-    share = rows.count() // SAMPLE + 1
-    some = rows.where(F.pmod(F.xxhash64(F.col(key), F.lit("cuts")), F.lit(share)) == 0).select(*[F.left(F.col(c), F.lit(LETTERS)).alias(c) for c in columns]).limit(2 * SAMPLE).collect()
-    out = {}
-    for c in columns:
-        values = sorted(r[c] for r in some)
-        out[c] = [values[len(values) * i // parts] for i in range(1, parts)] if values else []
+#: Letters of a value of a text dimension that count.
+LETTERS = 64
+
+
+def cuts(rows: DataFrame, columns: list[str], key: str | None = None, parts: int = 16) -> dict[str, list[str]]:
+    """For each column, the values that cut all its rows in the order of the values into `parts` of like size: those at the places
+    rows * i // parts. key isn't used any more, as all rows are counted.
+
+    Distinct values are counted, dealt to partitions by ranges, and the partitions' sums tell which of them hold a cut; only the
+    cuts and these sums reach the driver."""
+    each = F.explode(F.array(*[F.struct(F.lit(j).alias("of"), F.coalesce(F.left(F.col(c), F.lit(LETTERS)), F.lit("")).alias("value")) for j, c in enumerate(columns)]))
+    counts = rows.select(each.alias("x")).groupBy("x.of", "x.value").agg(F.count(F.lit(1)).alias("n"))
+    values = saved(counts.repartitionByRange("of", "value").withColumn("part", F.spark_partition_id()), "values")
+    sums = values.groupBy("part").agg(F.sum("n")).orderBy("part").collect()
+    total = sum(n for _, n in sums) // len(columns)  # of each column, in turn
+    places = [total * j + total * i // parts for j in range(len(columns)) for i in range(1, parts)] if total else []
+    out, before = {c: [] for c in columns}, 0
+    within: list[tuple[int, int]] = []
+    for part, n in sums:
+        within += [(part, place - before) for place in places if before <= place < before + n]
+        before += n
+    window = Window.partitionBy("part").orderBy("of", "value")
+    held = values.where(F.col("part").isin(sorted({part for part, _ in within}))).withColumn("upto", F.sum("n").over(window))
+    hit = F.filter(
+        F.array(*[F.struct(F.lit(part).alias("part"), F.lit(place).cast("long").alias("place")) for part, place in within]),
+        lambda x: (x["part"] == F.col("part")) & (x["place"] < F.col("upto")) & (x["place"] >= F.col("upto") - F.col("n")),
+    )
+    found = held.select("of", "value", F.size(hit).alias("cuts")).where("cuts > 0").orderBy("of", "value").collect() if within else []
+    for j, value, n in found:
+        out[columns[j]] += [value] * n
+    dropped(values)
     return out
 
 
@@ -98,7 +116,7 @@ def hilbert_shards(docs: DataFrame, shards: int = 8) -> DataFrame:
         (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1).alias("size"),
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
     )
-    dims = text_dims(cuts(bare, ["lang", "source"], "doc_id"))
+    dims = text_dims(cuts(bare, ["lang", "source"]))
     rows, total = ranked(with_curve(bare, dims).drop("lang", "source"), "doc_id")
     shard = F.expr(f"(rank * {shards}) div {max(1, total)}")
     rows = rows.withColumn("shard", shard)
@@ -116,7 +134,7 @@ def write_sharded(docs: DataFrame, path: str, files: int) -> None:
     while set(own.values()) & set(docs.columns):
         own = {name: f"{value}_" for name, value in own.items()}
     laid = docs.withColumns({own["lang"]: F.lower(F.coalesce("lang", F.lit(""))), own["source"]: F.coalesce("source", F.lit("")), own["size"]: F.coalesce(F.octet_length("text"), F.lit(0)) + 1, own["tie"]: F.xxhash64("doc_id", F.monotonically_increasing_id())})
-    dims = text_dims(cuts(laid, [own["lang"], own["source"]], "doc_id"), own["size"])
+    dims = text_dims(cuts(laid, [own["lang"], own["source"]]), own["size"])
     kept = [F.col(f"`{c}`").alias(f"kept_{i}") for i, c in enumerate(docs.columns)]
     laid = with_curve(laid.select(*kept, *[F.col(c) for c in own.values() if c != own["curve"]]), dims)
     laid = laid.repartitionByRange(files, "curve", own["tie"]).sortWithinPartitions("curve", own["tie"])

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyforge.llm import topk
+from tallyforge.llm import hilbert, topk
 
 
 def test_one_pass_over_the_documents_for_many_queries(spark, monkeypatch):
@@ -46,3 +46,15 @@ def test_groups_find_what_full_scores_do(monkeypatch, postings):
         score = (weight[:, terms] * counts).sum(axis=1)
         want = sorted((-round(s, 9), i) for i, s in enumerate(score.tolist()) if s > 0)[:10]
         assert [(round(s, 9), i) for s, i in best] == want
+
+
+def test_cuts_are_those_of_all_rows(spark):
+    rows = spark.range(40_000).select(
+        F.format_string("s%06d", F.col("id") * 7919 % 40_000).alias("source"),
+        F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit("é")).otherwise(F.concat(F.lit("z"), F.col("id") % 100)).alias("lang"),
+    )
+    got = hilbert.cuts(rows, ["source", "lang"])
+    assert got["source"] == ["s%06d" % (40_000 * i // 16) for i in range(1, 16)]
+    plain = sorted("" if i % 3 == 0 else "é" if i % 3 == 1 else f"z{i % 100}" for i in range(40_000))
+    assert got["lang"] == [plain[40_000 * i // 16] for i in range(1, 16)]
+    assert hilbert.cuts(rows.limit(0), ["source", "lang"]) == {"source": [], "lang": []}
