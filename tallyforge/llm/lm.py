@@ -293,7 +293,7 @@ def forward(m: dict[str, np.ndarray], two: np.ndarray, x: np.ndarray, seen: np.n
     """Log odds (not normalised) of the next classes and what the backward pass needs. room: arrays to work in, for reuse."""
     n = len(x)
     room = room or roomy(n)
-    q, kv = m["q"][x[:, CONTEXT:]], m["kv"][x]
+    q, kv = m["q"].take(x[:, CONTEXT:], axis=0), m["kv"].take(x, axis=0)
     k, v = kv[:, :, :WIDTH], kv[:, :, WIDTH:]
     q *= np.float32(WIDTH**-0.5)
     s, h, z = room["s"][:n], room["h"][:n], room["z"][:n]
@@ -311,7 +311,7 @@ def forward(m: dict[str, np.ndarray], two: np.ndarray, x: np.ndarray, seen: np.n
     return z, (q, k, v, s, total, h)
 
 
-_KEYS, _ONES = np.ones(CONTEXT + STRIDE, np.float32), np.ones(CLASSES, np.float32)
+_KEYS, _ONES, _SIDES = np.ones(CONTEXT + STRIDE, np.float32), np.ones(CLASSES, np.float32), np.ones(WIDTH, np.float32)
 
 
 def roomy(n: int) -> dict[str, np.ndarray]:
@@ -332,12 +332,13 @@ def log_probs(m: dict[str, np.ndarray], two: np.ndarray, windows: Windows) -> np
 
 
 def by_group(index: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Sums of rows by their group."""
+    """Sums of rows (an even number of columns) by their group. Two columns go as one complex number, as reduceat takes as long for
+    each column, whatever it holds."""
     order = np.argsort(index, kind="stable")
-    index = index[order]
+    index = index.take(order)
     first = np.flatnonzero(np.append(True, index[1:] != index[:-1]))
     out = np.zeros((GROUPS, rows.shape[1]), np.float32)
-    out[index[first]] = np.add.reduceat(rows[order], first, axis=0)
+    out[index[first]] = np.add.reduceat(rows.take(order, axis=0).view(np.complex64), first, axis=0).view(np.float32)
     return out
 
 
@@ -355,7 +356,7 @@ def gradient(m: dict[str, np.ndarray], two: np.ndarray, x, seen, g, y, counts, r
     dw = (h.reshape(-1, WIDTH) * share).T @ z
     dh = ((z @ m["w"].T) * share).reshape(n, STRIDE, WIDTH)
     ds = np.matmul(dh, v.transpose(0, 2, 1))
-    ds -= np.einsum("nsw,nsw->ns", dh, h)[:, :, None]
+    ds -= ((dh * h).reshape(-1, WIDTH) @ _SIDES).reshape(n, STRIDE, 1)
     ds *= s
     dr = np.bincount(_BACK.ravel(), ds.sum(axis=0).ravel(), CONTEXT + STRIDE)
     kvq = room["kvq"][:n]  # inputs that only are context have no queries: zeros

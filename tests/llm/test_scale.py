@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyforge.llm import hilbert, topk
+from tallyforge.llm import hilbert, lm, topk
 
 
 def test_one_pass_over_the_documents_for_many_queries(spark, monkeypatch):
@@ -58,3 +58,11 @@ def test_cuts_are_those_of_all_rows(spark):
     plain = sorted("" if i % 3 == 0 else "é" if i % 3 == 1 else f"z{i % 100}" for i in range(40_000))
     assert got["lang"] == [plain[40_000 * i // 16] for i in range(1, 16)]
     assert hilbert.cuts(rows.limit(0), ["source", "lang"]) == {"source": [], "lang": []}
+
+
+def test_sums_by_group_are_plain_sums():
+    rng = np.random.default_rng(9)
+    index, rows = rng.choice([0, 3, 3, 3, 200, lm.GROUPS - 1], 5000).astype(np.uint8), rng.normal(size=(5000, 6)).astype(np.float32)
+    want = np.zeros((lm.GROUPS, 6))
+    np.add.at(want, index, rows)
+    assert np.allclose(lm.by_group(index, rows), want, atol=1e-3)
