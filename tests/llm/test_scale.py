@@ -51,13 +51,13 @@ def test_groups_find_what_full_scores_do(monkeypatch, postings):
 def test_cuts_are_those_of_all_rows(spark):
     rows = spark.range(40_000).select(
         F.format_string("s%06d", F.col("id") * 7919 % 40_000).alias("source"),
-        F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit("é")).otherwise(F.concat(F.lit("z"), F.col("id") % 100)).alias("lang"),
+        F.when(F.col("id") % 3 == 0, F.lit("")).when(F.col("id") % 3 == 1, F.lit("é")).otherwise(F.concat(F.lit("z"), F.col("id") % 100)).alias("lang"),
     )
-    got = hilbert.cuts(rows, ["source", "lang"])
+    got = hilbert.cuts(rows, ["source", "lang"], "source")
     assert got["source"] == ["s%06d" % (40_000 * i // 16) for i in range(1, 16)]
     plain = sorted("" if i % 3 == 0 else "é" if i % 3 == 1 else f"z{i % 100}" for i in range(40_000))
     assert got["lang"] == [plain[40_000 * i // 16] for i in range(1, 16)]
-    assert hilbert.cuts(rows.limit(0), ["source", "lang"]) == {"source": [], "lang": []}
+    assert hilbert.cuts(rows.limit(0), ["source", "lang"], "source") == {"source": [], "lang": []}
 
 
 def test_sums_by_group_are_plain_sums():
