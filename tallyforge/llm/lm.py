@@ -33,13 +33,14 @@ GROUPS, SHAPES = 256, 32
 SMOOTH = 3.0
 #: Ids that a window scores, ids before them that it also sees, width of the head.
 STRIDE, CONTEXT, WIDTH = 24, 8, 16
-#: Windows scored at a time. Rounds of averaging, each over its share of the documents; windows in a step; step size.
-BATCH = 128
+#: Windows taken at a time for scoring, and worked on at a time, so that their arrays stay in a core's cache.
+BATCH, BLOCK = 240, 48
+#: Rounds of averaging, each over its share of the documents; windows in a step; step size.
 ROUNDS, STEP_WINDOWS, RATE = 2, 96, 0.02
 #: Distinct words of documents that are sent at a time and counted in a task.
 TOKENS_A_TASK = 2_000_000
-#: Words whose ids a worker keeps, besides the model.
-KEPT_WORDS = 500_000
+#: Words whose ids a worker keeps from task to task while texts are encoded; about 80 bytes each at most. The next pass drops them.
+KEPT_WORDS = 1_200_000
 _END = np.uint64(0x5DEECE66D1234567)
 
 
@@ -58,37 +59,41 @@ def _word_blocks(buckets: int):
             nonlocal serial
             block = (part << 24) + serial
             serial += 1
-            h = np.concatenate([x[0] for x in held])
-            n = np.concatenate([x[1] for x in held]).astype(np.int32)
-            doc = np.repeat(np.arange(len(held), dtype=np.int32), [len(x[0]) for x in held])
-            train = np.array([x[2] for x in held], np.int8)
-            to = ((h >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.int64)
+            tokens, train, *head = (np.concatenate([x[i] for x in held]) for i in range(3, 8))
+            docs = len(tokens)
+            base = np.cumsum([0, *(len(x[3]) for x in held)])
+            # the end of each text is a word of its own
+            h = np.concatenate([*(x[0] for x in held), np.full(docs, _END)])
+            n = np.concatenate([*(x[1] for x in held), np.ones(docs, np.int64)]).astype(np.int32)
+            doc = np.concatenate([*(x[2] + at for x, at in zip(held, base[:-1], strict=True)), np.arange(docs)]).astype(np.int32)
+            to = ((h >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.uint16)
             order = np.argsort(to, kind="stable")
             h, n, doc, edges = h[order], n[order], doc[order], np.searchsorted(to[order], np.arange(buckets + 1))
-            head = (np.array([x[3] if x[3] is not None else 0 for x in held], np.int64), np.array([x[3] is None for x in held], np.int8), np.array([x[4] for x in held], np.int64), np.array([x[1].sum() for x in held], np.int64))
             rows = []
             for b in range(buckets):
                 cut = slice(edges[b], edges[b + 1])
                 first = b == block % buckets
                 if first or edges[b + 1] > edges[b]:
-                    rows.append((b, block, len(held), h[cut].tobytes(), n[cut].tobytes(), doc[cut].tobytes(), train.tobytes(), b"".join(x.tobytes() for x in head) if first else None))
+                    rows.append((b, block, docs, h[cut].tobytes(), n[cut].tobytes(), doc[cut].tobytes(), train.tobytes(), b"".join(x.tobytes() for x in (*head, tokens)) if first else None))
             kinds = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 5]
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["bucket", "block", "docs", "h", "n", "doc", "train", "head"])
 
         for batch in batches:
-            ids, codes, outs = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            ids, null = batch.column(0).fill_null(0).to_numpy(), batch.column(0).is_null().to_numpy(zero_copy_only=False).astype(np.int8)
+            codes, train = batch.column(1).to_numpy(), (~batch.column(2).to_numpy(zero_copy_only=False)).astype(np.int8)
             for piece in slices(batch.column(3)):
                 starts, ends, doc = words(piece.data, piece.at)
                 h = hashes(piece.data, starts, ends)
                 edge = np.searchsorted(doc, np.arange(piece.last - piece.first + 1))
-                for i in range(piece.last - piece.first):
-                    own, n = np.unique(h[edge[i] : edge[i + 1]], return_counts=True)
-                    row = piece.first + i
-                    held.append((np.append(own, _END), np.append(n, 1), not outs[row], ids[row], codes[row]))
-                    size += len(own) + 1
-                    if size >= TOKENS_A_TASK:
-                        yield packed()
-                        held, size = [], 0
+                for low, high in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                    h[low:high].sort()
+                first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]))[: len(h)])
+                own = slice(piece.first, piece.last)
+                held.append((h[first], np.diff(first, append=len(h)), doc[first], np.diff(edge) + 1, train[own], ids[own], null[own], codes[own]))
+                size += len(first) + piece.last - piece.first
+                if size >= TOKENS_A_TASK:
+                    yield packed()
+                    held, size = [], 0
         if held:
             yield packed()
 
@@ -102,8 +107,7 @@ def _word_sums(table: pa.Table) -> pa.Table:
     train = np.concatenate([np.frombuffer(t, np.int8)[np.frombuffer(d, np.int32)] for t, d in zip(cols["train"], cols["doc"], strict=True)])
     _, inverse = np.unique(h, return_inverse=True)
     c = np.bincount(inverse, n * train) if len(h) else np.zeros(0)
-    each = c[inverse]
-    value, known = n * np.log10(each + 0.5), n * (each > 0)
+    value, known = n * np.log10(c + 0.5)[inverse], n * (c > 0)[inverse]
     rows, at = [], 0
     for block, docs, doc, head in zip(cols["block"], cols["docs"], cols["doc"], cols["head"], strict=True):
         d = np.frombuffer(doc, np.int32)
@@ -154,7 +158,6 @@ def _encoded(path: str):
                 train = ~some.column(2).to_numpy(zero_copy_only=False)
                 total += np.bincount(flat[np.repeat(train, np.diff(edges))], minlength=len(total))
                 yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), some.column(2), as_binary(flat, edges), pa.nulls(some.num_rows, pa.binary())], names)
-        coder.forget()
         kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip([None, None, None, None, total.tobytes()], kinds, strict=True)], names)
 
@@ -165,6 +168,7 @@ def _counted(size: int, cells):
     """A partition's counts of size cells, as rows of those that occur. cells: adds what some values of a column hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        Subwords.forget_all()
         total = np.zeros(size, np.int64)
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
@@ -268,7 +272,7 @@ class Windows:
 
 _PLACES = np.arange(-CONTEXT, STRIDE)
 _BACK = np.arange(STRIDE)[:, None] + CONTEXT - np.arange(CONTEXT + STRIDE)[None, :]
-_CAUSAL = np.where(_BACK >= 0, 0, -30).astype(np.float32)
+_CAUSAL = np.where(_BACK >= 0, 0, -1000).astype(np.float32)
 _BACK = np.maximum(_BACK, 0)
 #: Of queries, keys beside values, relative positions, and classes.
 SHAPES_OF = {"q": (GROUPS, WIDTH), "kv": (GROUPS, 2 * WIDTH), "r": (CONTEXT + STRIDE,), "w": (WIDTH, CLASSES)}
@@ -289,45 +293,64 @@ def start() -> np.ndarray:
     return np.concatenate([(rng.normal(0, 0.3, s) if name in ("q", "kv") else rng.normal(0, 0.02, s) if name == "w" else np.zeros(s)).ravel() for name, s in SHAPES_OF.items()]).astype(np.float32)
 
 
+#: Scores of the attention are held within these bounds, by what is at a place and by how far it is, so that sums stay finite.
+MOST, MOST_BY_PLACE = 40.0, 10.0
+_KEYS, _ONES, _SIDES = np.ones(CONTEXT + STRIDE, np.float32), np.ones(CLASSES, np.float32), np.ones(WIDTH, np.float32)
+_FIRST = np.arange(BLOCK * STRIDE) * CLASSES
+
+
+def ready(m: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Parameters with what all blocks of windows need of them."""
+    scaled = m["q"] * np.float32(WIDTH**-0.5)
+    longest = (np.square(scaled) @ _SIDES).max() * (np.square(m["kv"][:, :WIDTH]) @ _SIDES).max()
+    bias = np.clip(m["r"], -MOST_BY_PLACE, MOST_BY_PLACE).take(_BACK) + _CAUSAL
+    return m | {"scaled": scaled, "bias": bias, "high": longest > MOST**2, "back": np.ascontiguousarray(m["w"].T)}
+
+
+def roomy(n: int, step: int = 0) -> dict[str, np.ndarray]:
+    """Arrays for n windows at a time of a step of so many."""
+    shapes = {"q": (STRIDE, WIDTH), "kv": (CONTEXT + STRIDE, 2 * WIDTH), "s": (STRIDE, CONTEXT + STRIDE), "ds": (STRIDE, CONTEXT + STRIDE), "h": (STRIDE, WIDTH), "z": (STRIDE, CLASSES), "after": (STRIDE, CLASSES)}
+    return {name: np.empty((n, *shape), np.float32) for name, shape in shapes.items()} | {"kvq": np.zeros((step, CONTEXT + STRIDE, 3 * WIDTH), np.float32)}
+
+
 def forward(m: dict[str, np.ndarray], two: np.ndarray, x: np.ndarray, seen: np.ndarray, g: np.ndarray, room: dict[str, np.ndarray] | None = None):
-    """Log odds (not normalised) of the next classes and what the backward pass needs. room: arrays to work in, for reuse."""
+    """Log odds (not normalised) of the next classes and what the backward pass needs. m: parameters, at best ready(); room: arrays to
+    work in, for reuse."""
     n = len(x)
-    room = room or roomy(n)
-    q, kv = m["q"].take(x[:, CONTEXT:], axis=0), m["kv"].take(x, axis=0)
+    m, room = m if "bias" in m else ready(m), room or roomy(n)
+    q, kv, s, h, z, after = (room[name][:n] for name in ("q", "kv", "s", "h", "z", "after"))
+    m["scaled"].take(g, axis=0, out=q, mode="clip")
+    m["kv"].take(x, axis=0, out=kv, mode="clip")
     k, v = kv[:, :, :WIDTH], kv[:, :, WIDTH:]
-    q *= np.float32(WIDTH**-0.5)
-    s, h, z = room["s"][:n], room["h"][:n], room["z"][:n]
     np.matmul(q, k.transpose(0, 2, 1), out=s)
-    s += m["r"][_BACK] + _CAUSAL
-    edge = np.flatnonzero(~seen.all(axis=1))
-    s[edge] += np.where(seen[edge], np.float32(0), np.float32(-30))[:, None, :]
-    np.minimum(s, np.float32(20), out=s)
+    if m["high"]:
+        np.clip(s, -MOST, MOST, out=s)
+    s += m["bias"]
     np.exp(s, out=s)
-    total = (s.reshape(-1, CONTEXT + STRIDE) @ _KEYS).reshape(n, STRIDE, 1)
+    for i in np.flatnonzero(~(seen[:, 0] & seen[:, -1])):  # a text's places lie in one run
+        s[i] *= seen[i]
+    # repeated, as numpy is slow where it does so itself along short rows
+    share = np.repeat(1 / (s.reshape(-1, CONTEXT + STRIDE) @ _KEYS), WIDTH).reshape(n, STRIDE, WIDTH)
     np.matmul(s, v, out=h)
-    h /= total
-    np.matmul(h.reshape(-1, WIDTH), m["w"], out=z.reshape(-1, CLASSES))
-    z += two[g]
-    return z, (q, k, v, s, total, h)
-
-
-_KEYS, _ONES, _SIDES = np.ones(CONTEXT + STRIDE, np.float32), np.ones(CLASSES, np.float32), np.ones(WIDTH, np.float32)
-
-
-def roomy(n: int) -> dict[str, np.ndarray]:
-    return {"s": np.empty((n, STRIDE, CONTEXT + STRIDE), np.float32), "h": np.empty((n, STRIDE, WIDTH), np.float32), "z": np.empty((n, STRIDE, CLASSES), np.float32), "kvq": np.zeros((n, CONTEXT + STRIDE, 3 * WIDTH), np.float32)}
+    h *= share
+    np.matmul(h, m["w"], out=z)  # window by window: the library is quicker with small products than with one long one
+    two.take(g, axis=0, out=after, mode="clip")
+    z += after
+    return z, (q, k, v, s, share, h)
 
 
 def log_probs(m: dict[str, np.ndarray], two: np.ndarray, windows: Windows) -> np.ndarray:
     """Sum of the natural logs of the class probabilities in each window."""
-    out, room = np.empty(len(windows.doc)), roomy(BATCH)
+    out, room, m = np.empty(len(windows.doc)), roomy(BLOCK), ready(m)
     for low in range(0, len(out), BATCH):
         x, seen, g, y, counts = windows.take(slice(low, low + BATCH))
-        z, _ = forward(m, two, x, seen, g, room)
-        z = z.reshape(-1, CLASSES)
-        own = z[np.arange(len(z)), y.ravel()]
-        np.exp(z, out=z)
-        out[low : low + BATCH] = ((own - np.log(z @ _ONES)).reshape(counts.shape) * counts).sum(axis=1)
+        for at in range(0, len(x), BLOCK):
+            own = slice(at, at + BLOCK)
+            z, _ = forward(m, two, x[own], seen[own], g[own], room)
+            odds = z.ravel().take(_FIRST[: len(z) * STRIDE] + y[own].ravel())
+            np.exp(z, out=z)
+            odds -= np.log(z.reshape(-1, CLASSES) @ _ONES)
+            out[low + at : low + at + len(z)] = (odds.reshape(-1, STRIDE) * counts[own]).sum(axis=1)
     return out
 
 
@@ -344,27 +367,34 @@ def by_group(index: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 def gradient(m: dict[str, np.ndarray], two: np.ndarray, x, seen, g, y, counts, room: dict[str, np.ndarray] | None = None) -> np.ndarray:
     """Of the mean loss of the ids that count, by all parameters in turn."""
-    n = len(x)
-    room = room or roomy(n)
-    z, (q, k, v, s, total, h) = forward(m, two, x, seen, g, room)
-    z, s = z.reshape(-1, CLASSES), np.divide(s, total, out=s)
-    np.exp(z, out=z)
-    # the slope of an id's loss is (z - whole at its class) / whole: the division is left to what is narrower
-    whole = z @ _ONES
-    z[np.arange(len(z)), y.ravel()] -= whole
-    share = ((counts / max(1, counts.sum())).astype(np.float32).ravel() / whole)[:, None]
-    dw = (h.reshape(-1, WIDTH) * share).T @ z
-    dh = ((z @ m["w"].T) * share).reshape(n, STRIDE, WIDTH)
-    ds = np.matmul(dh, v.transpose(0, 2, 1))
-    ds -= ((dh * h).reshape(-1, WIDTH) @ _SIDES).reshape(n, STRIDE, 1)
-    ds *= s
-    dr = np.bincount(_BACK.ravel(), ds.sum(axis=0).ravel(), CONTEXT + STRIDE)
-    kvq = room["kvq"][:n]  # inputs that only are context have no queries: zeros
-    np.matmul(ds.transpose(0, 2, 1), q, out=kvq[:, :, :WIDTH])  # q is scaled already
-    np.matmul(s.transpose(0, 2, 1), dh, out=kvq[:, :, WIDTH : 2 * WIDTH])
-    np.multiply(np.matmul(ds, k), np.float32(WIDTH**-0.5), out=kvq[:, CONTEXT:, 2 * WIDTH :])
+    m, room = ready(m), room or roomy(BLOCK, len(x))
+    kvq = room["kvq"][: len(x)]  # inputs that only are context have no queries: zeros
+    weight = counts * np.float32(1 / max(1, np.count_nonzero(counts)))
+    dw, dr = np.zeros((WIDTH, CLASSES), np.float32), np.zeros(STRIDE * (CONTEXT + STRIDE), np.float32)
+    for low in range(0, len(x), BLOCK):
+        own = slice(low, low + BLOCK)
+        z, (q, k, v, s, share, h) = forward(m, two, x[own], seen[own], g[own], room)
+        n, wide = len(z), z.reshape(-1, CLASSES)
+        np.exp(z, out=z)
+        # the slope of an id's loss is (z - whole at its class) / whole: the division is left to what is narrower
+        whole = wide @ _ONES
+        flat = z.reshape(-1)
+        flat[_FIRST[: len(whole)] + y[own].ravel()] -= whole
+        part = np.repeat(weight[own].ravel() / whole, WIDTH).reshape(n, STRIDE, WIDTH)
+        dw += np.matmul((h * part).transpose(0, 2, 1), z).sum(axis=0)
+        dh = np.matmul(z, m["back"])
+        dh *= part
+        dh *= share  # s isn't divided by its sums
+        ds = np.matmul(dh, v.transpose(0, 2, 1), out=room["ds"][:n])
+        ds -= ((dh * h).reshape(-1, WIDTH) @ _SIDES).reshape(n, STRIDE, 1)
+        ds *= s
+        dr += np.ones(n, np.float32) @ ds.reshape(n, -1)
+        np.matmul(ds.transpose(0, 2, 1), q, out=kvq[own, :, :WIDTH])  # q is scaled already
+        np.matmul(s.transpose(0, 2, 1), dh, out=kvq[own, :, WIDTH : 2 * WIDTH])
+        np.matmul(ds, k, out=kvq[own, CONTEXT:, 2 * WIDTH :])
     sums = by_group(x.ravel(), kvq.reshape(-1, 3 * WIDTH))
-    return np.concatenate([sums[:, 2 * WIDTH :].ravel(), sums[:, : 2 * WIDTH].ravel(), dr.astype(np.float32), dw.ravel()])
+    dr = np.bincount(_BACK.ravel(), dr, CONTEXT + STRIDE)
+    return np.concatenate([(sums[:, 2 * WIDTH :] * np.float32(WIDTH**-0.5)).ravel(), sums[:, : 2 * WIDTH].ravel(), dr.astype(np.float32), dw.ravel()])
 
 
 def _trained(dtype: str, model):
@@ -372,7 +402,7 @@ def _trained(dtype: str, model):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, groups, two, begun = model.value
-        flat, first, second, steps, used, room = begun.copy(), np.zeros(PARAMETERS, np.float32), np.zeros(PARAMETERS, np.float32), 0, 0, roomy(STEP_WINDOWS)
+        flat, first, second, steps, used, room = begun.copy(), np.zeros(PARAMETERS, np.float32), np.zeros(PARAMETERS, np.float32), 0, 0, roomy(BLOCK, STEP_WINDOWS)
         m = unpacked(flat)
         for batch in batches:
             for low in range(0, batch.num_rows, 500):

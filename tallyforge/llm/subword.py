@@ -175,6 +175,12 @@ class Subwords:
         self.slots, self.used, self.held = Table(12), 0, 0
         self.first, self.many, self.pool = np.zeros(4096, np.int64), np.zeros(4096, np.int32), np.zeros(16_384, self.dtype)
 
+    @classmethod
+    def forget_all(cls) -> None:
+        """Empty the caches of all of the worker's encoders."""
+        for coder in cls._by_path.values():
+            coder.forget()
+
     def _marks(self, mark: int) -> list[int]:
         if mark not in self.marks:
             text = mark.to_bytes(8, "little").rstrip(b"\0").decode()

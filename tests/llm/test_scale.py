@@ -1,10 +1,11 @@
 """What keeps the corpus operators within their limits on larger tables."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tallyforge.llm import hilbert, lm, topk
+from tallyforge.llm import hilbert, lm, subword, topk
 
 
 def test_one_pass_over_the_documents_for_many_queries(spark, monkeypatch):
@@ -66,3 +67,38 @@ def test_sums_by_group_are_plain_sums():
     want = np.zeros((lm.GROUPS, 6))
     np.add.at(want, index, rows)
     assert np.allclose(lm.by_group(index, rows), want, atol=1e-3)
+
+
+def test_no_id_ahead_is_seen_however_it_scores():
+    m = {k: v.copy() for k, v in lm.unpacked(lm.start()).items()}
+    m["q"][:], m["kv"][:, : lm.WIDTH] = 1, 0
+    m["kv"][7, : lm.WIDTH] = 11.5  # a score of 46
+    x = np.arange(20, 20 + lm.CONTEXT + lm.STRIDE, dtype=np.uint8)[None, :].repeat(2, axis=0)
+    x[0, -1] = 7
+    z, _ = lm.forward(m, np.zeros((lm.GROUPS, lm.CLASSES), np.float32), x, np.ones(x.shape, bool), x[:, lm.CONTEXT :])
+    assert np.allclose(z[0, :-1], z[1, :-1], atol=1e-6) and not np.allclose(z[0, -1], z[1, -1], atol=1e-3)
+
+
+def test_words_are_learned_once_by_a_worker(monkeypatch):
+    coder, learned = subword.Subwords.of(subword.vocabulary_path()), []
+    monkeypatch.setattr(coder, "_learn", lambda *a, f=coder._learn: learned.append(len(a[3])) or f(*a))
+    monkeypatch.setattr(coder, "kept", coder.kept)
+    coder.forget()
+    rows = pa.record_batch({"doc_id": pa.array([1]), "code": pa.array([1]), "held_out": pa.array([False]), "text": pa.array(["some words of a text"])})
+    first, second = (list(lm._encoded(subword.vocabulary_path())(iter([rows]))) for _ in range(2))
+    assert learned == [5] and first[0].column(3) == second[0].column(3)
+    list(lm._counted(1, lambda total, column: None)(iter([])))  # the next pass
+    assert coder.held == 0
+
+
+def test_blocks_of_words_are_plain_counts(monkeypatch):
+    import pyspark
+
+    monkeypatch.setattr(pyspark, "TaskContext", type("Task", (), {"get": classmethod(lambda cls: cls), "partitionId": staticmethod(lambda: 1)}))
+    texts = ["b a b", None, "", "a", "b  c\tA"]
+    rows = pa.record_batch({"doc_id": pa.array([3, None, 5, 6, 6]), "code": pa.array(range(5)), "held_out": pa.array([False, False, True, False, True]), "text": pa.array(texts)})
+    (block,) = lm._word_blocks(1)(iter([rows]))
+    n, doc = (np.frombuffer(block.column(c)[0].as_py(), np.int32) for c in ("n", "doc"))
+    assert sorted(zip(doc.tolist(), n.tolist(), strict=True)) == [(0, 1), (0, 1), (0, 2), (1, 1), (2, 1), (3, 1), (3, 1), (4, 1), (4, 1), (4, 1), (4, 1)]
+    assert list(block.column("train")[0].as_py()) == [1, 1, 0, 1, 0]
+    assert list(lm._word_blocks(1)(iter([rows.slice(0, 0)]))) == []
